@@ -44,28 +44,22 @@ def _nearest_cell(pivots: np.ndarray):
     return assign
 
 
-def _route(pivots: np.ndarray, cells: list[tuple[int, int, float, float]], near: np.ndarray, k: int):
-    """Send each query to the blocks that may hold one of its k nearest rows."""
+def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.ndarray, k: int):
+    """Send each query to the cells that may hold one of its k nearest rows."""
 
     def route(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
             d = _distances(_matrix(pdf["vec"]), pivots)
-            # near[c, j] bounds the distance pivot c -> its j-th closest base row.
-            bound = np.sort((d[:, :, None] + near[None, :, :]).reshape(len(d), -1), axis=1)
-            bound = bound[:, k - 1] if bound.shape[1] >= k else np.full(len(d), np.inf)
-            parts = []
-            for cell, blocks, inner, outer in cells:
+            # near[c, j] is the distance from pivot c to its j-th closest base row, so
+            # going through a pivot gives an upper bound on the k-th neighbour.
+            bound = np.partition((d[:, :, None] + near[None, :, :]).reshape(len(d), -1), k - 1, axis=1)[:, k - 1]
+            for cell, inner, outer in cells:
                 least = np.maximum(0.0, np.maximum(d[:, cell] - outer, inner - d[:, cell]))
                 rows = np.flatnonzero(least <= bound * (1 + _SLACK) + _SLACK)
                 if len(rows):
-                    part = pdf.iloc[np.repeat(rows, blocks)].copy()
-                    part["cell"] = np.int32(cell)
-                    part["block"] = np.tile(np.arange(blocks, dtype="int32"), len(rows))
-                    parts.append(part)
-            if parts:
-                yield pd.concat(parts)
+                    yield pdf.iloc[rows].assign(cell=np.int32(cell))
 
     return route
 
@@ -122,14 +116,13 @@ def knn_join(
     near = np.full((len(centers), need), np.inf)
     for row in closest:
         near[row["cell"], row["r"] - 1] = row["to_pivot"]
-    cells = [(r["cell"], -(-r["n"] // block_rows), r["a"], r["z"]) for r in stats]
+    cells = [(r["cell"], r["a"], r["z"]) for r in stats]
 
     # Hash blocks also split a cell that is full of identical rows.
-    blocks_of = F.create_map(*[F.lit(x) for cell, blocks, _, _ in cells for x in (cell, blocks)])
-    blocked = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.element_at(blocks_of, F.col("cell"))).cast("int")).drop("to_pivot")
-    routed = materialize(
-        q.mapInPandas(_route(centers, cells, near, need), "query_id long, vec array<double>, cell int, block int"), "routed"
-    )
+    blocks = F.element_at(F.create_map(*[F.lit(x) for r in stats for x in (r["cell"], -(-r["n"] // block_rows))]), F.col("cell"))
+    blocked = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).drop("to_pivot")
+    wanted = q.mapInPandas(_route(centers, cells, near, need), "query_id long, vec array<double>, cell int")
+    routed = materialize(wanted.withColumn("block", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))), "routed")
     # A block wanted by many queries is met by several query groups of bounded size.
     groups = routed.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("groups"))
     groups = materialize(groups, "groups")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from riskweave.functions.columns import flag
 from riskweave.operators.ordered import prefix_sums
@@ -51,7 +52,7 @@ def ks_drift_report(ks: DataFrame, alpha: float = 0.05) -> DataFrame:
     return ks.withColumn("drift_detected", flag(F.col("p_value") < alpha))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_normal_p(z: pd.Series) -> pd.Series:
     """P(|N(0,1)| >= |z|); called on one row per test."""
     return z.abs().map(lambda x: math.erfc(x / math.sqrt(2.0)))
