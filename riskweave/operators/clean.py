@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from riskweave.functions.columns import col_of
+from riskweave.session import materialize
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -49,15 +50,23 @@ def dropna_subset(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.drop(subset=cols)
 
 
-def dedupe(df: DataFrame, cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Distinct rows, and a one-row report (before, after, removed) from one aggregation."""
-    keys = cols or df.columns
-    report = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
-        .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+def dedupe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Distinct rows, over all columns or over `cols`."""
+    return df.dropDuplicates(cols)
+
+
+def dedupe_with_report(df: DataFrame, cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows and a one-row report (rows_before, rows_after, removed).
+
+    The rows are written once; both counts then come from file footers instead of a
+    second shuffle of the whole table.
+    """
+    kept = materialize(dedupe(df, cols), "silver")
+    before, after = df.count(), kept.count()
+    report = df.sparkSession.range(1).select(
+        F.lit(before).alias("rows_before"), F.lit(after).alias("rows_after"), F.lit(before - after).alias("removed")
     )
-    return df.dropDuplicates(cols), report
+    return kept, report
 
 
 def align(df: DataFrame, features: list[str], fill: float = 0) -> DataFrame:

@@ -47,19 +47,21 @@ def _nearest_cell(pivots: np.ndarray):
 def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.ndarray, k: int):
     """Send each query to the cells that may hold one of its k nearest rows."""
 
+    step = max(1, 4_000_000 // (near.size + pivots.size))
+
     def route(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            d = _distances(_matrix(pdf["vec"]), pivots)
-            # near[c, j] is the distance from pivot c to its j-th closest base row, so
-            # going through a pivot gives an upper bound on the k-th neighbour.
-            bound = np.partition((d[:, :, None] + near[None, :, :]).reshape(len(d), -1), k - 1, axis=1)[:, k - 1]
-            for cell, inner, outer in cells:
-                least = np.maximum(0.0, np.maximum(d[:, cell] - outer, inner - d[:, cell]))
-                rows = np.flatnonzero(least <= bound * (1 + _SLACK) + _SLACK)
-                if len(rows):
-                    yield pdf.iloc[rows].assign(cell=np.int32(cell))
+        for batch in batches:
+            for i in range(0, len(batch), step):
+                pdf = batch.iloc[i : i + step]
+                d = _distances(_matrix(pdf["vec"]), pivots)
+                # near[c, j] is the distance from pivot c to its j-th closest base row, so
+                # going through a pivot gives an upper bound on the k-th neighbour.
+                bound = np.partition((d[:, :, None] + near[None, :, :]).reshape(len(d), -1), k - 1, axis=1)[:, k - 1]
+                for cell, inner, outer in cells:
+                    least = np.maximum(0.0, np.maximum(d[:, cell] - outer, inner - d[:, cell]))
+                    rows = np.flatnonzero(least <= bound * (1 + _SLACK) + _SLACK)
+                    if len(rows):
+                        yield pdf.iloc[rows].assign(cell=np.int32(cell))
 
     return route
 

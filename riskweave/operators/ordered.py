@@ -100,7 +100,8 @@ def prefix_sums(
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}_shift") for n in names],
         *[F.sum(n).over(whole).alias(f"{n}_total") for n in names],
     )
-    joined = local.join(offsets, _null_safe([*by, "_part"], "_o_"))
+    # Groups + partitions rows: written first, so its true size decides the join.
+    joined = local.join(materialize(offsets, "offsets"), _null_safe([*by, "_part"], "_o_"))
     return joined.select(
         *by, value, *names,
         *[(F.col(f"_{n}_local") + F.col(f"_{n}_shift")).alias(f"{n}_before") for n in names],
@@ -108,6 +109,25 @@ def prefix_sums(
     )
 
 
+def order_cuts(df: DataFrame, order: list[str], ranks: list[int], partitions: int | None = None) -> list:
+    """Order-key values of the rows at the given 1-based ranks (None for rank 0).
+
+    Only the key columns are sorted and only the asked-for rows reach the driver; rows
+    are then placed by comparing their own key with a cut, without moving the table.
+    """
+    keys = with_global_index(df.select(*order), order, "_idx", partitions)
+    found = {r["_idx"] + 1: tuple(r[c] for c in order) for r in keys.where(F.col("_idx").isin([k - 1 for k in ranks])).collect()}
+    return [found.get(k) for k in ranks]
+
+
+def after_cut(df: DataFrame, order: list[str], cut: tuple | None) -> Column:
+    """True for rows behind `cut` in the order of `order`."""
+    if cut is None:
+        return F.lit(True)
+    fixed = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, cut)])
+    return F.struct(*order) > fixed
+
+
 def exact_quantiles(
     df: DataFrame, by: list[str], value: str, quantiles: dict[str, float], partitions: int | None = None
 ) -> DataFrame:
@@ -150,29 +170,26 @@ def hash_cuts(df: DataFrame, by: list[str], key: list[str], seed: int, ranks) ->
     group = by or ["_all"]
     if not by:
         hashed = hashed.withColumn("_all", F.lit(0))
-    counts = materialize(hashed.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_c")), "hashcounts")
-    # At most 16**5 prefixes per group, so this window is bounded.
-    upto = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = counts.groupBy(*group).agg(F.sum("_c").alias("n"))
-    wanted = sizes.withColumn("_ranks", ranks(F.col("n"))).select(
-        *group, "n", F.posexplode("_ranks").alias("_i", "_rank")
+    counts = hashed.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    # At most 16**5 prefixes per group, so these windows are bounded.
+    earlier = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    located = counts.select(
+        *group, "_p", "_c", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"), F.sum("_c").over(whole).alias("n")
     )
-    located = counts.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
-    cut_at = (
-        wanted.join(located, group)
-        .where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_c")))
-        .select(*group, "_p", "_i", (F.col("_rank") - F.col("_before")).alias("_within"))
+    within = F.col("_rank") - F.col("_before")
+    # Rank 0 stays with the first prefix and matches no row below.
+    cut_at = materialize(
+        located.select(*group, "n", "_p", "_c", "_before", F.posexplode(ranks(F.col("n"))).alias("_i", "_rank"))
+        .where((within > 0) & (within <= F.col("_c")) | (F.col("_rank") <= 0) & (F.col("_before") == 0))
+        .select(*group, "n", "_p", "_i", within.alias("_within")),
+        "hashcuts",
     )
-    cut_at = materialize(cut_at, "hashcuts")
-    inside = hashed.join(cut_at.select(*group, "_p").distinct(), [*group, "_p"], "left_semi")
+    inside = hashed.join(cut_at.where(F.col("_within") > 0).select(*group, "_p"), [*group, "_p"], "left_semi")
     order = Window.partitionBy(*group, "_p").orderBy("_h")
-    found = (
-        inside.withColumn("_within", F.row_number().over(order))
-        .join(cut_at, [*group, "_p", "_within"])
-        .select(*group, "_i", "_h")
-    )
+    found = inside.withColumn("_within", F.row_number().over(order))
     cuts = (
-        wanted.join(found, [*group, "_i"], "left")
+        cut_at.join(found, [*group, "_p", "_within"], "left")
         .groupBy(*group, "n")
         .agg(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_h", F.lit("")).alias("_h")))).alias("_pairs"))
         .select(*by, "n", F.transform("_pairs", lambda p: p["_h"]).alias("cuts"))

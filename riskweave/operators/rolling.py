@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import col_of, flag
-from riskweave.operators.ordered import with_global_index
+from riskweave.functions.columns import col_of, flag, total_of
+from riskweave.operators.ordered import after_cut, order_cuts, with_global_index
 from riskweave.session import materialize
 
 HOT_ROWS = 5_000_000
@@ -118,20 +118,18 @@ def rank_by(df: DataFrame, order: list, out: str = "rank") -> DataFrame:
     return with_global_index(df, order, "_idx").withColumn(out, (F.col("_idx") + 1).cast("int")).drop("_idx")
 
 
-def positional_split(df: DataFrame, order: list, fraction: float, out: str = "side") -> DataFrame:
+def positional_split(df: DataFrame, order: list[str], fraction: float, out: str = "side", partitions: int | None = None) -> DataFrame:
     """'ref' for the first `fraction` of the rows in `order`, 'cur' for the rest."""
-    indexed = with_global_index(df, order, "_idx")
-    first = int(df.count() * fraction)
-    return indexed.withColumn(out, F.when(F.col("_idx") < first, "ref").otherwise("cur")).drop("_idx")
+    (cut,) = order_cuts(df, order, [int(df.count() * fraction)], partitions)
+    return df.withColumn(out, F.when(after_cut(df, order, cut), "cur").otherwise("ref"))
 
 
-def rate_by_window(df: DataFrame, order: list, label: str, n: int) -> DataFrame:
+def rate_by_window(df: DataFrame, order: list[str], label: str, n: int, partitions: int | None = None) -> DataFrame:
     """Label rate in percent for `n` equal contiguous windows; the remainder is left out."""
     size = df.count() // n
-    indexed = with_global_index(df.select(label, *[c for c in order if c != label]), order, "_idx")
+    cuts = order_cuts(df, order, [size * i for i in range(1, n + 1)], partitions)
+    window = total_of(F.lit(1), *[after_cut(df, order, c).cast("int") for c in cuts])
     return (
-        indexed.withColumn("window", (F.floor(F.col("_idx") / size) + 1).cast("int"))
-        .where(F.col("window") <= n)
-        .groupBy("window")
-        .agg(F.count(F.lit(1)).alias("rows"), (F.avg(label) * 100).alias("rate_pct"))
+        df.select(label, window.alias("window")).where(F.col("window") <= n)
+        .groupBy("window").agg(F.count(F.lit(1)).alias("rows"), (F.avg(label) * 100).alias("rate_pct"))
     )

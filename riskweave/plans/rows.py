@@ -128,12 +128,12 @@ def dropna_subset(t):
 @query("dedupe_rows", """
 SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after, count(*) - count(DISTINCT text) AS removed FROM documents""")
 def dedupe_report(t):
-    return clean.dedupe(t.documents.select("text"))[1]
+    return clean.dedupe_with_report(t.documents.select("text"))[1].select(*[F.col(c).cast("long").alias(c) for c in ("rows_before", "rows_after", "removed")])
 
 
 @query("dedupe_kept", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def dedupe_kept(t):
-    return clean.dedupe(t.lineitem.select("l_orderkey", "l_linenumber"))[0]
+    return clean.dedupe(t.lineitem.select("l_orderkey", "l_linenumber"))
 
 
 @query("amount_log", f"SELECT event_id, {rnd('ln(1 + value)')} AS amount_log FROM events")

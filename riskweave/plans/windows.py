@@ -34,7 +34,7 @@ SELECT o_orderpriority, CAST(sum(label) AS BIGINT) AS positives, count(*) AS row
 FROM w GROUP BY o_orderpriority""")
 def order_risk(t):
     """Clean, add per-account velocity features, then summarise risk by priority."""
-    silver = clean.dropna_subset(clean.dedupe(accounts(t))[0], ["o_orderkey", "amount"])
+    silver = clean.dropna_subset(clean.dedupe(accounts(t)), ["o_orderkey", "amount"])
     silver = clean.cast_columns(silver, {"amount": "double", "label": "int"})
     gold = rolling.velocity(silver, ["o_custkey"], ORDER, {
         "mean_10": ("avg", "amount", 10), "std_10": ("std", "amount", 10), "count_3": ("count", "amount", 3),
