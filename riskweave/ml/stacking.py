@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import total_of
 from riskweave.ml.models import fit_gbt, fit_logreg
-from riskweave.operators.ordered import prefix_sums
+from riskweave.operators.evaluate import auc_of_pairs
+from riskweave.operators.ordered import ordered_pairs
 from riskweave.operators.prep import standardize
 from riskweave.session import materialize
 
@@ -85,23 +86,19 @@ def weight_candidates(ranges=WEIGHT_RANGES, last=LAST_WEIGHT) -> list[tuple[floa
 def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tuple] | None = None) -> DataFrame:
     """AUC of every weight vector: (weight_id, weights, auc_roc).
 
-    Rows with equal component scores are merged first; the candidates are a short
-    literal list expanded in place, and all AUCs come from one set of prefix sums.
+    Rows with equal component scores are merged first, the candidates are a short
+    literal list expanded in place, and one ordering serves all AUCs.
     """
     candidates = candidates or weight_candidates()
     distinct = df.groupBy(*names).agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("q")
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     grid = F.array(*[F.array(*[F.lit(w) for w in c]) for c in candidates])
-    spread = distinct.select(*names, "p", "q", F.posexplode(grid).alias("weight_id", "w"))
+    spread = distinct.select(*names, "pos", "neg", F.posexplode(grid).alias("weight_id", "w"))
     fused = total_of(*[F.col("w")[i] * F.col(n) for i, n in enumerate(names)])
-    scored = spread.select("weight_id", fused.alias("score"), "p", "q")
-    sums = prefix_sums(scored, ["weight_id"], "score", {"pos": F.sum("p"), "neg": F.sum("q")})
-    pairs = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
-    aucs = sums.groupBy("weight_id").agg(
-        F.try_divide(pairs, F.max(F.col("pos_total").cast("double") * F.col("neg_total"))).alias("auc_roc")
-    )
-    return aucs.withColumn("weights", F.element_at(grid, F.col("weight_id") + 1))
+    scored = spread.select("weight_id", fused.alias("score"), "pos", "neg")
+    pairs = ordered_pairs(scored, ["weight_id"], "score", {"pos": F.sum("pos"), "neg": F.sum("neg")}, premerge=False)
+    return pairs.select("weight_id", auc_of_pairs().alias("auc_roc"), F.element_at(grid, F.col("weight_id") + 1).alias("weights"))
 
 
 def best_weights(grid: DataFrame) -> DataFrame:

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import safe_ratio
-from riskweave.operators.ordered import prefix_sums
+from riskweave.operators.ordered import ordered_pairs, prefix_sums
+
+
+def _scored(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    return df.select(*by, label, score).where(F.col(score).isNotNull() & F.col(label).isNotNull())
+
+
+def _class_sums(label: str) -> dict[str, Column]:
+    return {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) != 1)}
 
 
 def _counts(df: DataFrame, label: str, score: str, by: list[str], partitions: int | None = None) -> DataFrame:
     """Positives and negatives per distinct score with their running sums."""
-    sums = {
-        "pos": F.sum(F.when(F.col(label) == 1, F.lit(1)).otherwise(F.lit(0))),
-        "neg": F.sum(F.when(F.col(label) == 1, F.lit(0)).otherwise(F.lit(1))),
-    }
-    clean = df.select(*by, label, score).where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return prefix_sums(clean, by, score, sums, partitions)
+    return prefix_sums(_scored(df, label, score, by), by, score, _class_sums(label), partitions)
 
 
 def _auc() -> Column:
@@ -32,8 +35,14 @@ def _average_precision() -> Column:
     return F.sum(F.try_divide(F.col("pos").cast("double"), F.col("pos_total").cast("double")) * (tp / (tp + fp)))
 
 
+def auc_of_pairs() -> Column:
+    """AUC from the output of `ordered_pairs`."""
+    return F.try_divide(F.col("pairs"), F.col("pos").cast("double") * F.col("neg"))
+
+
 def auc_roc(df: DataFrame, label: str, score: str, by: tuple | list = (), partitions: int | None = None) -> DataFrame:
-    return _counts(df, label, score, list(by), partitions).groupBy(*by).agg(_auc().alias("auc_roc"))
+    pairs = ordered_pairs(_scored(df, label, score, list(by)), list(by), score, _class_sums(label), partitions)
+    return pairs.select(*by, auc_of_pairs().alias("auc_roc"))
 
 
 def average_precision(df: DataFrame, label: str, score: str, by: tuple | list = (), partitions: int | None = None) -> DataFrame:

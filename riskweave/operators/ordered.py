@@ -17,10 +17,14 @@ from riskweave.session import materialize
 _POSITION_BITS = (1 << 33) - 1
 
 
-def _range_sorted(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+def _range_parted(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
     cols = [col_of(c) for c in order]
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return ranged.sortWithinPartitions(*cols).withColumn("_part", F.spark_partition_id())
+    return ranged.withColumn("_part", F.spark_partition_id())
+
+
+def _range_sorted(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    return _range_parted(df, order, partitions).sortWithinPartitions(*[col_of(c) for c in order])
 
 
 def with_global_index(df: DataFrame, order: list, out: str = "idx", partitions: int | None = None) -> DataFrame:
@@ -69,6 +73,27 @@ def _null_safe(cols: list[str], prefix: str) -> Column:
     return condition
 
 
+def _merged(df: DataFrame, by: list[str], value: str, sums: dict[str, Column]) -> DataFrame:
+    """Equal values become one row before the range shuffle, so heavy ties shrink the
+    data instead of skewing it."""
+    return df.groupBy(*by, value).agg(*[e.alias(n) for n, e in sums.items()])
+
+
+def _running_in_part(placed: DataFrame, by: list[str], value: str, names: list[str]) -> DataFrame:
+    """Exclusive running sums (`_<name>_local`) inside each range partition of a group."""
+    running = Window.partitionBy(*by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.select(
+        *by, "_part", value, *names,
+        *[F.coalesce(F.sum(n).over(running), F.lit(0)).alias(f"_{n}_local") for n in names],
+    )
+
+
+def _part_windows(by: list[str]):
+    """Earlier parts, and all parts, of a group: at most one row per range partition."""
+    parts = Window.partitionBy(*by).orderBy("_part")
+    return parts.rowsBetween(Window.unboundedPreceding, -1), parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def prefix_sums(
     df: DataFrame,
     by: list[str],
@@ -77,23 +102,12 @@ def prefix_sums(
     partitions: int | None = None,
 ) -> DataFrame:
     """Per distinct `value` inside each `by` group: the sums, the sums of all smaller
-    values (`<name>_before`) and of the whole group (`<name>_total`).
-
-    Equal values are merged before the range shuffle, so heavy ties shrink the data
-    instead of skewing it.
-    """
+    values (`<name>_before`) and of the whole group (`<name>_total`)."""
     names = list(sums)
-    merged = df.groupBy(*by, value).agg(*[e.alias(n) for n, e in sums.items()])
-    placed = materialize(_range_sorted(merged, [*by, value], partitions), "prefix")
-
-    running = Window.partitionBy(*by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.select(
-        *by, "_part", value, *names,
-        *[F.coalesce(F.sum(n).over(running), F.lit(0)).alias(f"_{n}_local") for n in names],
-    )
+    placed = materialize(_range_parted(_merged(df, by, value, sums), [*by, value], partitions), "prefix")
+    local = _running_in_part(placed, by, value, names)
     blocks = placed.groupBy(*by, "_part").agg(*[F.sum(n).alias(n) for n in names])
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier, whole = _part_windows(by)
     offsets = blocks.select(
         *[F.col(b).alias(f"_o_{b}") for b in by],
         F.col("_part").alias("_o__part"),
@@ -109,6 +123,34 @@ def prefix_sums(
     )
 
 
+def ordered_pairs(
+    df: DataFrame, by: list[str], value: str, sums: dict[str, Column], partitions: int | None = None, premerge: bool = True
+) -> DataFrame:
+    """Per group: `pairs`, the number of (pos, neg) pairs with the positive at the higher
+    value plus half the tied pairs, and the totals `pos` and `neg`.
+
+    `sums` gives `pos` and `neg`. The pair count is linear in the offsets of the range
+    partitions, so it is summed per partition and shifted afterwards; unlike
+    `prefix_sums` nothing is written and no row is joined. `premerge=False` saves the
+    merging shuffle when equal values are known to be few.
+    """
+    rows = _merged(df, by, value, sums) if premerge else df.select(*by, value, *[F.col(n) for n in sums])
+    placed = _range_parted(rows, [*by, value], partitions)
+    ordered = Window.partitionBy(*by, "_part").orderBy(value)
+    upto = F.sum("neg").over(ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    tied = F.sum("neg").over(ordered.rangeBetween(Window.currentRow, Window.currentRow)) if not premerge else F.col("neg")
+    pos = F.col("pos").cast("double")
+    inside = placed.withColumn("_half", upto - tied / 2)
+    parts = inside.groupBy(*by, "_part").agg(
+        F.sum(pos * F.col("_half")).alias("_inside"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
+    earlier, _ = _part_windows(by)
+    shifted = parts.withColumn("_shift", F.coalesce(F.sum("neg").over(earlier), F.lit(0)))
+    return shifted.groupBy(*by).agg(
+        F.sum(F.col("_inside") + pos * F.col("_shift")).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
+
+
 def order_cuts(df: DataFrame, order: list[str], ranks: list[int], partitions: int | None = None) -> list:
     """Order-key values of the rows at the given 1-based ranks (None for rank 0).
 

@@ -130,7 +130,7 @@ def mart_by_hour(t):
 
 
 @query("mart_risk_summary", f"""
-SELECT CASE WHEN score <= 0.5 THEN 'LOW' WHEN score <= 0.8 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier, count(*) AS count,
+SELECT CASE WHEN score <= 0.5 THEN 'LOW' WHEN score <= 0.8 THEN 'MEDIUM' WHEN score <= 1 THEN 'HIGH' ELSE 'nan' END AS risk_tier, count(*) AS count,
   CAST(sum(label) AS BIGINT) AS actual_fraud, {rnd('avg(score)')} AS avg_score FROM {SCORED} GROUP BY 1""")
 def mart_risk_summary(t):
     tiers = scored(t).withColumn("risk_tier", risk_tier("score", *TIERS_3))

@@ -13,7 +13,7 @@ from riskweave.streaming import scoring
 
 SCORED = """(SELECT event_id, CAST(event_type = 'error' AS INT) AS label, value / 500.0::DOUBLE AS fraud_score,
   CAST(value / 500.0::DOUBLE >= 0.5 AS INT) AS fraud_flag, ts,
-  CASE WHEN value / 500.0::DOUBLE <= 0.5 THEN 'LOW' WHEN value / 500.0::DOUBLE <= 0.8 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier FROM events)"""
+  CASE WHEN value / 500.0::DOUBLE <= 0.5 THEN 'LOW' WHEN value / 500.0::DOUBLE <= 0.8 THEN 'MEDIUM' WHEN value / 500.0::DOUBLE <= 1 THEN 'HIGH' ELSE 'nan' END AS risk_tier FROM events)"""
 
 
 def value_model():
