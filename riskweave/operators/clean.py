@@ -89,7 +89,10 @@ def union_master(frames: list[DataFrame], features: list[str]) -> DataFrame:
 
 
 def row_id(df: DataFrame, key: list[str | Column], out: str = "row_id") -> DataFrame:
-    """Stable 64-bit id from the natural key, the same on every run and partitioning."""
+    """Stable 64-bit id from the natural key, the same on every run and partitioning.
+
+    Two keys may share an id once a table holds billions of rows; use the key itself there.
+    """
     return df.withColumn(out, F.xxhash64(*[col_of(k) for k in key]))
 
 

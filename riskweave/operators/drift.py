@@ -59,5 +59,6 @@ def drift_summary(ks: DataFrame, psi_scores: DataFrame, window_rates: DataFrame,
         F.avg(F.when(F.col("window") <= ref_windows, F.col("rate_pct"))).alias("ref_rate_pct"),
         F.avg(F.when(F.col("window") > ref_windows, F.col("rate_pct"))).alias("prod_rate_pct"),
     )
-    one = lambda d: d.withColumn("_k", F.lit(0))
-    return one(drifted).join(one(status), "_k").join(one(rates), "_k").drop("_k")
+    names = [*drifted.columns, *status.columns, *rates.columns]
+    parts = drifted.unionByName(status, allowMissingColumns=True).unionByName(rates, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in names])

@@ -16,7 +16,7 @@ def amount_math(df: DataFrame, c: str) -> DataFrame:
 
 
 def interactions(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    return df.withColumns({f"{a}_{b}_interaction": F.col(a) * F.col(b) for a, b in pairs})
+    return df.withColumns({f"{a}_{b}_interaction".lower(): F.col(a) * F.col(b) for a, b in pairs})
 
 
 def row_sum(df: DataFrame, cols: list[str], out: str = "row_sum") -> DataFrame:
@@ -46,14 +46,12 @@ def amount_flags(df: DataFrame, c: str, thresholds: dict[str, float]) -> DataFra
     return df.withColumns({name: flag(F.col(c) > limit) for name, limit in thresholds.items()})
 
 
-def balance_features(df: DataFrame, old: str, new: str, amount: str, side: str = "orig") -> DataFrame:
-    return df.withColumns(
-        {
-            f"balance_diff_{side}": F.col(new) - F.col(old),
-            f"balance_ratio_{side}": F.col(amount) / (F.col(old) + F.lit(EPSILON)),
-            f"{side}_balance_zero": flag(F.col(old) == 0),
-        }
-    )
+def balance_features(df: DataFrame, old: str, new: str, amount: str | None, side: str = "orig") -> DataFrame:
+    """Change of balance and empty-account flag; with `amount` also its ratio to the old balance."""
+    outs = {f"balance_diff_{side}": F.col(new) - F.col(old), f"{side}_balance_zero": flag(F.col(old) == 0)}
+    if amount:
+        outs[f"balance_ratio_{side}"] = F.col(amount) / (F.col(old) + F.lit(EPSILON))
+    return df.withColumns(outs)
 
 
 def one_hot(df: DataFrame, c: str, values: dict[str, str]) -> DataFrame:

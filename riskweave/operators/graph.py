@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
 from riskweave.operators.joins import join_features, mark_join
-from riskweave.session import drop_stage, materialize, write_stage
+from riskweave.session import drop_stage, materialize, write_measured, write_stage
 
 HUB_EDGES = 1_000_000
 
@@ -15,11 +15,11 @@ HUB_EDGES = 1_000_000
 def edge_table(df: DataFrame, src: str, dst: str, order: list[str], attrs: list[str], amount: str | None = None) -> DataFrame:
     """One row per directed pair. Attributes come from the last transaction in `order`;
     the number of transactions and the amount total are kept as well."""
-    last = F.struct(*order)
+    last = F.max(F.struct(*order, *[a for a in attrs if a not in order])).alias("_last")
     extra = [F.sum(amount).alias("total_amount")] if amount else []
-    return df.groupBy(F.col(src).alias("src"), F.col(dst).alias("dst")).agg(
-        *[F.max_by(a, last).alias(a) for a in attrs], F.count(F.lit(1)).alias("transactions"), *extra
-    )
+    pairs = df.groupBy(F.col(src).alias("src"), F.col(dst).alias("dst")).agg(last, F.count(F.lit(1)).alias("transactions"), *extra)
+    totals = ["total_amount"] if amount else []
+    return pairs.select("src", "dst", *[F.col(f"_last.{a}").alias(a) for a in attrs], "transactions", *totals)
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -27,9 +27,9 @@ def vertices(edges: DataFrame) -> DataFrame:
 
 
 def graph_counts(edges: DataFrame) -> DataFrame:
-    nodes = vertices(edges).agg(F.count(F.lit(1)).alias("vertices")).withColumn("_k", F.lit(0))
-    links = edges.select("src", "dst").distinct().agg(F.count(F.lit(1)).alias("edges")).withColumn("_k", F.lit(0))
-    return nodes.join(links, "_k").drop("_k")
+    count = lambda d, v, e: d.select(F.lit(v).alias("v"), F.lit(e).alias("e"))
+    both = count(vertices(edges), 1, 0).unionByName(count(edges.select("src", "dst").distinct(), 0, 1))
+    return both.agg(F.sum("v").alias("vertices"), F.sum("e").alias("edges"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -66,8 +66,8 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
         ),
         "edges",
     )
-    rank, path = write_stage(nodes.withColumn("rank", F.lit(1.0 / n)), "rank")
-    dangling = rank.agg(F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))).first()[0] or 0.0
+    lost = F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling")
+    rank, path, seen = write_measured(nodes.withColumn("rank", F.lit(1.0 / n)), "rank", lost)
     for _ in range(max_iter):
         senders = rank.where(F.col("out_degree") > 0).select(
             F.col("id").alias("src"),
@@ -75,20 +75,17 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
         )
         received = salted.join(senders, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("got"))
-        base = alpha * dangling / n + (1.0 - alpha) / n
+        base = alpha * seen["dangling"] / n + (1.0 - alpha) / n
         following = rank.join(received, "id", "left").select(
             "id", "out_degree", "parts",
             (F.coalesce("got", F.lit(0.0)) * alpha + F.lit(base)).alias("rank"),
             F.col("rank").alias("previous"),
         )
-        rank, new_path = write_stage(following, "rank")
+        change = F.sum(F.abs(F.col("rank") - F.col("previous"))).alias("change")
+        rank, new_path, seen = write_measured(following, "rank", lost, change)
         drop_stage(spark, path)
         path = new_path
-        change, dangling = rank.agg(
-            F.sum(F.abs(F.col("rank") - F.col("previous"))), F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))
-        ).first()
-        dangling = dangling or 0.0
-        if change < n * tol:
+        if seen["change"] < n * tol:
             break
     return rank.select("id", F.col("rank").alias("pagerank"))
 
@@ -124,10 +121,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*").where(F.col("u") != F.col("v")).distinct()
         )
-        current, new_path = write_stage(small, "cc")
+        edges_left = F.count(F.lit(1)).alias("edges"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")
+        current, new_path, mark = write_measured(small, "cc", *edges_left)
         drop_stage(spark, path)
         path = new_path
-        mark = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
         seen = mark

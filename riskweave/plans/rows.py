@@ -148,12 +148,12 @@ def amount_math(t):
 
 
 @query("interactions", f"""
-SELECT vec_id, {rnd('V1 * V2', 9)} AS "V1_V2_interaction", {rnd('V3 * V4', 9)} AS "V3_V4_interaction",
-  {rnd('V14 * V17', 9)} AS "V14_V17_interaction", {rnd('V1 + V2 + V3 + V4 + V5', 9)} AS v_sum_top5 FROM {VECTORS}""")
+SELECT vec_id, {rnd('V1 * V2', 9)} AS v1_v2_interaction, {rnd('V3 * V4', 9)} AS v3_v4_interaction,
+  {rnd('V14 * V17', 9)} AS v14_v17_interaction, {rnd('V1 + V2 + V3 + V4 + V5', 9)} AS v_sum_top5 FROM {VECTORS}""")
 def interactions(t):
     out = features.interactions(vectors(t), [("V1", "V2"), ("V3", "V4"), ("V14", "V17")])
     out = features.row_sum(out, V_NAMES[:5], "v_sum_top5")
-    names = ["V1_V2_interaction", "V3_V4_interaction", "V14_V17_interaction", "v_sum_top5"]
+    names = ["v1_v2_interaction", "v3_v4_interaction", "v14_v17_interaction", "v_sum_top5"]
     return out.select("vec_id", *[rounded(n, 9).alias(n) for n in names])
 
 

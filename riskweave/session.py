@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _OWN_DIR = "riskweave.shared.dir"
 
@@ -59,6 +59,12 @@ def write_stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def write_measured(df: DataFrame, tag: str, *metrics: Column) -> tuple[DataFrame, str, dict]:
+    """Like `write_stage`, and also return aggregates of the rows, read from the written columns."""
+    written, path = write_stage(df, tag)
+    return written, path, written.agg(*metrics).first().asDict()
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return write_stage(df, tag)[0]
 
