@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import col_of, day_of_seconds, flag, hour_of_seconds, night_flag, total_of
 from riskweave.operators.ordered import exact_quantiles
+from riskweave.session import materialize
 
 EPSILON = 1e-9
 
@@ -93,7 +94,7 @@ def winsorize(df: DataFrame, c: str, q: float = 0.99, low: float = 0.0, by: list
     if not by:
         cap = F.lit(caps.first()["_cap"])
         return df.withColumn(out, F.greatest(F.lit(low), F.least(F.col(c), cap)))
-    capped = df.join(caps, by)
+    capped = df.join(materialize(caps, "caps"), by)
     return capped.withColumn(out, F.greatest(F.lit(low), F.least(F.col(c), F.col("_cap")))).drop("_cap")
 
 

@@ -1,19 +1,23 @@
 """Exact k-nearest-neighbour join with Euclidean distance.
 
-Base rows are grouped around pivots (Lu et al., 2012). The distances kept per pivot
-give each query an upper bound on its k-th neighbour; cells that cannot beat it are
-skipped. The rest is split into blocks of bounded size, and each block pair returns
-k rows per query, never all pairs.
+Base rows are grouped around pivots (Lu et al., 2012) and, inside a pivot's cell, cut
+into rings of bounded size by their distance to it. The distances kept per pivot give
+each query an upper bound on its k-th neighbour; by the triangle inequality most cells
+and rings cannot beat it and are skipped. Each remaining block pair returns k rows per
+query, never all pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
+from riskweave.operators.ordered import with_group_index
 from riskweave.session import materialize
 
 _SLACK = 1e-9
@@ -45,8 +49,8 @@ def _nearest_cell(pivots: np.ndarray):
 
 
 def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.ndarray, k: int):
-    """Send each query to the cells that may hold one of its k nearest rows."""
-
+    """Send each query to the cells that may hold one of its k nearest rows, with the
+    range of distances to the pivot (`low`..`high`) such rows can have."""
     step = max(1, 4_000_000 // (near.size + pivots.size))
 
     def route(batches):
@@ -57,11 +61,12 @@ def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.n
                 # near[c, j] is the distance from pivot c to its j-th closest base row, so
                 # going through a pivot gives an upper bound on the k-th neighbour.
                 bound = np.partition((d[:, :, None] + near[None, :, :]).reshape(len(d), -1), k - 1, axis=1)[:, k - 1]
+                bound = bound * (1 + _SLACK) + _SLACK
                 for cell, inner, outer in cells:
-                    least = np.maximum(0.0, np.maximum(d[:, cell] - outer, inner - d[:, cell]))
-                    rows = np.flatnonzero(least <= bound * (1 + _SLACK) + _SLACK)
+                    low, high = d[:, cell] - bound, d[:, cell] + bound
+                    rows = np.flatnonzero((outer >= low) & (inner <= high))
                     if len(rows):
-                        yield pdf.iloc[rows].assign(cell=np.int32(cell))
+                        yield pdf.iloc[rows].assign(cell=np.int32(cell), low=low[rows], high=high[rows])
 
     return route
 
@@ -92,7 +97,7 @@ def knn_join(
     query_id: str,
     base_id: str,
     exclude_self: bool = False,
-    pivots: int = 32,
+    pivots: int | None = None,
     block_rows: int = 2_000,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) of the k nearest base rows of every query row.
@@ -103,14 +108,15 @@ def knn_join(
     b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
 
-    # A fixed number of pivots, chosen by hash, is all that reaches the driver.
+    # The pivots, at most 1024 and chosen by hash, are all that reaches the driver.
+    pivots = pivots or min(1024, max(16, math.isqrt(b.count()) // 4))
     seeds = b.orderBy(hash_order("id"), "id").limit(pivots).select("vec").collect()
     if not seeds:
         return q.sparkSession.createDataFrame([], "query_id long, neighbor_id long, distance double, rank int")
     centers = np.unique(np.array([r["vec"] for r in seeds], dtype=np.float64), axis=0)
 
     placed = materialize(b.mapInPandas(_nearest_cell(centers), "id long, vec array<double>, cell int, to_pivot double"), "cells")
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("to_pivot").alias("a"), F.max("to_pivot").alias("z")).collect()
+    stats = placed.groupBy("cell").agg(F.min("to_pivot").alias("a"), F.max("to_pivot").alias("z")).collect()
     closest = (
         placed.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("to_pivot", "id")))
         .where(F.col("r") <= need).select("cell", "r", "to_pivot").collect()
@@ -120,11 +126,14 @@ def knn_join(
         near[row["cell"], row["r"] - 1] = row["to_pivot"]
     cells = [(r["cell"], r["a"], r["z"]) for r in stats]
 
-    # Hash blocks also split a cell that is full of identical rows.
-    blocks = F.element_at(F.create_map(*[F.lit(x) for r in stats for x in (r["cell"], -(-r["n"] // block_rows))]), F.col("cell"))
-    blocked = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).drop("to_pivot")
-    wanted = q.mapInPandas(_route(centers, cells, near, need), "query_id long, vec array<double>, cell int")
-    routed = materialize(wanted.withColumn("block", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))), "routed")
+    # Rings hold `block_rows` rows each, also where a cell is full of identical rows.
+    ringed = with_group_index(placed, ["cell"], ["to_pivot", "id"], "_pos")
+    blocked = materialize(ringed.withColumn("block", F.floor(F.col("_pos") / block_rows).cast("int")).drop("_pos"), "rings")
+    rings = materialize(blocked.groupBy("cell", "block").agg(F.min("to_pivot").alias("a"), F.max("to_pivot").alias("z")), "bounds")
+    wanted = q.mapInPandas(_route(centers, cells, near, need), "query_id long, vec array<double>, cell int, low double, high double")
+    meets = (wanted.cell == rings.cell) & (rings.z >= wanted.low) & (rings.a <= wanted.high)
+    routed = materialize(wanted.join(rings, meets).select("query_id", "vec", rings.cell, "block"), "routed")
+    blocked = blocked.drop("to_pivot")
     # A block wanted by many queries is met by several query groups of bounded size.
     groups = routed.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("groups"))
     groups = materialize(groups, "groups")

@@ -56,7 +56,8 @@ def with_group_index(
 ) -> DataFrame:
     """0-based position inside each group; a group may span many partitions."""
     indexed = with_global_index(df, [*group, *order], "_idx", partitions)
-    starts = indexed.groupBy(*group).agg(F.min("_idx").alias("_first"))
+    # Written first: one row per group, joined by broadcast whenever that is small.
+    starts = materialize(indexed.groupBy(*group).agg(F.min("_idx").alias("_first")), "groups")
     joined = indexed.alias("a").join(
         starts.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_first"),
         _null_safe(group, "_g_"),

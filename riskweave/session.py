@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 
 _OWN_DIR = "riskweave.shared.dir"
+_stages: list[str] = []
 
 
 def build_session(app: str = "riskweave", master: str | None = None, **conf) -> SparkSession:
@@ -55,6 +56,7 @@ def write_stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = stage_path(spark, tag)
+    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -71,5 +73,13 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
 
 def drop_stage(spark: SparkSession, path: str) -> None:
     """Delete a superseded stage of an iterative job."""
+    if path in _stages:
+        _stages.remove(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete every intermediate table of this session; call it once the results are saved."""
+    while _stages:
+        drop_stage(spark, _stages.pop())
