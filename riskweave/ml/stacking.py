@@ -42,6 +42,7 @@ def oof(df: DataFrame, fitters: dict[str, Fitter], fold: str, keep: list[str], o
     and none is derived from a validation row. Result: `keep` columns plus one score
     column per model.
     """
+    df = materialize(df, "folds")  # read once per fold and model
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
     models: dict[str, list] = {name: [] for name in fitters}
     parts = []

@@ -46,9 +46,9 @@ def degrees(edges: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter: int = 100, hub_edges: int = HUB_EDGES) -> DataFrame:
     """PageRank with uniform restart and dangling mass; stops when the total change is below n*tol.
 
-    Edges are written once with a salt that splits the out-edges of hubs into parts of
-    about `hub_edges`; a hub's vertex row is repeated once per part, so no task sees all
-    edges of one account. Each round shuffles the vertices and pre-aggregated shares.
+    Edges carry a salt that splits the out-edges of hubs into parts of about `hub_edges`;
+    a hub's vertex row is repeated once per part, so no task sees all edges of one account.
+    Each round shuffles the vertices and pre-aggregated shares.
     """
     spark = edges.sparkSession
     links = edges.select("src", "dst").distinct()
@@ -66,6 +66,11 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
         ),
         "edges",
     )
+    # Placed once by sender and kept, so a round shuffles vertices but never the edges;
+    # a lost part is read again from the written table.
+    count = salted.count()
+    parts = max(min(spark.sparkContext.defaultParallelism, -(-count // 50_000)), -(-count // hub_edges), 1)
+    salted = salted.repartition(parts, "src", "salt").persist()
     lost = F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling")
     rank, path, seen = write_measured(nodes.withColumn("rank", F.lit(1.0 / n)), "rank", lost)
     for _ in range(max_iter):
@@ -87,6 +92,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
         path = new_path
         if seen["change"] < n * tol:
             break
+    salted.unpersist()
     return rank.select("id", F.col("rank").alias("pagerank"))
 
 

@@ -71,24 +71,46 @@ def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.n
     return route
 
 
+def _top_k(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k nearest of `ids` (ascending) for each query; equal distances keep id order."""
+    d = _distances(q, b)
+    if exclude_self:
+        d[q_ids[:, None] == ids[None, :]] = np.inf
+    keep = min(k, len(ids))
+    order = np.argsort(d, axis=1, kind="stable")[:, :keep]
+    out = pd.DataFrame({
+        "query_id": np.repeat(q_ids, keep), "neighbor_id": ids[order].ravel(),
+        "distance": np.take_along_axis(d, order, axis=1).ravel(), "rank": np.tile(np.arange(1, keep + 1, dtype=np.int32), len(q_ids)),
+    })
+    return out[np.isfinite(out["distance"])]
+
+
 def _block_top_k(k: int, exclude_self: bool):
     def best(_, queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(base):
             return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
         base = base.sort_values("id")
-        d = _distances(_matrix(queries["vec"]), _matrix(base["vec"]))
-        ids, q_ids = base["id"].to_numpy(), queries["query_id"].to_numpy()
-        if exclude_self:
-            d[q_ids[:, None] == ids[None, :]] = np.inf
-        keep = min(k, len(ids))
-        order = np.argsort(d, axis=1, kind="stable")[:, :keep]
-        picked = np.take_along_axis(d, order, axis=1).ravel()
-        out = pd.DataFrame({"query_id": np.repeat(q_ids, keep), "neighbor_id": ids[order].ravel(), "distance": picked})
-        return out[np.isfinite(out["distance"])]
+        found = _top_k(queries["query_id"].to_numpy(), _matrix(queries["vec"]), base["id"].to_numpy(), _matrix(base["vec"]), k, exclude_self)
+        return found[["query_id", "neighbor_id", "distance"]]
 
     return best
 
 
+def _against_one_block(q: DataFrame, rows: list, k: int, exclude_self: bool) -> DataFrame:
+    """All queries against a base of at most one block, sent to every executor; no shuffle."""
+    rows = sorted(rows, key=lambda r: r["id"])
+    ids = np.array([r["id"] for r in rows], dtype=np.int64)
+    shared = q.sparkSession.sparkContext.broadcast((ids, np.array([r["vec"] for r in rows], dtype=np.float64)))
+
+    def nearest(batches):
+        ids, base = shared.value
+        for pdf in batches:
+            if len(pdf) and len(ids):
+                yield _top_k(pdf["query_id"].to_numpy(), _matrix(pdf["vec"]), ids, base, k, exclude_self)
+
+    return q.mapInPandas(nearest, "query_id long, neighbor_id long, distance double, rank int")
+
+
 def knn_join(
     query: DataFrame,
     base: DataFrame,
@@ -108,11 +130,13 @@ def knn_join(
     b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
 
-    # The pivots, at most 1024 and chosen by hash, are all that reaches the driver.
+    head = b.limit(block_rows + 1).collect()
+    if len(head) <= block_rows:
+        return _against_one_block(q, head, k, exclude_self)
+
+    # The pivots, at most 1024 and chosen by hash, are all of the base that reaches the driver.
     pivots = pivots or min(1024, max(16, math.isqrt(b.count()) // 4))
     seeds = b.orderBy(hash_order("id"), "id").limit(pivots).select("vec").collect()
-    if not seeds:
-        return q.sparkSession.createDataFrame([], "query_id long, neighbor_id long, distance double, rank int")
     centers = np.unique(np.array([r["vec"] for r in seeds], dtype=np.float64), axis=0)
 
     placed = materialize(b.mapInPandas(_nearest_cell(centers), "id long, vec array<double>, cell int, to_pivot double"), "cells")

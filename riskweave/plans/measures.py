@@ -176,15 +176,24 @@ def sides(t):
     return rolling.positional_split(c, EVENT, 0.7)
 
 
-KS = "WITH s AS MATERIALIZED (SELECT * FROM " + SIDES + "), u AS (" + " UNION ALL ".join(
+LONG = "s AS MATERIALIZED (SELECT * FROM " + SIDES + "), u AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, side, {c} AS v FROM s" for c in DRIFT_COLS
-) + """), c AS (SELECT feature, v, count(*) FILTER (side = 'ref') AS a, count(*) FILTER (side = 'cur') AS b FROM u GROUP BY feature, v),
+) + ")"
+KS_STEPS = """c AS (SELECT feature, v, count(*) FILTER (side = 'ref') AS a, count(*) FILTER (side = 'cur') AS b FROM u GROUP BY feature, v),
   e AS (SELECT feature, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY feature) AS n1, sum(b) OVER (PARTITION BY feature) AS n2
     FROM c WINDOW w AS (PARTITION BY feature ORDER BY v)),
   k AS (SELECT feature, max(abs(ca / n1 - cb / n2)) AS d, CAST(max(n1) AS BIGINT) AS n1, CAST(max(n2) AS BIGINT) AS n2 FROM e GROUP BY feature),
   l AS (SELECT *, sqrt(n1::DOUBLE * n2 / (n1 + n2)) * d AS lam FROM k),
   q AS (SELECT feature, d, n1, n2, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, (
     SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) x(j)))) END AS p FROM l)"""
+PSI_STEPS = """r AS (SELECT feature, min(v) AS lo, max(v) AS hi, count(*) FILTER (side = 'ref') AS n1, count(*) FILTER (side = 'cur') AS n2 FROM u GROUP BY feature),
+  b AS (SELECT feature, CAST(least(floor((v - lo) / ((hi - lo) / 10)), 9) AS INT) AS bin, side FROM u JOIN r USING (feature)),
+  h AS (SELECT feature, i AS bin, n1, n2 FROM r, range(0, 10) x(i)),
+  f AS (SELECT feature, h.bin, (count(side) FILTER (side = 'ref') + 1e-6) / (n1 + 1e-5) AS rp, (count(side) FILTER (side = 'cur') + 1e-6) / (n2 + 1e-5) AS pp
+    FROM h LEFT JOIN b USING (feature, bin) GROUP BY feature, h.bin, n1, n2),
+  psi AS (SELECT feature, sum((pp - rp) * ln(pp / rp)) AS psi FROM f GROUP BY feature)"""
+KS = f"WITH {LONG}, {KS_STEPS}"
+PSI = f"WITH {LONG}, {PSI_STEPS}"
 
 
 @query("ks_two_sample", f"{KS} SELECT feature, {rnd('d')} AS ks_statistic, n1, n2, {rnd('p')} AS p_value FROM q")
@@ -212,14 +221,6 @@ def mann_whitney(t):
     return out.withColumns({"u": rounded("u"), "z": rounded("z"), "p_value": rounded("p_value", 5)})
 
 
-PSI = "WITH s AS MATERIALIZED (SELECT * FROM " + SIDES + "), u AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, side, {c} AS v FROM s" for c in DRIFT_COLS
-) + """), r AS (SELECT feature, min(v) AS lo, max(v) AS hi, count(*) FILTER (side = 'ref') AS n1, count(*) FILTER (side = 'cur') AS n2 FROM u GROUP BY feature),
-  b AS (SELECT feature, CAST(least(floor((v - lo) / ((hi - lo) / 10)), 9) AS INT) AS bin, side FROM u JOIN r USING (feature)),
-  h AS (SELECT feature, i AS bin, n1, n2 FROM r, range(0, 10) x(i)),
-  f AS (SELECT feature, h.bin, (count(side) FILTER (side = 'ref') + 1e-6) / (n1 + 1e-5) AS rp, (count(side) FILTER (side = 'cur') + 1e-6) / (n2 + 1e-5) AS pp
-    FROM h LEFT JOIN b USING (feature, bin) GROUP BY feature, h.bin, n1, n2),
-  psi AS (SELECT feature, sum((pp - rp) * ln(pp / rp)) AS psi FROM f GROUP BY feature)"""
 STATUS = "CASE WHEN psi < 0.1 THEN 'Stable' WHEN psi < 0.2 THEN 'Monitor' ELSE 'RETRAIN' END"
 
 
@@ -228,17 +229,10 @@ def psi(t):
     return drift.psi(sides(t), "side", DRIFT_COLS).withColumn("psi", rounded("psi"))
 
 
-# Customers of different market segments compared by price: shows all three states.
+# Orders before and after a date: prices stay alike, the date itself moves.
 @query("psi_status", f"""
 WITH o AS (SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'ref' ELSE 'cur' END AS side, o_totalprice AS price, epoch(o_orderdate) / 86400 AS day FROM orders),
-u AS (SELECT 'price' AS feature, side, price AS v FROM o UNION ALL SELECT 'day', side, day FROM o),
-r AS (SELECT feature, min(v) AS lo, max(v) AS hi, count(*) FILTER (side = 'ref') AS n1, count(*) FILTER (side = 'cur') AS n2 FROM u GROUP BY feature),
-b AS (SELECT feature, CAST(least(floor((v - lo) / ((hi - lo) / 10)), 9) AS INT) AS bin, side FROM u JOIN r USING (feature)),
-h AS (SELECT feature, i AS bin, n1, n2 FROM r, range(0, 10) x(i)),
-f AS (SELECT feature, h.bin, (count(side) FILTER (side = 'ref') + 1e-6) / (n1 + 1e-5) AS rp, (count(side) FILTER (side = 'cur') + 1e-6) / (n2 + 1e-5) AS pp
-  FROM h LEFT JOIN b USING (feature, bin) GROUP BY feature, h.bin, n1, n2),
-psi AS (SELECT feature, sum((pp - rp) * ln(pp / rp)) AS psi FROM f GROUP BY feature),
-s AS (SELECT {STATUS} AS status FROM psi)
+  u AS (SELECT 'price' AS feature, side, price AS v FROM o UNION ALL SELECT 'day', side, day FROM o), {PSI_STEPS}, s AS (SELECT {STATUS} AS status FROM psi)
 SELECT status, count(*) AS features, {rnd('count(*) * 100.0 / (SELECT count(*) FROM s)')} AS share_pct FROM s GROUP BY status""")
 def psi_status(t):
     frame = t.orders.select(
@@ -249,8 +243,7 @@ def psi_status(t):
     return aggregates.class_distribution(status, "status").withColumnRenamed("rows", "features").withColumn("share_pct", rounded("share_pct"))
 
 
-@query("drift_summary", KS + ", " + PSI.split("), u AS (")[1].join(["u2 AS (", ""]).replace("FROM u GROUP", "FROM u2 GROUP").replace("FROM u JOIN", "FROM u2 JOIN") + f""",
-  w AS ({WINDOW_RATES})
+@query("drift_summary", f"""WITH {LONG}, {KS_STEPS}, {PSI_STEPS}, w AS ({WINDOW_RATES})
 SELECT (SELECT count(*) FROM q WHERE p < 0.05) AS n_ks_drift, (SELECT count(*) FROM psi WHERE psi >= 0.2) AS n_psi_retrain,
   (SELECT count(*) FROM psi WHERE psi >= 0.1 AND psi < 0.2) AS n_psi_monitor,
   (SELECT {rnd('avg(rate_pct)')} FROM w WHERE "window" <= 7) AS ref_rate_pct, (SELECT {rnd('avg(rate_pct)')} FROM w WHERE "window" > 7) AS prod_rate_pct""")

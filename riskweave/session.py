@@ -45,7 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new folder for a table that may go when the session is done with it."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _stages.append(path)
+    return path
 
 
 def write_stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, str]:
@@ -56,7 +59,6 @@ def write_stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = stage_path(spark, tag)
-    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

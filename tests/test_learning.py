@@ -29,7 +29,7 @@ def with_vector(df):
     return df.withColumn("x", F.array(*COLS))
 
 
-@pytest.mark.parametrize("pivots, block", [(1, 1000), (8, 1000), (8, 20), (40, 7)])
+@pytest.mark.parametrize("pivots, block", [(None, 1000), (1, 100), (8, 20), (40, 7)])
 def test_knn_is_exact_with_copies(points, pivots, block):
     rows, df = points
     df = with_vector(df)
