@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.stats import unpivot
-
 
 def psi(df: DataFrame, side: str, cols: list[str], first: str = "ref", bins: int = 10, eps: float = 1e-6) -> DataFrame:
     """Population stability index per feature, over equal-width bins of the pooled range.

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from riskweave.operators import clean, sampling
 from riskweave.plans import medallion
 from riskweave.session import stage_path
 from riskweave.sources import exports, layers, runlog
@@ -75,3 +76,11 @@ def test_summary_json_file(spark):
 def test_sample_export(spark):
     paths = exports.sample_export(spark.range(50), 10, "id", stage_path(spark, "sample"))
     assert spark.read.parquet(paths["parquet"]).count() == 10
+
+
+def test_typed_rows_class_split_and_defaults(spark):
+    df = layers.from_rows(spark, [(1, 1, 0.9), (2, 0, None)], "id int not null, y int, s double")
+    assert not df.schema["id"].nullable
+    pos, neg = sampling.split_by_class(df, "y")
+    assert ([r["id"] for r in pos.collect()], [r["id"] for r in neg.collect()]) == ([1], [2])
+    assert [tuple(r) for r in clean.pick_or_default(df, ["id", "f1"], "—").collect()] == [(1, "—"), (2, "—")]
