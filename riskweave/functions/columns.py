@@ -28,9 +28,10 @@ def rounded(c: str | Column, digits: int = 6) -> Column:
 
 
 def epoch_seconds(ts: str | Column) -> Column:
-    """Whole seconds since 1970 of a timestamp, as the raw data sets keep their time."""
+    """Whole seconds since 1970 on the clock of the timestamp, whatever the session's time zone."""
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", origin, col_of(ts).cast("timestamp_ntz"))
+    elapsed = col_of(ts).cast("timestamp_ntz") - origin
+    return F.floor(elapsed.cast("interval second").cast("decimal(20,6)")).cast("long")
 
 
 def hour_of_seconds(t: str | Column) -> Column:

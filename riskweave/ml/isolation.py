@@ -28,7 +28,7 @@ def average_path(n: float) -> float:
 
 
 def _grow(limit: int, seed: int):
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         rng = np.random.default_rng([seed, tree])
         x = np.array(pdf.sort_values("_k")["_x"].tolist(), dtype=np.float64)

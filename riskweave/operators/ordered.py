@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 from riskweave.functions.columns import col_of
 from riskweave.functions.hashing import hash_order
@@ -152,14 +153,28 @@ def ordered_pairs(
     )
 
 
+def _to_plain(c: str, kind: DataType) -> Column:
+    """Timestamps travel as text or microseconds, so no time zone of the driver gets in."""
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c).alias(c)
+    return F.col(c).cast("string").alias(c) if isinstance(kind, TimestampNTZType) else F.col(c)
+
+
+def _from_plain(value, kind: DataType) -> Column:
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(value).cast(kind)
+
+
 def order_cuts(df: DataFrame, order: list[str], ranks: list[int], partitions: int | None = None) -> list:
     """Order-key values of the rows at the given 1-based ranks (None for rank 0).
 
     Only the key columns are sorted and only the asked-for rows reach the driver; rows
     are then placed by comparing their own key with a cut, without moving the table.
     """
-    keys = with_global_index(df.select(*order), order, "_idx", partitions)
-    found = {r["_idx"] + 1: tuple(r[c] for c in order) for r in keys.where(F.col("_idx").isin([k - 1 for k in ranks])).collect()}
+    keys = with_global_index(df.select(*order), order, "_idx", partitions).where(F.col("_idx").isin([k - 1 for k in ranks]))
+    plain = keys.select("_idx", *[_to_plain(c, df.schema[c].dataType) for c in order])
+    found = {r["_idx"] + 1: tuple(r[c] for c in order) for r in plain.collect()}
     return [found.get(k) for k in ranks]
 
 
@@ -167,7 +182,7 @@ def after_cut(df: DataFrame, order: list[str], cut: tuple | None) -> Column:
     """True for rows behind `cut` in the order of `order`."""
     if cut is None:
         return F.lit(True)
-    fixed = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, cut)])
+    fixed = F.struct(*[_from_plain(v, df.schema[c].dataType).alias(c) for c, v in zip(order, cut)])
     return F.struct(*order) > fixed
 
 

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.functions.columns import epoch_seconds
 from riskweave.operators import rolling, sampling
 from riskweave.operators.ordered import exact_quantiles, hash_cuts, order_cuts, prefix_sums, with_global_index, with_group_index
 
@@ -75,6 +76,30 @@ def test_order_cuts(data):
     assert order_cuts(df, ["v", "id"], [0, 1, 600, 1200], 5) == [None, ranked[0], ranked[599], ranked[-1]]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_positional_split_in_any_time_zone(spark, kind):
+    """Hours around a clock change, cut in the middle."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(48).select("id", F.timestamp_seconds(F.lit(1_730_505_600) + F.col("id") * 1800).cast(kind).alias("ts"))
+        ranked = [r["id"] for r in df.orderBy("ts", "id").collect()]
+        side = {r["id"]: r["side"] for r in rolling.positional_split(df, ["ts", "id"], 0.5, partitions=3).collect()}
+        assert [side[i] for i in ranked] == ["ref"] * 24 + ["cur"] * 24
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_epoch_seconds_ignores_the_session_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 12:00:00.75' AS ts")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert df.select(epoch_seconds("ts")).first()[0] == 1_719_835_200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_hash_cuts_select_exact_counts(data):
     rows, df = data
     cuts = hash_cuts(df, ["k"], ["id"], 1, lambda n: F.array(F.lit(0).cast("long"), F.floor(n / 2), n))
