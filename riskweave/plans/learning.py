@@ -200,6 +200,24 @@ def ml_oof(t):
     return fold_scores(train, fitters(), k=3, oversample=grow).scores
 
 
+@query("ml_oof_bayes", f"""
+WITH d AS MATERIALIZED (SELECT *, CAST((SELECT count(*) FROM range(1, 5) x(i) WHERE r2 > floor(n2 * i / 5)) AS INT) AS fold FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', vec_id, '42'))) AS r2, count(*) OVER (PARTITION BY label) AS n2 FROM {SPLIT} WHERE is_test = 0)),
+u AS MATERIALIZED (SELECT vec_id, label, fold, name, value FROM (UNPIVOT d ON {', '.join(V_NAMES)} INTO NAME name VALUE value)),
+k AS (SELECT i AS held FROM range(0, 5) x(i)),
+g AS (SELECT held, label, name, avg(value) AS m, var_pop(value) AS v FROM u JOIN k ON fold <> held GROUP BY held, label, name),
+e AS (SELECT held, 1e-9 * max(x) AS eps FROM (SELECT held, var_pop(value) AS x FROM u JOIN k ON fold <> held GROUP BY held, name) GROUP BY held),
+p AS (SELECT held, label, ln(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY held)) AS prior FROM d JOIN k ON fold <> held GROUP BY held, label),
+l AS (SELECT vec_id, u.fold, g.label, any_value(prior) - sum({NB_TERM}) AS ll FROM u JOIN g ON g.held = u.fold AND g.name = u.name
+  JOIN p ON p.held = g.held AND p.label = g.label JOIN e ON e.held = g.held GROUP BY vec_id, u.fold, g.label)
+SELECT vec_id, fold, {rnd('1 / (1 + exp(max(ll) FILTER (label = 0) - max(ll) FILTER (label = 1)))', 5)} AS p_bayes FROM l GROUP BY vec_id, fold""")
+def ml_oof_bayes(t):
+    """Out-of-fold scores of one model whose fit has a closed form."""
+    train, _ = split(t)
+    out = fold_scores(train, {"p_bayes": fitters()["p_bayes"]}).scores
+    return out.select("vec_id", "fold", rounded("p_bayes", 5).alias("p_bayes"))
+
+
 @query("oof_join", f"SELECT vec_id, label FROM {SPLIT} WHERE is_test = 0")
 def oof_join(t):
     train, _ = scaled(t)
