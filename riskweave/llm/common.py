@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.session import ship_package
+
 WHITE = "\\x20\\x09-\\x0D"
 
 
@@ -64,4 +66,5 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[s
         for rows, texts in grouped_texts(batches):
             yield step(rows, texts)
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

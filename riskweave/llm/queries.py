@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import packing
+from riskweave.llm import exact, packing, simhash
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,25 @@ def query(fn):
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of at most 4096 tokens."""
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of equal texts of every document."""
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_exact_dedup"] = r"""
+with t as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents
+)
+select doc_id, min(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
+       doc_id = min(doc_id) over (partition by norm) as kept, sha256(norm) as text_sha256
+from t
+"""
