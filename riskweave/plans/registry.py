@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskweave.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,6 +17,7 @@ def query(name: str, sql: str | None = None):
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
 
         if name in QUERIES:

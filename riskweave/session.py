@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 _OWN_DIR = "riskweave.shared.dir"
 _stages: list[str] = []
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "riskweave", master: str | None = None, **conf) -> SparkSession:
@@ -26,7 +29,24 @@ def build_session(app: str = "riskweave", master: str | None = None, **conf) ->
     }
     for key, value in settings.items():
         builder = builder.config(key, str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application.
+
+    Functions that run in Python workers are found there by name, so without it they only
+    work where every machine has the package installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(tempfile.mkdtemp(prefix="riskweave-"), "riskweave")
+    context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(home), os.path.basename(home)))
+    _shipped.add(context.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
