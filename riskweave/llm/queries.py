@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import exact, packing, simhash
+from riskweave.llm import exact, langid, packing, simhash
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,9 @@ select doc_id, min(doc_id) over (partition by norm) as keep_id, count(*) over (p
        doc_id = min(doc_id) over (partition by norm) as kept, sha256(norm) as text_sha256
 from t
 """
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
