@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import exact, langid, packing, simhash
+from riskweave.llm import exact, langid, mixing, packing, simhash
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,11 @@ from t
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and sampling rate of every document."""
+    rated = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    shares = [F.col("p")[i].alias(f"p_{name}") for i, name in enumerate(mixing.DOMAINS)]
+    return rated.select("doc_id", "tokens", *shares, "rate")
