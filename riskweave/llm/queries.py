@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import exact, langid, mixing, packing, simhash
+from riskweave.llm import exact, langid, mixing, ngram, packing, simhash
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     shares = [F.col("p")[i].alias(f"p_{name}") for i, name in enumerate(mixing.DOMAINS)]
     return rated.select("doc_id", "tokens", *shares, "rate")
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Kneser-Ney model of the training folds."""
+    return ngram.score_corpus(table(spark, sf_dir, "documents"))
