@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import exact, langid, mixing, ngram, packing, simhash
+from riskweave.llm import exact, fuzzy, langid, mixing, ngram, packing, simhash
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a Kneser-Ney model of the training folds."""
     return ngram.score_corpus(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprints of every document and of its edited text, and their likeness."""
+    return fuzzy.edit_report(table(spark, sf_dir, "documents"))
