@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import exact, fuzzy, langid, mixing, ngram, packing, simhash
+from riskweave.llm import exact, fuzzy, langid, mixing, ngram, packing, quality, simhash, toxicity, warc
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,36 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piecewise fingerprints of every document and of its edited text, and their likeness."""
     return fuzzy.edit_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to web archives and read back through the capture index."""
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_warc_index"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (
+  select page_id, strlen(html) as payload_bytes, sha1(html) as h, max(page_id) over (partition by html) as top from p
+)
+select page_id, payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::int >> (15 - 5 * (i % 4))) & 31) + 1, 1)
+         for i in range(32)], '') as payload_digest,
+       case when page_id = top then 'response' else 'revisit' end as record_type,
+       case when page_id <> top then top end as refers_to
+from d
+"""
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
