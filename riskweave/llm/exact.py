@@ -70,10 +70,10 @@ def chunk_hashes(parts: DataFrame, *keep: str, fields=FIELDS, size: int = CHUNK)
     return parts.select(*keep, "after", "part").mapInArrow(run, ", ".join([schema, *[f"h{i} long" for i in range(len(fields))]]))
 
 
-def fingerprints(held: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
-    """uid, doc_id, sha, bytes and h0... of every row of `held` (uid, doc_id, text)."""
+def fingerprints(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
+    """uid, doc_id, sha, bytes and h0... of every row of `docs` (doc_id, text)."""
     names = [f"h{i}" for i in range(len(fields))]
-    normal = held.select("uid", "doc_id", normalised(F.col("text")).alias("norm"))
+    normal = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", normalised(F.col("text")).alias("norm"))
     parts = normal.select(
         "uid", "doc_id", F.sha2("norm", 256).alias("sha"), F.octet_length("norm").cast("long").alias("bytes"),
         F.explode(chunks(F.col("norm").cast("binary"), size)).alias("c"),
@@ -83,62 +83,71 @@ def fingerprints(held: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame
     return hashed.groupBy("uid").agg(*[F.first(c).alias(c) for c in ("doc_id", "sha", "bytes")], *sums)
 
 
-def _split(held: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """uid and `sub` of the rows whose group holds unequal texts: rows with equal `sub` are equal.
+def _compare(docs: DataFrame, copies: DataFrame, size: int) -> None:
+    """Compare the texts of each class chunk by chunk.
 
-    For each chunk place of a group the least and the greatest chunk are streamed together;
-    a group is equal where they agree at every place.
+    For each chunk place of a class the least and the greatest chunk are streamed together,
+    first inside a task, so a class of any size meets as a few rows. They agree at every
+    place if and only if all texts of the class are equal.
     """
-    parts = held.join(members.select("uid", "group"), "uid").select(
-        "group", F.explode(chunks(normalised(F.col("text")).cast("binary"), size)).alias("c")
-    )
-    places = parts.groupBy("group", F.col("c.index").alias("index")).agg(
-        F.min("c.part").alias("low"), F.max("c.part").alias("high")
-    )
-    unequal = materialize(places.where(F.col("low") != F.col("high")).select("group").distinct(), "exact-unequal")
-    return members.join(unequal, "group").join(held, "uid").select("uid", normalised(F.col("text")).alias("sub"))
+    texts = docs.select(normalised(F.col("text")).alias("norm")).select(F.sha2("norm", 256).alias("sha"), "norm")
+    # The list of classes grows with the corpus, so neither side is broadcast.
+    texts = texts.join(copies.select("sha", "class").hint("shuffle_merge"), "sha")
+    parts = texts.select("class", F.explode(chunks(F.col("norm").cast("binary"), size)).alias("c"))
+    places = parts.groupBy("class", F.col("c.index").alias("index")).agg(F.min("c.part").alias("low"), F.max("c.part").alias("high"))
+    if not places.where(F.col("low") != F.col("high")).isEmpty():
+        raise RuntimeError("texts with equal fingerprints and SHA-256 digests differ")
 
 
-def classes(held: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
-    """For each row of `held` (a written table of uid, doc_id, text): uid, doc_id, sha, first, n.
+def classes(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Codes of the rows of `docs` (doc_id, text), and the classes of two or more equal texts.
 
-    `first` has the doc_id and uid of the row that stays, `n` counts the equal rows.
+    The classes have sha, bytes, h0..., `first` (doc_id and uid of the row that stays), `n`
+    rows, and `kept_rows` with the doc_id that stays. Different texts of one fingerprint are
+    told apart by their digest, and the texts of a class are compared in full.
     """
-    names = [f"h{i}" for i in range(len(fields))]
-    coded = materialize(fingerprints(held, fields, size), "exact-codes")
+    coded = materialize(fingerprints(docs, fields, size), "exact-codes")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
-    keys = ["bytes", *names]
-    groups = coded.groupBy(*keys).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where(F.col("n") > 1).withColumn("group", F.col("first.uid"))
-    members = materialize(coded.join(groups, keys).select("uid", "doc_id", "group", "first", "n"), "exact-members")
-    split = materialize(_split(held, members, size), "exact-split")
-    again = members.join(split, "uid").groupBy("group", "sub").agg(F.min(order).alias("first2"), F.count(F.lit(1)).alias("n2"))
-    fixed = members.join(split, "uid").join(again, ["group", "sub"]).select("uid", "first2", "n2")
-    settled = members.join(fixed, "uid", "left").select("uid", F.coalesce("first2", "first").alias("first"), F.coalesce("n2", "n").alias("n"))
-    own = order.alias("own")
-    return coded.select("uid", "doc_id", "sha", own).join(settled, "uid", "left").select(
-        "uid", "doc_id", "sha", F.coalesce("first", "own").alias("first"), F.coalesce("n", F.lit(1)).alias("n")
+    keys = ["bytes", *[f"h{i}" for i in range(len(fields))], "sha"]
+    each = coded.groupBy(*keys, "doc_id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = each.groupBy(*keys).agg(
+        F.min("first").alias("first"), F.sum("n").alias("n"), F.min(F.struct("first", "n")).alias("least")
+    ).where(F.col("n") > 1)
+    copies = materialize(
+        groups.select(*keys, "first", "n", F.col("least.n").alias("kept_rows"), F.col("first.uid").alias("class")), "exact-classes"
     )
+    _compare(docs, copies, size)
+    return coded, copies
 
 
-def exact_duplicates(docs: DataFrame, **how) -> DataFrame:
+def exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
     """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty. Of equal texts the smallest doc_id stays; a null doc_id comes
     after all numbers, and of rows with the same doc_id and equal texts one is kept.
     """
-    held = materialize(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("uid")), "exact-rows")
-    return classes(held, **how).select(
-        "doc_id", F.col("first.id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("sha").alias("text_sha256"),
+    coded, copies = classes(docs.select("doc_id", "text"), fields, size)
+    keys = ["bytes", *[f"h{i}" for i in range(len(fields))], "sha"]
+    alone = F.col("n").isNull()
+    return coded.join(copies, keys, "left").select(
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).alias("group_size"),
+        (alone | (F.col("uid") == F.col("first.uid"))).alias("kept"), F.col("sha").alias("text_sha256"),
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The rows of `docs` that `exact_duplicates` keeps, with the columns of `docs`."""
-    held = materialize(with_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), uid=F.monotonically_increasing_id()), "exact-rows")
-    dropped = classes(held, **how).where(F.col("uid") != F.col("first.uid")).select("uid")
-    return row_columns(held.join(dropped, "uid", "left_anti"), docs.columns)
+def drop_exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
+    """The rows of `docs` that `exact_duplicates` keeps, with the columns of `docs`.
+
+    Of rows with the same doc_id and equal texts any one may stay.
+    """
+    _, copies = classes(docs.select("doc_id", "text"), fields, size)
+    held = with_row(docs, doc_id=F.col("doc_id"), sha=F.sha2(normalised(F.col("text")), 256))
+    found = held.join(copies.select("sha", F.col("first.id").alias("first"), "kept_rows").hint("shuffle_merge"), "sha", "left")
+    stay = found.where(F.col("kept_rows").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
+    again = F.coalesce(F.col("kept_rows") > 1, F.lit(False))
+    repeated = stay.where(again).groupBy("sha").agg(F.first("row").alias("row"))
+    return row_columns(stay.where(~again).select("row"), docs.columns).unionByName(row_columns(repeated, docs.columns))
 
 
 def combine(left: tuple[int, ...], right: tuple[int, ...], right_bytes: int, fields=FIELDS) -> tuple[int, ...]:
