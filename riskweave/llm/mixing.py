@@ -30,83 +30,84 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{WHITE}]+"), lambda w: w != "")
 
 
-def features(words: Column, buckets: int) -> Column:
-    """Hashed numbers of the words, their last two characters, and of words that repeat the one before."""
-    whole = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)))
-    ends = F.transform(words, lambda w: F.pmod(F.xxhash64(F.right(w, F.lit(2))), F.lit(buckets)) + buckets)
-    # Runs of one word show up as one further number.
-    again = F.exists(
-        F.transform(words, lambda w, i: (w == F.get(words, i - 1)) & (w == F.get(words, i - 2)) & (w == F.get(words, i - 3))),
-        lambda x: F.coalesce(x, F.lit(False)),
-    )
-    return F.concat(whole, ends, F.when(again, F.array(F.lit(2 * buckets).cast("long"))).otherwise(F.array().cast("array<long>")))
+def features(words: Column) -> Column:
+    """Hashes of the words without final punctuation, of their last two characters, and of texts
+    that say the same over and over."""
+    whole = F.transform(words, lambda w: F.xxhash64(F.rtrim(w, F.lit(".,;:!?"))))
+    ends = F.transform(words, lambda w: F.xxhash64(F.right(w, F.lit(2)), F.lit("end")))
+    again = F.size(F.array_distinct(words)) * 5 < F.size(words)
+    return F.concat(whole, ends, F.when(again, F.array(F.xxhash64(F.lit("again")))).otherwise(F.array().cast("array<long>")))
 
 
 class Classifier:
-    """Priors and, for each feature that tells domains apart, log ratios against the first domain."""
+    """Naive Bayes over the numbers of marks that a text holds of each domain but the first.
 
-    def __init__(self, buckets: int, log_prior: list[float], ratios: dict[int, list[float]]):
-        self.buckets, self.log_prior, self.ratios = buckets, log_prior, ratios
+    `marks` has the features that mark a domain, `odds` the log probability of none, one, two,
+    or more marks of each such domain, given the domain.
+    """
+
+    def __init__(self, log_prior: list[float], marks: list[list[int]], odds: list[list[list[float]]]):
+        self.log_prior, self.marks, self.odds = log_prior, marks, odds
 
     def posteriors(self, counted: DataFrame, *keep: str) -> DataFrame:
         """Columns `keep` and p, the array of domain probabilities, from a column `words`."""
-        chosen = _numbers(sorted(self.ratios), "bigint")
         # Each step is its own projection, so no array is computed more than once.
-        told = F.array_intersect(features(F.col("words"), self.buckets), chosen)
-        places = F.transform(told, lambda f: F.array_position(chosen, f).cast("int"))
-        scored = counted.select(*keep, places.alias("places")).select(
-            *keep, F.array(*[self._score(k) for k in range(len(self.log_prior))]).alias("scores")
-        )
-        powers = scored.select(*keep, F.col("scores"), F.array_max("scores").alias("top")).select(
-            *keep, F.transform("scores", lambda s: F.exp(s - F.col("top"))).alias("powers")
-        )
-        total = F.aggregate("powers", F.lit(0.0), lambda a, b: a + b)
-        return powers.select(*keep, F.col("powers"), total.alias("total")).select(
-            *keep, F.transform("powers", lambda p: p / F.col("total")).alias("p")
+        marked = counted.select(*keep, features(F.col("words")).alias("f")).select(
+            *keep, *[held(F.col("f"), m).alias(f"m{k}") for k, m in enumerate(self.marks)]
         )
+        scores = []
+        for domain, prior in enumerate(self.log_prior):
+            score = F.lit(prior)
+            for k, by_domain in enumerate(self.odds):
+                score = score + F.element_at(F.array(*map(F.lit, by_domain[domain])), F.col(f"m{k}") + 1)
+            scores.append(score)
+        powers = marked.select(*keep, F.array(*scores).alias("s")).select(*keep, F.transform("s", F.exp).alias("e"))
+        total = F.aggregate("e", F.lit(0.0), lambda a, b: a + b)
+        return powers.select(*keep, "e", total.alias("total")).select(*keep, F.transform("e", lambda v: v / F.col("total")).alias("p"))
 
-    def _score(self, domain: int) -> Column:
-        own = _numbers([self.ratios[f][domain] for f in sorted(self.ratios)], "double")
-        prior = F.lit(self.log_prior[domain])
-        return F.aggregate("places", prior, lambda s, i: s + F.element_at(own, i)) if domain and self.ratios else prior
 
+#: Numbers of marks told apart: none, one, two, three and more.
+BINS = 4
 
-def _numbers(values: list, kind: str) -> Column:
-    """A constant array, folded when the query is planned."""
-    if not values:
-        return F.array().cast(f"array<{kind}>")
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
+def held(found: Column, marks: list[int]) -> Column:
+    """Number of the `marks` among the features of a text, up to the last bin."""
+    constant = F.split(F.lit(",".join(map(str, marks))), ",").cast("array<bigint>") if marks else F.array().cast("array<bigint>")
+    return F.least(F.size(F.array_intersect(found, constant)), F.lit(BINS - 1))
 
-def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, buckets: int = 1 << 14, sure: float = 4.0,
+
+def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, share: float = 0.01, times: float = 12.0,
                    domains: int = len(DOMAINS)) -> Classifier:
-    """Naive Bayes over feature indicators.
+    """Learn marks and their odds from labelled texts.
 
     Learned from at most `fit_rows` labelled rows, taken in the order of a hash of their id,
-    so the sample does not depend on where rows lie. Features whose log ratio is less than
-    `sure` standard errors from zero say nothing. Without labelled rows all domains are alike.
+    so the sample does not depend on where rows lie. A mark of a domain is in at least `share`
+    of its texts, three at least, and `times` as frequent there as in the first domain; there
+    are no more than 1 / `share` times the features of a mean text. Without labelled rows all
+    domains are alike.
     """
-    marked = labels.select("doc_id", domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null and doc_id is not null")
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(fit_rows)
-    used = docs.select("doc_id", words_of(F.col("text")).alias("words")).join(F.broadcast(sample), "doc_id")
-    used = materialize(used.select("domain", F.array_distinct(features(F.col("words"), buckets)).alias("f")), "mixing-fit")
+    known = labels.select("doc_id", domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null and doc_id is not null")
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(fit_rows)
+    # At most fit_rows ids and numbers are sent to all tasks; only their texts are split.
+    used = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", words_of(F.col("text")).alias("words"))
+    used = materialize(used.select("domain", F.array_distinct(features(F.col("words"))).alias("f")), "mixing-fit")
     totals = {r["domain"]: r["n"] for r in used.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = [float(totals.get(k, 0)) for k in range(domains)]
-    seen = sum(counts)
-    log_prior = [math.log((n + 1) / (seen + domains)) for n in counts]
+    counts = [totals.get(k, 0) for k in range(domains)]
     hits = [F.sum((F.col("domain") == k).cast("long")).alias(f"n{k}") for k in range(domains)]
-    # One row for each of the fixed number of features.
-    ratios = {}
-    for r in used.select("domain", F.explode("f").alias("f")).groupBy("f").agg(*hits).toLocalIterator():
-        base = (r["n0"] + 0.5) / (counts[0] + 1)
-        own = []
-        for k in range(domains):
-            ratio = math.log((r[f"n{k}"] + 0.5) / (counts[k] + 1) / base)
-            error = math.sqrt(1 / (r[f"n{k}"] + 0.5) + 1 / (r["n0"] + 0.5))
-            own.append(ratio if abs(ratio) > sure * error else 0.0)
-        if any(own):
-            ratios[r["f"]] = own
-    return Classifier(buckets, log_prior, ratios)
+    seen = materialize(used.select("domain", F.explode("f").alias("f")).groupBy("f").agg(*hits), "mixing-features")
+    marks = []
+    for k in range(1, domains):
+        rate = (F.col(f"n{k}") + 0.5) / (counts[k] + 1) / ((F.col("n0") + 0.5) / (counts[0] + 1))
+        found = seen.where((F.col(f"n{k}") >= max(3.0, share * counts[k])) & (rate >= times)).select("f").collect()
+        marks.append(sorted(r["f"] for r in found))
+    told = used.groupBy("domain", *[held(F.col("f"), m).alias(f"m{k}") for k, m in enumerate(marks)]).agg(F.count(F.lit(1)).alias("n")).collect()
+    odds = []
+    for k in range(domains - 1):
+        table = [[0.5] * BINS for _ in range(domains)]
+        for r in told:
+            table[r["domain"]][r[f"m{k}"]] += r["n"]
+        odds.append([[math.log(v / sum(row)) for v in row] for row in table])
+    return Classifier([math.log((n + 1) / (sum(counts) + domains)) for n in counts], marks, odds)
 
 
 def memberships(docs: DataFrame, classifier: Classifier, *keep: str) -> DataFrame:
@@ -116,38 +117,65 @@ def memberships(docs: DataFrame, classifier: Classifier, *keep: str) -> DataFram
     return classifier.posteriors(counted, *keep, "tokens")
 
 
-def fit_rates(members: DataFrame, targets: list[float], total: float | None = None, close: float = 1e-5, most: int = 400,
-              stretch: int = 6) -> tuple[DataFrame, float]:
+def _inverse(square: list[list[float]]) -> list[list[float]]:
+    """Inverse of a small symmetric matrix with a little added to its diagonal."""
+    n = len(square)
+    ridge = 1e-9 + 1e-6 * sum(square[i][i] for i in range(n)) / n
+    rows = [[square[i][j] + ridge * (i == j) for j in range(n)] + [float(i == j) for j in range(n)] for i in range(n)]
+    for i in range(n):
+        rows[i] = [v / rows[i][i] for v in rows[i]]
+        for j in range(n):
+            if j != i:
+                rows[j] = [v - rows[j][i] * u for v, u in zip(rows[j], rows[i])]
+    return [r[n:] for r in rows]
+
+
+def fit_rates(members: DataFrame, targets: list[float], total: float | None = None, close: float = 1e-6, most: int = 400,
+              stretch: int = 4) -> tuple[DataFrame, float]:
     """`members` (written: tokens, p, ...) with `rate`, and the total of expected tokens aimed at.
 
-    Minimises the squared gap between expected domain tokens and their targets, each divided
-    by the domain's tokens, over rates of at least 0, from rates of 1. `total` is by default
-    the largest that repeats no domain. Steps go on until no domain's share moves by more
-    than `close`; they then fit the targets as far as nonnegative rates can. Raises where
-    `most` steps do not settle. Each step is one aggregate over the small written table; the
-    rates are written after every `stretch` steps.
+    Minimises the squared gap between expected domain tokens and their targets over rates of
+    at least 0, from rates of 1. The gap is measured in the metric of the token-weighted
+    second moments of the posteriors, in which a gradient step of length one is exact where
+    no rate falls below 0. `total` is by default the largest that repeats no domain. Steps go
+    on until no domain's share of all tokens moves by more than `close`; targets are then met
+    as far as nonnegative rates can. Raises where `most` steps do not settle. Each step is one
+    aggregate over the small written table, whose rates are written after every `stretch` steps.
     """
     k = len(targets)
-    base = members.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    moments = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i, j in pairs]
+    sums = [F.sum(F.col("tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]
+    base = members.agg(F.sum("tokens").alias("n"), *sums, *moments).first()
     all_tokens = float(base["n"] or 0)
     if not all_tokens:
         return members.withColumn("rate", F.lit(1.0)), 0.0
     have = [base[f"s{i}"] / all_tokens for i in range(k)]
-    usable = [i for i in range(k) if have[i] > 1e-9]
+    metric = _inverse([[base[f"m{min(i, j)}_{max(i, j)}"] / all_tokens for j in range(k)] for i in range(k)])
     if total is None:
-        total = all_tokens * min((have[i] / targets[i] for i in usable if targets[i] > 0), default=1.0)
+        total = all_tokens * min((have[i] / targets[i] for i in range(k) if targets[i] > 0 and have[i] > 1e-9), default=1.0)
     aim = [t * total / all_tokens for t in targets]
-    state, rate, share, last = members.withColumn("rate", F.lit(1.0)), F.col("rate"), have, None
+    one = F.lit(1.0)
+    state, rate, before = members.withColumns({"rate": one, "before": one}), F.col("rate"), F.col("before")
+    share, last, run, worst = have, have, 0, None
     for step in range(1, most + 1):
-        gap = [(share[i] - aim[i]) / have[i] if i in usable else 0.0 for i in range(k)]
-        if last is not None and max(abs(a - b) / max(a, 1e-9) for a, b in zip(share, last)) < close:
-            return state.withColumn("rate", rate), total
-        pull = sum((F.col("p")[i] * gap[i] for i in range(1, k)), F.col("p")[0] * gap[0])
-        rate = F.greatest(F.lit(0.0), rate - pull)
+        # Momentum: the step starts ahead of the rates; it begins anew when the gap grows.
+        ahead = run / (run + 3)
+        gap = [s + ahead * (s - t) - a for s, t, a in zip(share, last, aim)]
+        push = [sum(m * g for m, g in zip(row, gap)) for row in metric]
+        pull = sum((F.col("p")[i] * push[i] for i in range(1, k)), F.col("p")[0] * push[0])
+        rate, before = F.greatest(F.lit(0.0), rate + ahead * (rate - before) - pull), rate
         if step % stretch == 0:
-            state, rate = materialize(state.withColumn("rate", rate), "mixing-rates"), F.col("rate")
+            state = materialize(state.withColumns({"rate": rate, "before": before}), "mixing-rates")
+            rate, before = F.col("rate"), F.col("before")
         sums = state.agg(*[F.sum(F.col("tokens") * F.col("p")[i] * rate).alias(f"s{i}") for i in range(k)]).first()
         last, share = share, [sums[f"s{i}"] / all_tokens for i in range(k)]
+        left = [s - a for s, a in zip(share, aim)]
+        size = sum(x * sum(m * y for m, y in zip(row, left)) for x, row in zip(left, metric))
+        moved = max(abs(a - b) for a, b in zip(share, last))
+        if moved < close and size < close * close or moved < close / 10:
+            return state.withColumn("rate", rate).drop("before"), total
+        run, worst = (0 if worst is not None and size > worst else run + 1), size
     raise RuntimeError("rates did not settle; raise `most`")
 
 
