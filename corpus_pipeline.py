@@ -7,15 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import exact, langid, mixing, packing, simhash
-from riskweave.llm.common import fold, row_columns, table, with_row
+from riskweave.llm.common import fold, table
 from riskweave.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without a letter or without a clear language go."""
-    held = with_row(docs, lang=F.col("lang"), text=F.col("text"), learn=fold(F.col("doc_id"), 5) != 0)
-    told = langid.predict(held, langid.fit(held, F.col("learn")), "row")
-    return row_columns(told.where(langid.accepted()), docs.columns)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    held = docs.select(rest.alias("rest"), "text", "lang", (fold(F.col("doc_id"), 5) != 0).alias("learn"))
+    told = langid.predict(held, langid.fit(held, F.col("learn")), "rest", "text").where(langid.accepted())
+    return told.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

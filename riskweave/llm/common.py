@@ -58,7 +58,7 @@ def _strings(texts: pa.Array) -> list[str]:
     return [t or "" for t in texts.to_pylist()]
 
 
-def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch]], schema: str) -> DataFrame:
+def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch]], schema) -> DataFrame:
     """Apply a function of (rows, texts) to slices of `df`; `make` runs once in each task."""
 
     def run(batches):

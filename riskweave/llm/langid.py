@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskweave.llm.common import fold, map_texts
 
@@ -244,8 +245,9 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     Null text and text without a letter get 'und' and score 0, as do all rows if no language
     was learned.
     """
-    kept = docs.select(*keep, "text")
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in kept.schema if f.name != "text")
+    kept = docs.select(*dict.fromkeys([*keep, "text"]))
+    told = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    schema = StructType([*[kept.schema[c] for c in keep], *told])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -265,7 +267,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 
         return step
 
-    return map_texts(kept, make, f"{schema}lang_pred string, score double")
+    return map_texts(kept, make, schema)
 
 
 def identify(docs: DataFrame, parts: int = 5, vocabulary: str | None = None) -> DataFrame:
