@@ -73,7 +73,7 @@ def fingerprint(data: bytes) -> str:
     for k in range(level, level + SCALES):
         cuts = ends[levels >= k] + 1
         starts = np.concatenate([[0], cuts[cuts < len(data)]])
-        chunks = np.add.reduceat(weighted, starts) * _power(_STEP, len(data))[starts]
+        chunks = np.add.reduceat(weighted, starts, dtype=np.uint32) * _power(_STEP, len(data))[starts]
         parts.append(LETTERS[mix(chunks.astype(np.uint64)) >> np.uint64(58)].tobytes().decode())
     return ":".join([str(level), *parts])
 
