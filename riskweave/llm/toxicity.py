@@ -62,6 +62,31 @@ class Gauge:
         return max(map(self.share, windows(text)), default=0.0)
 
 
+def one_of_each_family(chosen: DataFrame, keys: int = 3) -> DataFrame:
+    """Of texts of one class that share the least hash of their three-word shingles, under any of
+    `keys` hash functions, one is left, so a text copied many times is one witness."""
+
+    def make():
+        from xxhash import xxh64_intdigest
+
+        def step(rows, texts):
+            least = [[] for _ in range(keys)]
+            for text in texts:
+                words = text.lower().split()
+                shingles = [" ".join(words[i : i + 3]).encode("utf-8", "replace") for i in range(max(1, len(words) - 2))]
+                for k, own in enumerate(least):
+                    own.append(min(xxh64_intdigest(s, k) for s in shingles) >> 1)
+            kept = [rows.column("y"), pa.array(texts, pa.string()), *[pa.array(v, pa.int64()) for v in least]]
+            return pa.RecordBatch.from_arrays(kept, names=["y", "text", *[f"k{i}" for i in range(keys)]])
+
+        return step
+
+    out = map_texts(chosen.select("y", "text"), make, ", ".join(["y int, text string", *[f"k{i} long" for i in range(keys)]]))
+    for i in range(keys):
+        out = out.dropDuplicates(["y", f"k{i}"])
+    return out.select("y", "text")
+
+
 def count_windows(chosen: DataFrame) -> DataFrame:
     """window, toxic, ordinary: the number of texts of each class that hold it."""
 
@@ -80,7 +105,7 @@ def count_windows(chosen: DataFrame) -> DataFrame:
     return counted.groupBy("window").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def dictionaries(chosen: DataFrame, ordinary_windows: int = 2_000, toxic_windows: int = 3_000, share: float = 0.02, times: float = 12.0) -> tuple[bytes, bytes]:
+def dictionaries(chosen: DataFrame, ordinary_windows: int = 2_000, toxic_windows: int = 3_000, share: float = 0.01, times: float = 12.0) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary from labelled texts (y, text).
 
     The ordinary one has the windows most frequent in ordinary texts. The toxic one has
@@ -156,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     """Learn from at most `most` labelled rows; see `labelled.sample`. Without labels all texts
     get one half; without toxic ones all get a low score."""
     chosen = materialize(sample(docs, labels, label, parts, held, most), "toxicity-fit")
-    ordinary, toxic = dictionaries(chosen)
+    ordinary, toxic = dictionaries(materialize(one_of_each_family(chosen), "toxicity-families"))
     told = distances(chosen, ordinary, toxic, "y").collect()
     x, y = np.array([r["distance"] for r in told]), np.array([r["y"] for r in told])
     return Model(ordinary, toxic, *calibrate(x, y))
