@@ -117,9 +117,9 @@ def fit_random_forest(train: DataFrame, features: list[str], label: str, trees:
     return _fit(est, train, features, label, weight=True)
 
 
-def fit_extra_trees(train: DataFrame, features: list[str], label: str, trees: int = 200, depth: int = 10, bins: int = 16, seed: int = 42) -> RiskModel:
+def fit_extra_trees(train: DataFrame, features: list[str], label: str, trees: int = 200, depth: int = 15, min_leaf: int = 4, bins: int = 16, seed: int = 42) -> RiskModel:
     """Every tree sees all rows and few candidate splits; thresholds are binned, not drawn at random."""
-    est = RandomForestClassifier(numTrees=trees, maxDepth=depth, bootstrap=False, maxBins=bins, featureSubsetStrategy="sqrt", seed=seed)
+    est = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, bootstrap=False, maxBins=bins, featureSubsetStrategy="sqrt", seed=seed)
     return _fit(est, train, features, label, weight=True)
 
 
@@ -180,6 +180,8 @@ def fit_adaboost(train: DataFrame, features: list[str], label: str, rounds: int
         judged = tree.transform(data).withColumn("_wrong", F.col("prediction") != F.col("_label"))
         wrong = judged.agg(F.sum(F.when(F.col("_wrong"), F.col("_w")).otherwise(0.0))).first()[0] or 0.0
         error = wrong / total if total else 0.0
+        if error >= 0.5 and not trees:
+            raise ValueError("the first tree is no better than chance")
         if error >= 0.5:
             break
         alpha = rate * (math.log((1 - error) / max(error, 1e-12)))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,11 +74,11 @@ def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFr
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair from one pass; only the matrix reaches the driver."""
-    vector = VectorAssembler(inputCols=cols, outputCol="_v").transform(df.na.drop(subset=cols)).select("_v")
-    matrix = Correlation.corr(vector, "_v").first()[0].toArray()
-    rows = [(cols[i], cols[j], float(matrix[i, j])) for i, j in combinations(range(len(cols)), 2)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+    """Pearson correlation of every pair from one pass, each over the rows where both are present."""
+    pairs = list(combinations(range(len(cols)), 2))
+    wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"_{i}_{j}") for i, j in pairs])
+    entries = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"_{i}_{j}").alias("corr")) for i, j in pairs]
+    return wide.select(F.inline(F.array(*entries)))
 
 
 def corr_with_label(df: DataFrame, cols: list[str], label: str, k: int = 10) -> DataFrame:

@@ -46,6 +46,8 @@ def degrees(edges: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter: int = 100, hub_edges: int = HUB_EDGES) -> DataFrame:
     """PageRank with uniform restart and dangling mass; stops when the total change is below n*tol.
 
+    Raises where `max_iter` rounds do not get there; a `tol` of 0 asks for exactly `max_iter` rounds.
+
     Edges carry a salt that splits the out-edges of hubs into parts of about `hub_edges`;
     a hub's vertex row is repeated once per part, so no task sees all edges of one account.
     Each round shuffles the vertices and pre-aggregated shares.
@@ -92,6 +94,10 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
         path = new_path
         if seen["change"] < n * tol:
             break
+    else:
+        if tol > 0:
+            salted.unpersist()
+            raise RuntimeError("PageRank did not converge; raise max_iter or tol")
     salted.unpersist()
     return rank.select("id", F.col("rank").alias("pagerank"))
 

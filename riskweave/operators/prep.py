@@ -58,8 +58,10 @@ def smote(df: DataFrame, label: str, cols: list[str], key: str, ratio: float = 0
     given = base.withColumn("_copy", F.lit(0))
     pos, neg = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
     new = int(neg * ratio) - pos
-    if new <= 0 or pos < 2:
+    if new <= 0:
         return given
+    if pos < 2:
+        raise ValueError("a synthetic positive needs two positives to lie between")
     minority = materialize(
         base.where(F.col(label) == 1).select(F.col(key).alias("_id"), F.array(*cols).alias("_x")), "minority"
     )

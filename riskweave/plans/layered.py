@@ -15,7 +15,7 @@ def cards(t):
     raw = t.events.select(
         "event_id", epoch_seconds("ts").alias("Time"), F.col("value").alias("Amount"), flag(F.col("event_type") == "error").alias("Class")
     )
-    return medallion.gold_cards(medallion.to_silver(raw, medallion.RULES["creditcard"]), tie="event_id")
+    return medallion.gold_cards(medallion.to_silver(raw, medallion.RULES["creditcard"]), tie="event_id", anonymous=False)
 
 
 C10 = over("", "time, event_id", 10)

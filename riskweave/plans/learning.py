@@ -12,7 +12,6 @@ from riskweave.operators import aggregates, evaluate, joins, neighbors, prep, sa
 from riskweave.plans.registry import query
 from riskweave.plans.views import V_NAMES, VECTORS, rnd, vectors
 
-V6 = V_NAMES[:6]
 SPLIT = f"""(SELECT *, CAST(r <= round(0.2 * n) AS INT) AS is_test FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', vec_id, '42'))) AS r, count(*) OVER (PARTITION BY label) AS n FROM {VECTORS}))"""
 
@@ -34,7 +33,7 @@ def held_out(test, model):
 
 
 @query("assemble_features", f"""
-SELECT vec_id, 29 AS width, {rnd(' + '.join(f'coalesce({v}, 0)' for v in V_NAMES) + ' + coalesce(extra, 0)')} AS checksum
+SELECT vec_id, {len(V_NAMES) + 1} AS width, {rnd(' + '.join(f'coalesce({v}, 0)' for v in V_NAMES) + ' + coalesce(extra, 0)')} AS checksum
 FROM (SELECT *, CASE WHEN V1 > 0 THEN V1 * V2 END AS extra FROM {VECTORS})""")
 def assemble_features(t):
     df = vectors(t).withColumn("extra", F.when(F.col("V1") > 0, F.col("V1") * F.col("V2")))
@@ -45,17 +44,17 @@ def assemble_features(t):
 
 
 @query("standardize", f"""
-WITH d AS (SELECT * FROM {SPLIT}), s AS (SELECT {', '.join(f'avg({v}) AS m{v}, stddev_pop({v}) AS s{v}' for v in V6)} FROM d WHERE is_test = 0)
-SELECT vec_id, {', '.join(f'{rnd(f"({v} - m{v}) / s{v}")} AS {v}' for v in V6)} FROM d, s WHERE is_test = 1""")
+WITH d AS (SELECT * FROM {SPLIT}), s AS (SELECT {', '.join(f'avg({v}) AS m{v}, stddev_pop({v}) AS s{v}' for v in V_NAMES)} FROM d WHERE is_test = 0)
+SELECT vec_id, {', '.join(f'{rnd(f"({v} - m{v}) / s{v}")} AS {v}' for v in V_NAMES)} FROM d, s WHERE is_test = 1""")
 def standardize(t):
-    return scaled(t)[1].select("vec_id", *[rounded(v).alias(v) for v in V6])
+    return scaled(t)[1].select("vec_id", *[rounded(v).alias(v) for v in V_NAMES])
 
 
 @query("minmax_features", f"""
-WITH d AS (SELECT * FROM {SPLIT}), s AS (SELECT {', '.join(f'min({v}) AS m{v}, max({v}) - min({v}) AS s{v}' for v in V6)} FROM d WHERE is_test = 0)
-SELECT vec_id, {', '.join(f'{rnd(f"({v} - m{v}) / s{v}")} AS {v}' for v in V6)} FROM d, s WHERE is_test = 1""")
+WITH d AS (SELECT * FROM {SPLIT}), s AS (SELECT {', '.join(f'min({v}) AS m{v}, max({v}) - min({v}) AS s{v}' for v in V_NAMES)} FROM d WHERE is_test = 0)
+SELECT vec_id, {', '.join(f'{rnd(f"({v} - m{v}) / s{v}")} AS {v}' for v in V_NAMES)} FROM d, s WHERE is_test = 1""")
 def minmax_features(t):
-    return prep.minmax_features(*split(t), V6)[1].select("vec_id", *[rounded(v).alias(v) for v in V6])
+    return prep.minmax_features(*split(t), V_NAMES)[1].select("vec_id", *[rounded(v).alias(v) for v in V_NAMES])
 
 
 PAIRS = "SELECT q.vec_id AS query_id, b.vec_id AS neighbor_id, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance"
@@ -95,11 +94,11 @@ c AS (SELECT count(*) AS pos, CAST(floor((SELECT count(*) FROM {VECTORS} WHERE l
 p AS (SELECT vec_id, x, unnest(range(1, new // pos + CASE WHEN r <= new % pos THEN 1 ELSE 0 END + 1)) AS copy FROM m, c WHERE new > 0),
 n AS (SELECT q.vec_id, b.x AS y, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.x, b.x), b.vec_id) AS rank FROM m q, m b WHERE q.vec_id <> b.vec_id),
 s AS (SELECT vec_id, copy, x, y, {h('vec_id', 'copy', "'43'")} / 4294967296.0::DOUBLE AS gap FROM p JOIN n USING (vec_id) WHERE rank = {h('vec_id', 'copy', "'42'")} % 5 + 1)
-SELECT vec_id, label, 0 AS "_copy", {', '.join(f'{rnd(v)} AS {v}' for v in V6)} FROM {VECTORS}
-UNION ALL SELECT vec_id, 1, CAST(copy AS INT), {', '.join(rnd(f'x[{i}] + (y[{i}] - x[{i}]) * gap') for i in range(1, 7))} FROM s""")
+SELECT vec_id, label, 0 AS "_copy", {', '.join(f'{rnd(v)} AS {v}' for v in V_NAMES)} FROM {VECTORS}
+UNION ALL SELECT vec_id, 1, CAST(copy AS INT), {', '.join(rnd(f'x[{i}] + (y[{i}] - x[{i}]) * gap') for i in range(1, len(V_NAMES) + 1))} FROM s""")
 def smote(t):
     out = prep.smote(vectors(t), "label", V_NAMES, "vec_id", ratio=0.5)
-    return out.select("vec_id", "label", "_copy", *[rounded(v).alias(v) for v in V6])
+    return out.select("vec_id", "label", "_copy", *[rounded(v).alias(v) for v in V_NAMES])
 
 
 @query("ml_logreg")
@@ -111,7 +110,7 @@ def ml_logreg(t):
 @query("ml_linear_svm")
 def ml_linear_svm(t):
     train, test = scaled(t)
-    return held_out(test, models.fit_linear_svm(train, V_NAMES, "label", "vec_id", max_iter=50))
+    return held_out(test, models.fit_linear_svm(train, V_NAMES, "label", "vec_id", max_iter=2000))
 
 
 NB_TERM = "ln(2 * pi() * (v + eps)) / 2 + pow(value - m, 2) / (2 * (v + eps))"
@@ -132,13 +131,13 @@ def ml_gaussian_nb(t):
 @query("ml_random_forest")
 def ml_random_forest(t):
     train, test = split(t)
-    return held_out(test, models.fit_random_forest(train, V_NAMES, "label", trees=30, depth=6))
+    return held_out(test, models.fit_random_forest(train, V_NAMES, "label"))
 
 
 @query("ml_extra_trees")
 def ml_extra_trees(t):
     train, test = split(t)
-    return held_out(test, models.fit_extra_trees(train, V_NAMES, "label", trees=30, depth=6))
+    return held_out(test, models.fit_extra_trees(train, V_NAMES, "label"))
 
 
 @query("ml_adaboost")
@@ -164,25 +163,25 @@ def ml_gbt_early_stop(t):
 @query("ml_mlp")
 def ml_mlp(t):
     train, test = scaled(t)
-    return held_out(test, models.fit_mlp(train, V_NAMES, "label", hidden=(32, 16), max_iter=40))
+    return held_out(test, models.fit_mlp(train, V_NAMES, "label", hidden=(256, 128, 64), max_iter=100))
 
 
 @query("ml_isolation_forest")
 def ml_isolation_forest(t):
     data = vectors(t)
-    model = IsolationForest(n_trees=50, contamination=0.1).fit(data, V_NAMES, "vec_id")
+    model = IsolationForest(n_trees=200, contamination=0.1).fit(data, V_NAMES, "vec_id")
     return model.transform(data).select("vec_id", "iso_anomaly_score", "iso_prediction", F.col("label").alias("true_label"))
 
 
 @query("ml_importance")
 def ml_importance(t):
     train, _ = split(t)
-    return models.importance(models.fit_random_forest(train, V_NAMES, "label", trees=20, depth=5), 20)
+    return models.importance(models.fit_random_forest(train, V_NAMES, "label"), 20)
 
 
 def fitters(names=V_NAMES):
     return {
-        "p_logreg": lambda d: models.fit_logreg(d, names, "label", max_iter=50),
+        "p_logreg": lambda d: models.fit_logreg(d, names, "label"),
         "p_bayes": lambda d: models.fit_gaussian_nb(d, names, "label"),
     }
 
@@ -197,7 +196,7 @@ def ml_oof(t):
     """Out-of-fold scores with oversampling inside each training part."""
     train, _ = scaled(t)
     grow = lambda d: prep.smote(d, "label", V_NAMES, "vec_id", ratio=0.3)
-    return fold_scores(train, fitters(), k=3, oversample=grow).scores
+    return fold_scores(train, fitters(), oversample=grow).scores
 
 
 @query("ml_oof_bayes", f"""
@@ -222,14 +221,14 @@ def ml_oof_bayes(t):
 def oof_join(t):
     train, _ = scaled(t)
     first = fold_scores(train, {"p_bayes": fitters()["p_bayes"]}).scores.select("vec_id", "label", "p_bayes")
-    second = fold_scores(train, {"q_bayes": lambda d: models.fit_gaussian_nb(d, V6, "label")}).scores.select("vec_id", "q_bayes")
+    second = fold_scores(train, {"q_bayes": lambda d: models.fit_gaussian_nb(d, V_NAMES, "label")}).scores.select("vec_id", "q_bayes")
     return joins.hconcat_by_id([first, second], "vec_id").where("p_bayes is not null and q_bayes is not null").select("vec_id", "label")
 
 
 @query("ml_stack_meta")
 def ml_stack_meta(t):
     train, test = scaled(t)
-    base = fold_scores(train, fitters(), k=3)
+    base = fold_scores(train, fitters())
     names = list(base.models)
     meta_train, meta_test = stacking.scale_scores(base.scores, base.score_test(test), names)
     return held_out(meta_test, stacking.fit_meta(meta_train, names, "label"))
@@ -239,11 +238,11 @@ def ml_stack_meta(t):
 def ml_stack_two_layer(t):
     """Layer 2 sees the scores of layer 1; the meta model sees both, joined by row id."""
     train, test = scaled(t)
-    one = fold_scores(train, fitters(), k=3)
+    one = fold_scores(train, fitters())
     wide_train = joins.hconcat_by_id([train, one.scores.select("vec_id", *one.models)], "vec_id")
     wide_test = one.score_test(test)
     stacked = V_NAMES + list(one.models)
-    two = fold_scores(wide_train, {"p_second": lambda d: models.fit_logreg(d, stacked, "label", C=0.1, max_iter=50)}, k=3)
+    two = fold_scores(wide_train, {"p_second": lambda d: models.fit_logreg(d, stacked, "label", C=0.1)})
     both = joins.hconcat_by_id([one.scores.select("vec_id", "label", *one.models), two.scores.select("vec_id", "p_second")], "vec_id")
     names = [*one.models, "p_second"]
     meta_train, meta_test = stacking.scale_scores(both, two.score_test(wide_test), names)
@@ -314,13 +313,13 @@ def rank_compare(t):
 @query("shapley_sampled")
 def shapley_sampled(t):
     train, test = scaled(t)
-    model = models.fit_logreg(train, V6, "label", max_iter=50)
-    return explain.shapley_sampled(test, model, V6, "vec_id", train, n=20)
+    model = models.fit_logreg(train, V_NAMES, "label")
+    return explain.shapley_sampled(test, model, V_NAMES, "vec_id", train, n=20)
 
 
 @query("lime_local")
 def lime_local(t):
     train, test = scaled(t)
-    model = models.fit_logreg(train, V_NAMES, "label", max_iter=50)
+    model = models.fit_logreg(train, V_NAMES, "label")
     return explain.lime_local(explain.pick_cases(test, "label", ["vec_id"]), model, train, V_NAMES, "vec_id")
 

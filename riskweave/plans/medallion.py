@@ -77,8 +77,11 @@ def _with_tie(df: DataFrame, tie: str | None) -> tuple[DataFrame, str]:
     return (df, tie) if tie else (clean.row_id(df, df.columns, "_tie"), "_tie")
 
 
-def gold_cards(silver: DataFrame, tie: str | None = None) -> DataFrame:
-    """Card transactions without accounts: rolling features over the whole stream of payments."""
+def gold_cards(silver: DataFrame, tie: str | None = None, anonymous: bool = True) -> DataFrame:
+    """Card transactions without accounts: rolling features over the whole stream of payments.
+
+    `anonymous` adds the features built from V1 to V28; a table without them must say so.
+    """
     df, tie = _with_tie(silver, tie)
     frame = lambda fn: (fn, "Amount")
     df = rolling.rolling_global(df, ["Time", tie], 10, {
@@ -92,7 +95,7 @@ def gold_cards(silver: DataFrame, tie: str | None = None) -> DataFrame:
     df = features.time_features(df, "Time").drop("tx_day", "tx_day_of_week").withColumnRenamed("tx_hour", "hour_of_day")
     df = features.amount_flags(df.withColumn("is_weekend", F.lit(0)), "Amount", {"high_amount_flag": 500, "very_high_amount": 2000})
     v = [f"V{i}" for i in range(1, 29)]
-    if set(v) <= set(df.columns):
+    if anonymous:
         df = features.interactions(df, [("V1", "V2"), ("V3", "V4"), ("V14", "V17")])
         df = features.abs_sum(features.row_sum(df, v[:5], "v_sum_top5"), v)
     return _finish(df, "creditcard").drop("_tie")

@@ -28,17 +28,16 @@ TRANSFERS = """(SELECT 'a' || o_custkey AS src, 'a' || l_partkey AS dst, l_order
 
 
 def ring_transfers(t):
-    """Customer to supplier transfers of the watched kind (bulk quantity), the network of the component study."""
+    """Payments of customers on their orders, the network of the component study."""
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    watched = sampling.edge_filter(t.lineitem, "l_quantity", [50.0]).where(F.col("l_discount") >= 0.09)
-    return watched.join(orders, "l_orderkey").select(
-        F.concat(F.lit("c"), F.col("o_custkey")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey")).alias("dst"),
+    return t.lineitem.join(orders, "l_orderkey").select(
+        F.concat(F.lit("c"), F.col("o_custkey")).alias("src"), F.concat(F.lit("o"), F.col("l_orderkey")).alias("dst"),
         "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("amount"), (F.col("l_returnflag") == "R").cast("int").alias("is_fraud"),
     )
 
 
-RING = """(SELECT 'c' || o_custkey AS src, 'p' || l_partkey AS dst, l_orderkey, l_linenumber, l_extendedprice AS amount, CAST(l_returnflag = 'R' AS INT) AS is_fraud
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity IN (50) AND l_discount >= 0.09)"""
+RING = """(SELECT 'c' || o_custkey AS src, 'o' || l_orderkey AS dst, l_orderkey, l_linenumber, l_extendedprice AS amount, CAST(l_returnflag = 'R' AS INT) AS is_fraud
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 RING_EDGES = f"(SELECT src, dst, arg_max(is_fraud, (l_orderkey, l_linenumber, amount)) AS is_fraud, sum(amount) AS total_amount FROM {RING} GROUP BY src, dst)"
 
 
@@ -46,9 +45,17 @@ def ring_edges(t):
     return graph.edge_table(ring_transfers(t), "src", "dst", ["l_orderkey", "l_linenumber", "amount"], ["is_fraud"], "amount")
 
 
-COMPONENTS = f"""WITH RECURSIVE e AS (SELECT DISTINCT src AS a, dst AS b FROM {RING}), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-  r AS (SELECT a AS id, a AS seen FROM s UNION SELECT s.b, r.seen FROM r JOIN s ON s.a = r.id),
-  comps AS (SELECT id, min(seen) AS component FROM r GROUP BY id)"""
+def components_sql(rounds: int) -> str:
+    """Unrolled rounds in which each vertex takes the smallest name next to it."""
+    steps = ", ".join(
+        f"c{i} AS MATERIALIZED (SELECT s.a AS id, min(c{i - 1}.component) AS component FROM s JOIN c{i - 1} ON c{i - 1}.id = s.b GROUP BY s.a)" for i in range(1, rounds + 1)
+    )
+    return f"""WITH e AS MATERIALIZED (SELECT DISTINCT src AS a, dst AS b FROM {RING}),
+  s AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e),
+  c0 AS (SELECT DISTINCT a AS id, a AS component FROM s), {steps}, comps AS (SELECT id, component FROM c{rounds})"""
+
+
+COMPONENTS = components_sql(6)
 
 
 @query("edge_table", f"""
@@ -79,11 +86,11 @@ def degrees(t):
     return graph.degrees(transfers(t))
 
 
-FLAGGED = f"SELECT src AS account FROM {TRANSFERS} WHERE is_fraud = 1 AND l_quantity >= 49 UNION SELECT dst FROM {TRANSFERS} WHERE is_fraud = 1 AND l_quantity >= 49"
+FLAGGED = f"SELECT src AS account FROM {TRANSFERS} WHERE is_fraud = 1 UNION SELECT dst FROM {TRANSFERS} WHERE is_fraud = 1"
 
 
 def flagged(t):
-    return joins.flagged_accounts(transfers(t), "src", "dst", (F.col("is_fraud") == 1) & (F.col("l_quantity") >= 49))
+    return joins.flagged_accounts(transfers(t), "src", "dst", F.col("is_fraud") == 1)
 
 
 @query("flagged_accounts", FLAGGED)

@@ -126,14 +126,15 @@ def dropna_subset(t):
 
 
 @query("dedupe_rows", """
-SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after, count(*) - count(DISTINCT text) AS removed FROM documents""")
+WITH d AS (SELECT text, lang, source, n_chars FROM documents), k AS (SELECT DISTINCT * FROM d)
+SELECT (SELECT count(*) FROM d) AS rows_before, (SELECT count(*) FROM k) AS rows_after, (SELECT count(*) FROM d) - (SELECT count(*) FROM k) AS removed""")
 def dedupe_report(t):
-    return clean.dedupe_with_report(t.documents.select("text"))[1].select(*[F.col(c).cast("long").alias(c) for c in ("rows_before", "rows_after", "removed")])
+    return clean.dedupe_with_report(t.documents.drop("doc_id"))[1].select(*[F.col(c).cast("long").alias(c) for c in ("rows_before", "rows_after", "removed")])
 
 
-@query("dedupe_kept", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("dedupe_kept", "SELECT DISTINCT * FROM lineitem")
 def dedupe_kept(t):
-    return clean.dedupe(t.lineitem.select("l_orderkey", "l_linenumber"))
+    return clean.dedupe(t.lineitem)
 
 
 @query("amount_log", f"SELECT event_id, {rnd('ln(1 + value)')} AS amount_log FROM events")
@@ -157,7 +158,7 @@ def interactions(t):
     return out.select("vec_id", *[rounded(n, 9).alias(n) for n in names])
 
 
-@query("abs_sum", f"SELECT vec_id, {rnd(' + '.join(f'abs(V{i})' for i in range(1, 29)))} AS v_abs_sum FROM {VECTORS}")
+@query("abs_sum", f"SELECT vec_id, {rnd(' + '.join(f'abs(V{i})' for i in range(1, 65)))} AS v_abs_sum FROM {VECTORS}")
 def abs_sum(t):
     return features.abs_sum(vectors(t), V_NAMES).select("vec_id", rounded("v_abs_sum").alias("v_abs_sum"))
 
@@ -324,9 +325,9 @@ def score_fusion(t):
 
 
 @query("clean_feature_name", """
-SELECT doc_id, translate(split_part(split_part(text, chr(10), 1), ' ', 1), '<>=', '') AS token FROM documents""")
+SELECT doc_id, translate(split_part(text, ' ', 1), '<>=', '') AS token FROM documents""")
 def clean_names(t):
-    return t.documents.select("doc_id", clean_feature_name(F.split("text", "\n").getItem(0)).alias("token"))
+    return t.documents.select("doc_id", clean_feature_name("text").alias("token"))
 
 
 @query("edge_filter", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag IN ('R', 'A')")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import epoch_seconds, flag, sliced
 
-V_NAMES = [f"V{i}" for i in range(1, 29)]
+V_NAMES = [f"V{i}" for i in range(1, 65)]
 
 
 def cards(t) -> DataFrame:
@@ -53,13 +53,13 @@ BALANCES = """(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity
 
 
 def vectors(t, positive: int = 0) -> DataFrame:
-    """Anonymous numeric features V1..V28 with a rare class: embeddings."""
+    """Anonymous numeric features V1..V64 with a rare class: embeddings."""
     return t.embeddings.select("vec_id", flag(F.col("label") == positive).alias("label"), *sliced("embedding", V_NAMES))
 
 
 VECTORS = (
     "(SELECT vec_id, CAST(label = 0 AS INT) AS label, "
-    + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS V{i}" for i in range(1, 29))
+    + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS V{i}" for i in range(1, 65))
     + " FROM embeddings)"
 )
 

@@ -93,6 +93,11 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return write_stage(df, tag)[0]
 
 
+def open_stages() -> list[str]:
+    """Paths of the intermediate tables that have not been dropped."""
+    return list(_stages)
+
+
 def drop_stage(spark: SparkSession, path: str) -> None:
     """Delete a superseded stage of an iterative job."""
     if path in _stages:

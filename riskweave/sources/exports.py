@@ -36,9 +36,14 @@ def sample_export(df: DataFrame, n: int, key, path: str, seed: int = 42) -> dict
     return export_table(sample_n(df, n, key, seed), path)
 
 
-def split_to_batches(df: DataFrame, n: int, size: int, key, path: str | None = None, seed: int = 42) -> str:
-    """Shuffle, cut into `n` batches of `size` rows and write one folder per batch for replay."""
+def split_to_batches(df: DataFrame, n: int, size: int, key, path: str | None = None, seed: int = 42, file_rows: int = 1_000_000) -> str:
+    """Shuffle, cut into `n` batches of `size` rows and write one folder per batch for replay.
+
+    Rows behind the last full batch are left out, as the sizes say. A batch is written in
+    files of about `file_rows` rows, so no task holds a large batch.
+    """
     path = path or stage_path(df.sparkSession, "replay")
     numbered = batch_ids(df, n, size, key, seed)
-    numbered.repartition("batch_id").write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    parts = F.pmod(F.xxhash64("batch_id", *numbered.columns), F.lit(max(1, -(-size // file_rows))))
+    numbered.repartition(F.col("batch_id"), parts).write.mode("overwrite").partitionBy("batch_id").parquet(path)
     return path
