@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import safe_ratio, total_of
+from riskweave.functions.hashing import hash_order
 from riskweave.operators.neighbors import knn_join
 from riskweave.operators.prep import assemble, with_class_weight
 from riskweave.operators.sampling import kfold
@@ -97,8 +98,13 @@ def fit_gaussian_nb(train: DataFrame, features: list[str], label: str) -> RiskMo
     return _fit(NaiveBayes(modelType="gaussian"), train, features, label)
 
 
-def knn_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, key: str, k: int = 5) -> DataFrame:
-    """(key, score): distance-weighted vote of the k nearest training rows; exact matches decide alone."""
+def knn_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, key: str, k: int = 5, train_rows: int = 30_000) -> DataFrame:
+    """(key, score): distance-weighted vote of the k nearest training rows; exact matches decide alone.
+
+    The model is made of at most `train_rows` training rows, taken in the order of a hash of
+    their key; all test rows are scored.
+    """
+    train = train.orderBy(hash_order(key), key).limit(train_rows)
     as_array = lambda d: d.na.fill(0.0, features).withColumn("_x", F.array(*[F.col(c).cast("double") for c in features]))
     near = knn_join(as_array(test), as_array(train), "_x", k, key, key)
     votes = near.join(train.select(F.col(key).cast("long").alias("neighbor_id"), F.col(label).alias("_l")), "neighbor_id")

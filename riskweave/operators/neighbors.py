@@ -96,21 +96,6 @@ def _block_top_k(k: int, exclude_self: bool):
     return best
 
 
-def _against_one_block(q: DataFrame, rows: list, k: int, exclude_self: bool) -> DataFrame:
-    """All queries against a base of at most one block, sent to every executor; no shuffle."""
-    rows = sorted(rows, key=lambda r: r["id"])
-    ids = np.array([r["id"] for r in rows], dtype=np.int64)
-    shared = q.sparkSession.sparkContext.broadcast((ids, np.array([r["vec"] for r in rows], dtype=np.float64)))
-
-    def nearest(batches):
-        ids, base = shared.value
-        for pdf in batches:
-            if len(pdf) and len(ids):
-                yield _top_k(pdf["query_id"].to_numpy(), _matrix(pdf["vec"]), ids, base, k, exclude_self)
-
-    return q.mapInPandas(nearest, "query_id long, neighbor_id long, distance double, rank int")
-
-
 def knn_join(
     query: DataFrame,
     base: DataFrame,
@@ -130,12 +115,11 @@ def knn_join(
     b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
 
-    head = b.limit(block_rows + 1).collect()
-    if len(head) <= block_rows:
-        return _against_one_block(q, head, k, exclude_self)
-
-    # The pivots, at most 1024 and chosen by hash, are all of the base that reaches the driver.
-    pivots = pivots or min(1024, max(16, math.isqrt(b.count()) // 4))
+    n = b.count()
+    if not n:
+        return q.select("query_id", F.lit(None).cast("long").alias("neighbor_id"), F.lit(0.0).alias("distance"), F.lit(0).alias("rank")).where("false")
+    # The pivots, a quarter of the root of the rows and chosen by hash, are all of the base that reaches the driver.
+    pivots = pivots or max(16, math.isqrt(n) // 4)
     seeds = b.orderBy(hash_order("id"), "id").limit(pivots).select("vec").collect()
     centers = np.unique(np.array([r["vec"] for r in seeds], dtype=np.float64), axis=0)
 

@@ -64,6 +64,8 @@ def rolling(
     """
     if not part:
         return _in_blocks(df, part, order, frames, block_rows, partitions)
+    # Written once: the keys are counted before the windows are computed.
+    df = materialize(df, "rolling")
     hot = hot_keys(df, part, hot_rows)
     if hot.isEmpty():
         return _windowed(df, part, order, frames)
