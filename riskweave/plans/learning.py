@@ -199,7 +199,7 @@ def ml_oof(t):
     return fold_scores(train, fitters(), oversample=grow).scores
 
 
-@query("ml_oof_bayes", f"""
+OOF_BAYES = f"""
 WITH d AS MATERIALIZED (SELECT *, CAST((SELECT count(*) FROM range(1, 5) x(i) WHERE r2 > floor(n2 * i / 5)) AS INT) AS fold FROM (
     SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', vec_id, '42'))) AS r2, count(*) OVER (PARTITION BY label) AS n2 FROM {SPLIT} WHERE is_test = 0)),
 u AS MATERIALIZED (SELECT vec_id, label, fold, name, value FROM (UNPIVOT d ON {', '.join(V_NAMES)} INTO NAME name VALUE value)),
@@ -209,7 +209,10 @@ e AS (SELECT held, 1e-9 * max(x) AS eps FROM (SELECT held, var_pop(value) AS x F
 p AS (SELECT held, label, ln(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY held)) AS prior FROM d JOIN k ON fold <> held GROUP BY held, label),
 l AS (SELECT vec_id, u.fold, g.label, any_value(prior) - sum({NB_TERM}) AS ll FROM u JOIN g ON g.held = u.fold AND g.name = u.name
   JOIN p ON p.held = g.held AND p.label = g.label JOIN e ON e.held = g.held GROUP BY vec_id, u.fold, g.label)
-SELECT vec_id, fold, {rnd('1 / (1 + exp(max(ll) FILTER (label = 0) - max(ll) FILTER (label = 1)))', 5)} AS p_bayes FROM l GROUP BY vec_id, fold""")
+SELECT vec_id, fold, {rnd('1 / (1 + exp(max(ll) FILTER (label = 0) - max(ll) FILTER (label = 1)))', 5)} AS p_bayes FROM l GROUP BY vec_id, fold"""
+
+
+@query("ml_oof_bayes", OOF_BAYES)
 def ml_oof_bayes(t):
     """Out-of-fold scores of one model whose fit has a closed form."""
     train, _ = split(t)
@@ -217,12 +220,14 @@ def ml_oof_bayes(t):
     return out.select("vec_id", "fold", rounded("p_bayes", 5).alias("p_bayes"))
 
 
-@query("oof_join", f"SELECT vec_id, label FROM {SPLIT} WHERE is_test = 0")
+@query("oof_join", f"SELECT vec_id, label, p_bayes, p_bayes AS q_bayes FROM ({OOF_BAYES}) JOIN {SPLIT} USING (vec_id)")
 def oof_join(t):
-    train, _ = scaled(t)
+    """Scores of two layers put side by side by row id; both layers have the closed form here."""
+    train, _ = split(t)
     first = fold_scores(train, {"p_bayes": fitters()["p_bayes"]}).scores.select("vec_id", "label", "p_bayes")
-    second = fold_scores(train, {"q_bayes": lambda d: models.fit_gaussian_nb(d, V_NAMES, "label")}).scores.select("vec_id", "q_bayes")
-    return joins.hconcat_by_id([first, second], "vec_id").where("p_bayes is not null and q_bayes is not null").select("vec_id", "label")
+    second = fold_scores(train, {"q_bayes": fitters()["p_bayes"]}).scores.select("vec_id", "q_bayes")
+    both = joins.hconcat_by_id([first, second], "vec_id")
+    return both.withColumns({c: rounded(c, 5) for c in ("p_bayes", "q_bayes")}).select("vec_id", "label", "p_bayes", "q_bayes")
 
 
 @query("ml_stack_meta")
