@@ -145,9 +145,12 @@ def drop_exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) ->
     held = with_row(docs, doc_id=F.col("doc_id"), sha=F.sha2(normalised(F.col("text")), 256))
     found = held.join(copies.select("sha", F.col("first.id").alias("first"), "kept_rows").hint("shuffle_merge"), "sha", "left")
     stay = found.where(F.col("kept_rows").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
+    if copies.where("kept_rows > 1").isEmpty():
+        return row_columns(stay, docs.columns)
+    # The doc_id that stays comes with several rows of equal text: one of them is taken.
     again = F.coalesce(F.col("kept_rows") > 1, F.lit(False))
     repeated = stay.where(again).groupBy("sha").agg(F.first("row").alias("row"))
-    return row_columns(stay.where(~again).select("row"), docs.columns).unionByName(row_columns(repeated, docs.columns))
+    return row_columns(stay.where(~again), docs.columns).unionByName(row_columns(repeated, docs.columns))
 
 
 def combine(left: tuple[int, ...], right: tuple[int, ...], right_bytes: int, fields=FIELDS) -> tuple[int, ...]:
