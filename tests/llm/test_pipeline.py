@@ -13,12 +13,14 @@ def test_stages_take_effect_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "SimHash near-dedup", "mixing", "packing"]
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(400)
     docs = materialize(docs.unionByName(docs.limit(3)).unionByName(docs.limit(2).selectExpr("doc_id + 5000 as doc_id", "'12 34' as text", "lang", "source", "n_chars")))
+    longer = docs.where("n_chars > 6000 and doc_id < 5000").selectExpr("doc_id + 6000 as doc_id", "text || ' ending' as text", "lang", "source", "n_chars")
+    docs = materialize(docs.unionByName(longer))
     kept = []
     for _, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF))
         kept.append(docs.collect())
     language, exact, near, mixed, packed = kept
-    assert len(language) == 403 and all(r.doc_id < 5000 for r in language)
+    assert len(language) == 403 + longer.count() and not any(r.text == "12 34" for r in language)
     texts = [re.sub("[\x20\x09-\x0D]+", " ", r.text) for r in exact]
     assert len(set(texts)) == len(texts) == len({re.sub("[\x20\x09-\x0D]+", " ", r.text) for r in language})
     codes = [simhash.simhash(r.text) % (1 << 64) for r in near]
