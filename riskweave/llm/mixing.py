@@ -43,11 +43,11 @@ class Classifier:
     """Naive Bayes over the numbers of marks that a text holds of each domain but the first.
 
     `marks` has the features that mark a domain, `odds` the log probability of none, one, two,
-    or more marks of each such domain, given the domain.
+    or more marks of each such domain, given the domain. `taught` has the labelled rows of each.
     """
 
-    def __init__(self, log_prior: list[float], marks: list[list[int]], odds: list[list[list[float]]]):
-        self.log_prior, self.marks, self.odds = log_prior, marks, odds
+    def __init__(self, log_prior: list[float], marks: list[list[int]], odds: list[list[list[float]]], taught: list[int]):
+        self.log_prior, self.marks, self.odds, self.taught = log_prior, marks, odds, taught
 
     def posteriors(self, counted: DataFrame, *keep: str) -> DataFrame:
         """Columns `keep` and p, the array of domain probabilities, from a column `words`."""
@@ -83,8 +83,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, s
     Learned from at most `fit_rows` labelled rows, taken in the order of a hash of their id,
     so the sample does not depend on where rows lie. A mark of a domain is in at least `share`
     of its texts, three at least, and `times` as frequent there as in the first domain; there
-    are no more than 1 / `share` times the features of a mean text. Without labelled rows all
-    domains are alike.
+    are no more than 1 / `share` times the features of a mean text. A domain without labelled
+    rows gets no document; without any labelled row all domains are alike.
     """
     known = labels.select("doc_id", domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null and doc_id is not null")
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(fit_rows)
@@ -107,7 +107,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, s
         for r in told:
             table[r["domain"]][r[f"m{k}"]] += r["n"]
         odds.append([[math.log(v / sum(row)) for v in row] for row in table])
-    return Classifier([math.log((n + 1) / (sum(counts) + domains)) for n in counts], marks, odds)
+    prior = [math.log((n + 1) / (sum(counts) + domains)) if n or not any(counts) else -math.inf for n in counts]
+    return Classifier(prior, marks, odds, counts)
 
 
 def memberships(docs: DataFrame, classifier: Classifier, *keep: str) -> DataFrame:
@@ -130,6 +131,27 @@ def _inverse(square: list[list[float]]) -> list[list[float]]:
     return [r[n:] for r in rows]
 
 
+def largest(have: list[float], targets: list[float]) -> tuple[list[float], float]:
+    """Amounts to aim at that keep the first domain whole and repeat none, and their sum.
+
+    The targets of the other domains are upper bounds of their shares: a domain below its
+    bound stays whole too, and the bounds of the others hold in the total that is left. All
+    stays as it is where the first domain is absent, as no total then keeps the bounds.
+    """
+    if have[0] <= 1e-9:
+        return list(have), sum(have)
+    if targets[0] <= 0:
+        raise ValueError("the first domain has no target; name a total")
+    bound = [t / sum(targets) for t in targets]
+    thinned, whole = sorted(range(1, len(have)), key=lambda i: have[i] / bound[i] if bound[i] > 0 else math.inf), have[0]
+    while True:
+        total = whole / (1 - sum(bound[i] for i in thinned))
+        if not thinned or have[thinned[0]] >= bound[thinned[0]] * total:
+            break
+        whole += have[thinned.pop(0)]
+    return [bound[i] * total if i in thinned else h for i, h in enumerate(have)], total
+
+
 def fit_rates(members: DataFrame, targets: list[float], total: float | None = None, close: float = 1e-6, most: int = 400,
               stretch: int = 4) -> tuple[DataFrame, float]:
     """`members` (written: tokens, p, ...) with `rate`, and the total of expected tokens aimed at.
@@ -137,8 +159,8 @@ def fit_rates(members: DataFrame, targets: list[float], total: float | None = No
     Minimises the squared gap between expected domain tokens and their targets over rates of
     at least 0, from rates of 1. The gap is measured in the metric of the token-weighted
     second moments of the posteriors, in which a gradient step of length one is exact where
-    no rate falls below 0. `total` is by default the largest that repeats no domain. Steps go
-    on until no domain's share of all tokens moves by more than `close`; targets are then met
+    no rate falls below 0. Without `total` the first domain stays whole and the targets of the
+    others are upper bounds, see `largest`. Steps go on until no domain's share of all tokens moves by more than `close`; targets are then met
     as far as nonnegative rates can. Raises where `most` steps do not settle. Each step is one
     aggregate over the small written table, whose rates are written after every `stretch` steps.
     """
@@ -153,8 +175,10 @@ def fit_rates(members: DataFrame, targets: list[float], total: float | None = No
     have = [base[f"s{i}"] / all_tokens for i in range(k)]
     metric = _inverse([[base[f"m{min(i, j)}_{max(i, j)}"] / all_tokens for j in range(k)] for i in range(k)])
     if total is None:
-        total = all_tokens * min((have[i] / targets[i] for i in range(k) if targets[i] > 0 and have[i] > 1e-9), default=1.0)
-    aim = [t * total / all_tokens for t in targets]
+        aim, total = largest(have, targets)
+        total *= all_tokens
+    else:
+        aim = [t * total / all_tokens for t in targets]
     one = F.lit(1.0)
     state, rate, before = members.withColumns({"rate": one, "before": one}), F.col("rate"), F.col("before")
     share, last, run, worst = have, have, 0, None
@@ -184,10 +208,13 @@ def mix(docs: DataFrame, labels: DataFrame, *keep: str, targets: dict[str, float
 
     Null and empty texts have no tokens and the prior as posterior. Null ids and ids without
     labels take part like all others; only labelled ids teach. Repeated rows are rated alike.
+    Where no label teaches the first domain, and no `total` is named, every rate is 1.
     """
     keep = keep or ("doc_id",)
     classifier = fit_classifier(docs, labels, **fit)
     members = materialize(memberships(docs, classifier, *keep), "mixing-members")
+    if total is None and not classifier.taught[0]:
+        return members.withColumn("rate", F.lit(1.0))
     return fit_rates(members, [targets[d] for d in DOMAINS], total)[0]
 
 

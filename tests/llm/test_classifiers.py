@@ -134,3 +134,40 @@ def test_draw_follows_rates(spark):
     assert drawn.columns == docs.columns and drawn.count() == drawn.select("doc_id").distinct().count()
     many = mixing.draw(docs, labels, repeat=True, total=3e6)
     assert many.groupBy("doc_id").count().agg(F.max("count")).first()[0] > 1
+
+
+def labelled_texts(spark, clean, low, toxic):
+    """As many texts of each domain of sf0.01 as asked for, and their labels; one clean text in five has none."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    both = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").join(labels, "doc_id")
+    both = both.withColumn("domain", mixing.domain_of(F.col("quality"), F.col("toxic"))).where("domain is not null")
+    parts = [both.where(F.col("domain") == k).orderBy("doc_id").limit(n) for k, n in enumerate((clean, low, toxic))]
+    held = materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return held, held.where("domain > 0 or doc_id % 5 > 0").select("doc_id", "quality", "toxic")
+
+
+def test_amounts_keep_the_first_domain_whole():
+    t = [0.94, 0.03, 0.03]
+    assert mixing.largest([0.5, 0.3, 0.2], t) == (pytest.approx([0.5, 0.03 * 0.5 / 0.94, 0.03 * 0.5 / 0.94]), pytest.approx(0.5 / 0.94))
+    assert mixing.largest([0.98, 0.019, 0.001], t) == (pytest.approx([0.98, 0.019, 0.001]), pytest.approx(1))
+    aim, total = mixing.largest([0.6, 0.399, 0.001], t)
+    assert aim == pytest.approx([0.6, 0.03 * total, 0.001]) and sum(aim) == pytest.approx(total)
+    assert mixing.largest([0.9, 0.1, 0.0], t)[0][::2] == [0.9, 0.0]
+    assert mixing.largest([0.0, 0.6, 0.4], t)[0] == [0.0, 0.6, 0.4]
+
+
+@pytest.mark.parametrize("clean, low, toxic", [(250, 40, 1), (250, 1, 30), (250, 40, 0), (250, 2, 1)])
+def test_a_rare_or_absent_domain_leaves_clean_documents_whole(spark, clean, low, toxic):
+    docs, labels = labelled_texts(spark, clean, low, toxic)
+    rated = mixing.mix(docs, labels, "doc_id", "domain").collect()
+    mine = [r for r in rated if r.domain == 0]
+    assert len(mine) == docs.where("domain = 0").count() > 100
+    assert sum(r.tokens * min(1, r.rate) for r in mine) > 0.9 * sum(r.tokens for r in mine)
+
+
+def test_without_labels_of_clean_documents_all_stay(spark):
+    docs, labels = labelled_texts(spark, 60, 10, 10)
+    for taught in (labels.limit(0), labels.where("toxic = 1")):
+        assert {r.rate for r in mixing.mix(docs, taught).collect()} == {1.0}
+    only = mixing.mix(docs, labels.where("quality = 1 and toxic = 0").limit(5)).collect()
+    assert [r.rate for r in only] == pytest.approx([1.0] * len(only))
