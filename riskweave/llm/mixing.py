@@ -153,11 +153,11 @@ def largest(have: list[float], targets: list[float]) -> tuple[list[float], float
 
 
 def fit_rates(members: DataFrame, targets: list[float], total: float | None = None, close: float = 1e-6, most: int = 400,
-              stretch: int = 4) -> tuple[DataFrame, float]:
+              stretch: int = 4, cap: float | None = None) -> tuple[DataFrame, float]:
     """`members` (written: tokens, p, ...) with `rate`, and the total of expected tokens aimed at.
 
     Minimises the squared gap between expected domain tokens and their targets over rates of
-    at least 0, from rates of 1. The gap is measured in the metric of the token-weighted
+    at least 0, and at most `cap` if it is given, from rates of 1. The gap is measured in the metric of the token-weighted
     second moments of the posteriors, in which a gradient step of length one is exact where
     no rate falls below 0. Without `total` the first domain stays whole and the targets of the
     others are upper bounds, see `largest`. Steps go on until no domain's share of all tokens moves by more than `close`; targets are then met
@@ -188,7 +188,8 @@ def fit_rates(members: DataFrame, targets: list[float], total: float | None = No
         gap = [s + ahead * (s - t) - a for s, t, a in zip(share, last, aim)]
         push = [sum(m * g for m, g in zip(row, gap)) for row in metric]
         pull = sum((F.col("p")[i] * push[i] for i in range(1, k)), F.col("p")[0] * push[0])
-        rate, before = F.greatest(F.lit(0.0), rate + ahead * (rate - before) - pull), rate
+        stepped = F.greatest(F.lit(0.0), rate + ahead * (rate - before) - pull)
+        rate, before = stepped if cap is None else F.least(F.lit(cap), stepped), rate
         if step % stretch == 0:
             state = materialize(state.withColumns({"rate": rate, "before": before}), "mixing-rates")
             rate, before = F.col("rate"), F.col("before")
@@ -203,7 +204,8 @@ def fit_rates(members: DataFrame, targets: list[float], total: float | None = No
     raise RuntimeError("rates did not settle; raise `most`")
 
 
-def mix(docs: DataFrame, labels: DataFrame, *keep: str, targets: dict[str, float] = TARGETS, total: float | None = None, **fit) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, *keep: str, targets: dict[str, float] = TARGETS, total: float | None = None,
+        cap: float | None = None, **fit) -> DataFrame:
     """Columns `keep` (default doc_id), tokens, p (array in the order of DOMAINS) and rate of every row of `docs`.
 
     Null and empty texts have no tokens and the prior as posterior. Null ids and ids without
@@ -215,21 +217,24 @@ def mix(docs: DataFrame, labels: DataFrame, *keep: str, targets: dict[str, float
     members = materialize(memberships(docs, classifier, *keep), "mixing-members")
     if total is None and not classifier.taught[0]:
         return members.withColumn("rate", F.lit(1.0))
-    return fit_rates(members, [targets[d] for d in DOMAINS], total)[0]
+    return fit_rates(members, [targets[d] for d in DOMAINS], total, cap=cap)[0]
+
+
+def often(snap: float, repeat: bool) -> Column:
+    """Expected number of times that a rated row is drawn."""
+    rate = F.when((F.col("rate") >= 1 - snap) & (F.col("rate") < 1) & (F.col("p")[0] > 0.5), 1.0).otherwise(F.col("rate"))
+    return rate if repeat else F.least(rate, F.lit(1.0))
 
 
 def draw(docs: DataFrame, labels: DataFrame, snap: float = 0.1, repeat: bool = False, seed: int = 7, **how) -> DataFrame:
     """Rows of `docs`, each as often as its rate says: the whole part, and once more with the
-    probability of the rest, drawn from a hash of id and row. Rates within `snap` of a whole
-    number count as that number. Without `repeat`, as fits a corpus freed from duplicates,
-    rates over 1 count as 1. Columns are those of `docs`."""
+    probability of the rest, drawn from a hash of id and row. A likely clean row whose rate is
+    less than `snap` under 1 is drawn once. Without `repeat`, as fits a corpus freed from
+    duplicates, rates are fitted between 0 and 1. Columns are those of `docs`."""
     held = materialize(with_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), uid=F.monotonically_increasing_id()), "mixing-rows")
-    rated = mix(held, labels, "uid", "doc_id", **how)
-    whole = F.round("rate")
-    rate = F.when(F.abs(F.col("rate") - whole) <= snap, whole).otherwise(F.col("rate"))
-    rate = rate if repeat else F.least(rate, F.lit(1.0))
+    rated = mix(held, labels, "uid", "doc_id", cap=None if repeat else 1.0, **how)
     chance = F.pmod(F.xxhash64("doc_id", "uid", F.lit(seed)), F.lit(1 << 24)) / float(1 << 24)
-    times = rated.select("uid", F.floor(rate + chance).cast("int").alias("times")).where("times != 1")
+    times = rated.select("uid", F.floor(often(snap, repeat) + chance).cast("int").alias("times")).where("times != 1")
     drawn = held.join(times, "uid", "left").select("row", F.coalesce("times", F.lit(1)).alias("times"))
     drawn = drawn.where("times > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("i"))
     return row_columns(drawn, docs.columns)

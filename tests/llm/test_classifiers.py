@@ -171,3 +171,18 @@ def test_without_labels_of_clean_documents_all_stay(spark):
         assert {r.rate for r in mixing.mix(docs, taught).collect()} == {1.0}
     only = mixing.mix(docs, labels.where("quality = 1 and toxic = 0").limit(5)).collect()
     assert [r.rate for r in only] == pytest.approx([1.0] * len(only))
+
+
+def test_drawn_shares_of_a_junk_heavy_input(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id")
+    docs = docs.withColumn("domain", mixing.domain_of(F.col("quality"), F.col("toxic"))).where("domain > 0 or domain = 0 and doc_id % 4 = 0")
+    docs = materialize(docs.select("doc_id", "text", "domain"))
+    rated = mixing.mix(docs, labels, "doc_id", "domain", cap=1.0).withColumn("often", mixing.often(0.1, False)).collect()
+    mass = np.array([r.tokens * r.often for r in rated]) @ np.array([r.p for r in rated])
+    assert mass / mass.sum() == pytest.approx(np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]), abs=5e-3)
+    assert not any(r.often == 0 for r in rated)
+    drawn = mixing.draw(docs, labels).groupBy("domain").count().collect()
+    count = {r.domain: r["count"] for r in drawn}
+    assert count[0] == sum(r.domain == 0 for r in rated) and count[1] > 0 and count[2] > 0
