@@ -153,6 +153,14 @@ def fit_boosted(train: DataFrame, validation: DataFrame, features: list[str], la
     return _fit(est, both, features, label, weight=True, keep=("_valid",))
 
 
+def _tree_column(node) -> Column:
+    """Prediction of a tree with continuous splits over the array column `_x`."""
+    if node.subtreeDepth() == 0:
+        return F.lit(float(node.prediction()))
+    inside = F.get("_x", F.lit(node.split().featureIndex())) <= F.lit(float(node.split().threshold()))
+    return F.when(inside, _tree_column(node.leftChild())).otherwise(_tree_column(node.rightChild()))
+
+
 @dataclass
 class AdaBoost:
     """Weighted vote of shallow trees."""
@@ -163,9 +171,10 @@ class AdaBoost:
 
     def transform(self, df: DataFrame, out: str = "score") -> DataFrame:
         cols = df.columns
-        data = assemble(df, self.features, _VEC).withColumn("_votes", F.lit(0.0))
-        for tree, alpha in zip(self.trees, self.weights):
-            data = tree.transform(data).withColumn("_votes", F.col("_votes") + F.lit(alpha) * F.col("prediction")).drop(*_OUTPUTS)
+        data = assemble(df, self.features, _VEC).withColumn("_x", vector_to_array(_VEC))
+        # All trees are one expression over the features, so a row is scored in one pass.
+        votes = [F.lit(alpha) * _tree_column(tree._call_java("rootNode")) for tree, alpha in zip(self.trees, self.weights)]
+        data = data.withColumn("_votes", F.aggregate(F.array(*votes, F.lit(0.0)), F.lit(0.0), lambda a, v: a + v))
         # Two-class vote: the margin between the classes, through a logistic link.
         total = sum(self.weights) or 1.0
         return data.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-(2 * F.col("_votes") - total) / total))).select(*cols, out)

@@ -143,13 +143,13 @@ def ml_extra_trees(t):
 @query("ml_adaboost")
 def ml_adaboost(t):
     train, test = split(t)
-    return held_out(test, models.fit_adaboost(train, V_NAMES, "label", rounds=8, rate=0.5))
+    return held_out(test, models.fit_adaboost(train, V_NAMES, "label"))
 
 
 @query("ml_gbt")
 def ml_gbt(t):
     train, test = split(t)
-    return held_out(test, models.fit_gbt(train, V_NAMES, "label", rounds=15, rate=0.2, depth=3))
+    return held_out(test, models.fit_gbt(train, V_NAMES, "label"))
 
 
 @query("ml_gbt_early_stop")
@@ -157,7 +157,7 @@ def ml_gbt_early_stop(t):
     train, test = split(t)
     inner = sampling.stratified_split(train, "label", "vec_id", 0.2, seed=7)
     fit, valid = inner.where(F.col("is_test") == 0).drop("is_test"), inner.where(F.col("is_test") == 1).drop("is_test")
-    return held_out(test, models.fit_boosted(fit, valid, V_NAMES, "label", "xgb", rounds=15, rate=0.2, depth=3))
+    return held_out(test, models.fit_boosted(fit, valid, V_NAMES, "label", "xgb"))
 
 
 @query("ml_mlp")
@@ -251,7 +251,7 @@ def ml_stack_two_layer(t):
     both = joins.hconcat_by_id([one.scores.select("vec_id", "label", *one.models), two.scores.select("vec_id", "p_second")], "vec_id")
     names = [*one.models, "p_second"]
     meta_train, meta_test = stacking.scale_scores(both, two.score_test(wide_test), names)
-    return held_out(meta_test, stacking.fit_meta(meta_train, names, "label", "gbt", rounds=5))
+    return held_out(meta_test, stacking.fit_meta(meta_train, names, "label", "gbt"))
 
 
 SLOPES = f"s AS (SELECT {', '.join(f'regr_slope(label, {v}) AS b{v}, avg({v}) AS m{v}' for v in V_NAMES)} FROM {VECTORS})"
@@ -319,7 +319,7 @@ def rank_compare(t):
 def shapley_sampled(t):
     train, test = scaled(t)
     model = models.fit_logreg(train, V_NAMES, "label")
-    return explain.shapley_sampled(test, model, V_NAMES, "vec_id", train, n=20)
+    return explain.shapley_sampled(test, model, V_NAMES, "vec_id", train)
 
 
 @query("lime_local")

@@ -169,3 +169,35 @@ def test_dedupe_report(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None)], "k int, v string")
     kept, report = clean.dedupe_with_report(df)
     assert tuple(report.first()) == (4, 2, 2) and kept.count() == 2
+
+
+def test_adaboost_in_one_pass_is_the_chain_of_trees(points):
+    train = points[1]
+    boosted = models.fit_adaboost(train, COLS, "y", rounds=5, rate=0.5, write_every=2)
+    data = prep.assemble(train, COLS, "_features").withColumn("votes", F.lit(0.0))
+    for tree, alpha in zip(boosted.trees, boosted.weights):
+        data = tree.transform(data).withColumn("votes", F.col("votes") + alpha * F.col("prediction")).drop("rawPrediction", "probability", "prediction")
+    total = sum(boosted.weights)
+    want = sorted(1 / (1 + math.exp(-(2 * r.votes - total) / total)) for r in data.select("votes").collect())
+    got = boosted.transform(train)
+    assert got.columns == [*train.columns, "score"]
+    assert sorted(r.score for r in got.collect()) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("name, place, fitter", [
+    ("ml_adaboost", models, "fit_adaboost"), ("ml_gbt", models, "fit_gbt"), ("ml_gbt_early_stop", models, "fit_boosted"),
+    ("ml_stack_two_layer", stacking, "fit_meta"), ("shapley_sampled", explain, "shapley_sampled"),
+])
+def test_registered_learners_keep_the_reference_parameters(spark, monkeypatch, name, place, fitter):
+    from riskweave.plans import QUERIES
+
+    class Called(Exception):
+        pass
+
+    def called(*args, **parameters):
+        raise Called(parameters)
+
+    monkeypatch.setattr(place, fitter, called)
+    with pytest.raises(Called) as seen:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen.value.args == ({},)
