@@ -1,4 +1,5 @@
 import os
+import shutil
 import subprocess
 import sys
 
@@ -24,16 +25,22 @@ def test_python_functions_run_from_any_folder(tmp_path):
     assert "knn_join 2500" in done.stdout and "ml_score_udf 500" in done.stdout
 
 
-def test_the_rest_imports_without_the_corpus_operators(tmp_path):
-    """The folder of corpus operators and the pipeline file may be absent."""
-    import shutil
-
+def test_the_rest_works_without_the_corpus_operators(tmp_path):
+    """A copy without the two folders of corpus operators, its other files as they are."""
     copy = tmp_path / "copy"
     copy.mkdir()
-    shutil.copy(f"{REPO}/__spark_entry__.py", copy)
-    shutil.copytree(f"{REPO}/riskweave", copy / "riskweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in os.listdir(REPO):
+        if name.endswith(".py"):
+            shutil.copy(f"{REPO}/{name}", copy)
+    for folder in ("riskweave", "tests"):
+        shutil.copytree(f"{REPO}/{folder}", copy / folder, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    assert (copy / "corpus_pipeline.py").exists() == os.path.exists(f"{REPO}/corpus_pipeline.py")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     code = "import __spark_entry__ as e; q = e.queries(); print(len(q), any(k.startswith('op1') or k == 'pipeline' for k in q))"
-    done = subprocess.run([sys.executable, "-c", code], cwd=copy, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True, timeout=120)
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
     count, has = done.stdout.split()[-2:]
-    assert int(count) > 100 and has == "False"
+    assert int(count) >= 142 and has == "False"
+    collect = [sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"]
+    done = subprocess.run(collect, cwd=copy, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stdout[-2000:]
