@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import exact, fuzzy, langid, mixing, ngram, packing, quality, simhash, toxicity, warc
+from riskweave.llm import bpe, exact, fuzzy, langid, mixing, ngram, packing, quality, ranked, simhash, toxicity, variants, warc
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,50 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to byte-level BPE ids and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = r"""
+with terms as (
+  select row_number() over () as d, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+),
+counted as (select d, doc_id, term, count(*) as tf from terms group by all),
+sizes as (select d, sum(tf)::bigint as n from counted group by d),
+whole as (select count(*) as docs, sum(n)::bigint as total from sizes),
+items as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w
+  from counted, whole where term in (select term from items) group by term
+),
+scored as (
+  select item_id, d, any_value(doc_id) as doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::bigint as score
+  from items join weights using (term) join counted using (term) join sizes using (d), whole
+  group by item_id, d
+),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words' form and root."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
