@@ -23,6 +23,15 @@ def linear_attribution(df: DataFrame, coefficients: dict[str, float], keep: list
     return long.withColumn("phi", effect[F.col("feature")] * (F.col("value") - center[F.col("feature")]))
 
 
+def tree_attribution(df: DataFrame, model, keep: list[str]) -> DataFrame:
+    """Long (keep, feature, value, phi): exact attributions of a `TreeModel` to its features."""
+    rows = F.arrays_zip(
+        F.array(*[F.lit(c) for c in model.features]).alias("feature"),
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model.features]).alias("value"), F.col("_phi").alias("phi"),
+    )
+    return model.attributions(df, "_phi").select(*keep, F.explode(rows).alias("_e")).select(*keep, "_e.feature", "_e.value", "_e.phi")
+
+
 def attribution_rank(long: DataFrame, k: int | None = None) -> DataFrame:
     """Mean |phi| per feature with its rank; there is one row per feature."""
     means = long.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs"))

@@ -123,12 +123,6 @@ def fit_random_forest(train: DataFrame, features: list[str], label: str, trees:
     return _fit(est, train, features, label, weight=True)
 
 
-def fit_extra_trees(train: DataFrame, features: list[str], label: str, trees: int = 200, depth: int = 15, min_leaf: int = 4, bins: int = 16, seed: int = 42) -> RiskModel:
-    """Every tree sees all rows and few candidate splits; thresholds are binned, not drawn at random."""
-    est = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, bootstrap=False, maxBins=bins, featureSubsetStrategy="sqrt", seed=seed)
-    return _fit(est, train, features, label, weight=True)
-
-
 def fit_gbt(train: DataFrame, features: list[str], label: str, rounds: int = 200, rate: float = 0.05, depth: int = 4, subsample: float = 0.8, balanced: bool = False, seed: int = 42) -> RiskModel:
     est = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=subsample, seed=seed)
     return _fit(est, train, features, label, weight=balanced)

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import rounded
-from riskweave.ml import explain, models, stacking
+from riskweave.ml import explain, extra, models, stacking
 from riskweave.ml.isolation import IsolationForest
 from riskweave.operators import aggregates, evaluate, joins, neighbors, prep, sampling
 from riskweave.plans.registry import query
@@ -137,7 +137,7 @@ def ml_random_forest(t):
 @query("ml_extra_trees")
 def ml_extra_trees(t):
     train, test = split(t)
-    return held_out(test, models.fit_extra_trees(train, V_NAMES, "label"))
+    return held_out(test, extra.fit_extra_trees(train, V_NAMES, "label"))
 
 
 @query("ml_adaboost")
