@@ -7,8 +7,9 @@ search goes down with a budget of one each. The words at the leaves it reaches a
 
 The trie is cut by the first counts into cells. A word is stored in its own cell and looks
 into those cells within the budget that come at or after its own, so each pair is found
-once, wherever its cells lie. A cell of many words is stored in several parts. Each task
-holds one part at a time and streams the words that look into it.
+once, wherever its cells lie. The words of a large cell are dealt into parts, and so are the
+words that look into it; each part of the one meets each of the other. A task holds one
+part at a time and streams the words that look into it.
 
 Null texts have no words; equal rows count each; the length of a text is not bounded; no
 words, or an empty table, give no rows.
@@ -35,7 +36,7 @@ RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 GROUPS, PREFIX = 16, 4
 #: Words of one part of a cell, words that look into it together, words of a leaf.
-PART, TOGETHER, LEAF = 50_000, 20_000, 16
+PART, TOGETHER, LEAF = 10_000, 20_000, 16
 #: Longer words are verified one by one, and distinct words counted before a task passes its counts on.
 WIDE, HELD = 64, 300_000
 
@@ -239,8 +240,11 @@ def near_pairs(words: DataFrame, of: np.ndarray, part: int = PART) -> DataFrame:
         for rows in batches:
             out = []
             for i, (w, (own, around)) in enumerate(zip(rows.column("word").to_pylist(), cells_around(first_counts(rows)))):
-                out.append((i, own, zlib.crc32(w.encode()) % parts.get(own, 1), 0))
-                out.extend((i, c, p, 1 if c == own else 2) for c in around for p in range(parts.get(c, 1)))
+                code, m = zlib.crc32(w.encode()), parts.get(own, 1)
+                out.extend((i, own, code % m * m + asking, 0) for asking in range(m))
+                for c in around:
+                    m = parts.get(c, 1)
+                    out.extend((i, c, held * m + code // 7 % m, 1 if c == own else 2) for held in range(m))
             place, cells, numbers, roles = (np.array(x, dtype=np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
             for at in range(0, len(place), 100_000):
                 cut = slice(at, at + 100_000)

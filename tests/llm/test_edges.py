@@ -16,10 +16,12 @@ CLASHES = {"row": "1", "uid": "'u'", "words": "2.0", "tokens": "cast(null as str
 
 
 def write(spark, path, docs, pages, labels):
-    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *[f"{v} as {k}" for k, v in CLASHES.items()])
-    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *[f"{v} as {k}" for k, v in CLASHES.items()])
+    frame.repartition(3).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"key": F.lit(1), "file": F.lit("f")}).write.parquet(f"{path}/pages.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumns({"y": F.lit(1), "domain": F.lit(2)}).write.parquet(f"{path}/labels.parquet")
+    items = [(1, "One two"), (1, None), (2, ""), (None, "same TEXT"), (None, "one")] if docs else []
+    spark.createDataFrame(items, "item_id long, text string").withColumns({"item": F.lit(1), "term": F.lit("t")}).write.parquet(f"{path}/benchmark.parquet")
     return str(path)
 
 
@@ -42,7 +44,10 @@ def empty(spark, tmp_path_factory):
 def test_awkward_rows(spark, awkward, name):
     path, docs, pages = awkward
     got = QUERIES[name](spark, path).collect()
-    if name == "op4_packing":
+    if name in ("op12_ranked_search", "op13_spelling_variants"):
+        # Their rows are items and words; values are compared in test_vocabulary.
+        assert len(got) == len(set(got)) > 0
+    elif name == "op4_packing":
         whole = [r for r in got if r.start == 0]
         assert len(whole) == docs and sum(r.length for r in got) == sum(r.doc_tokens for r in whole)
     else:
@@ -76,3 +81,9 @@ def test_results_named_in_docstrings(spark, awkward):
     assert sum(r.page_id == 2 and r.record_type == "response" for r in warc) == 2
     simhash = [r for r in QUERIES["op3_simhash"](spark, path).collect() if r.doc_id in (0, 1, 2)]
     assert {(r.fingerprint, r.component_id) for r in simhash} == {("0" * 16, 0)}
+    coded = {r.doc_id: r for r in QUERIES["op11_bpe"](spark, path).collect()}
+    assert coded[0] == coded[0] and (coded[0].n_tokens, coded[0].ids_sha256) == (coded[1].n_tokens, coded[1].decoded_sha256) and coded[0].n_tokens == 0
+    ranked = QUERIES["op12_ranked_search"](spark, path).collect()
+    assert {r.item_id for r in ranked} == {1, None} and all(r.score > 0 for r in ranked)
+    words = {r.word: r.n for r in QUERIES["op13_spelling_variants"](spark, path).collect()}
+    assert words["three"] > 29_000 and "x" * 50_000 not in words
