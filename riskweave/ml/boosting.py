@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
 from riskweave.ml.trees import Tree, TreeModel
-from riskweave.session import drop_stage, ship_package, write_stage
+from riskweave.session import drop_stage, ship_package, stage_path, write_stage
 
 SCALE = 1 << 20
 PRIME = 2147483647
 #: Rows that bin edges are taken from, in the order of a hash of their key.
 EDGE_ROWS = 200_000
+BLOCK_ROWS = "bins binary, row binary, y binary, margin binary"
 #: Scores are rounded to this many steps for the validation AUC.
 AUC_STEPS = 1 << 16
 
@@ -156,16 +157,25 @@ def _write_blocks(train: DataFrame, validation: DataFrame | None, features: list
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in held.values()], names=list(held))
 
     ship_package(train.sparkSession)
-    return write_stage(both.mapInArrow(run, "bins binary, row binary, y binary, margin binary"), "blocks")
+    return write_stage(both.mapInArrow(run, BLOCK_ROWS), "blocks")
 
 
 class Grower:
     """Grows trees on written blocks."""
 
     def __init__(self, blocks: DataFrame, path: str, growth: Growth, edges: list[np.ndarray], weight: float):
-        self.blocks, self.path, self.growth, self.edges, self.weight = blocks, path, growth, edges, weight
+        self.spark, self.growth, self.edges, self.weight = blocks.sparkSession, growth, edges, weight
         self.width, self.bins = len(edges), max((len(e) for e in edges), default=0) + 1
-        self.recent: list = []
+        self._open(blocks, path)
+
+    def _open(self, blocks: DataFrame, path: str) -> None:
+        """Read the blocks in a session of its own: a pass is one short job whose sums are of known
+        size, so planning it again at run time only costs time. Reducers follow the number of tasks."""
+        own = blocks.sparkSession.newSession()
+        own.conf.set("spark.sql.adaptive.enabled", "false")
+        self.blocks, self.path, self.recent = own.read.schema(blocks.schema).parquet(path), path, []
+        tasks = self.blocks.rdd.getNumPartitions()
+        own.conf.set("spark.sql.shuffle.partitions", str(min(tasks, 8 + tasks // 64)))
 
     def _sums(self, each) -> dict[int, tuple[int, int, int]]:
         """Add up what `each` (block) -> (keys, g, h, n) gives, over all blocks."""
@@ -206,11 +216,9 @@ class Grower:
             use &= at >= 0
             g, h = (a[use] for a in block.gradients(weight))
             at, cells = at[use], block.bins[use]
-            sums = np.zeros((3, len(nodes) * size))
-            for j in range(width):
-                place = at * size + j * bins + cells[:, j]
-                for row, w in enumerate((g, h, None)):
-                    sums[row] += np.bincount(place, weights=w, minlength=sums.shape[1])
+            place = ((at * size)[:, None] + np.arange(width) * bins + cells).reshape(-1)
+            weights = (np.repeat(g, width), np.repeat(h, width), None)
+            sums = np.stack([np.bincount(place, weights=w, minlength=len(nodes) * size) for w in weights])
             yield 0, sums
 
         table = self._sums(each)
@@ -322,9 +330,10 @@ class Grower:
                     kept = [batch.column(c) for c in ("bins", "row", "y")]
                     yield pa.RecordBatch.from_arrays([*kept, pa.array(margins, pa.binary())], names=["bins", "row", "y", "margin"])
 
-            blocks, path = write_stage(self.blocks.mapInArrow(run, "bins binary, row binary, y binary, margin binary"), "blocks")
-            drop_stage(blocks.sparkSession, self.path)
-            self.blocks, self.path, self.recent = blocks, path, []
+            old, path = self.path, stage_path(self.spark, "blocks")
+            self.blocks.mapInArrow(run, BLOCK_ROWS).write.parquet(path)
+            self._open(self.spark.read.schema(BLOCK_ROWS).parquet(path), path)
+            drop_stage(self.spark, old)
 
 
 def best_first(tree: Tree, gains: dict[int, float], leaves: int) -> Tree:
@@ -382,7 +391,7 @@ def fit_boosted(train: DataFrame, validation: DataFrame | None, features: list[s
     trees, best, best_at = [], -1.0, 0
     while True:
         tree, seen = grower.grow(len(trees), judge)
-        if judge:
+        if judge and trees:
             now = auc(seen)
             if now > best:
                 best, best_at = now, len(trees)

@@ -98,7 +98,7 @@ def fit_gaussian_nb(train: DataFrame, features: list[str], label: str) -> RiskMo
     return _fit(NaiveBayes(modelType="gaussian"), train, features, label)
 
 
-def knn_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, key: str, k: int = 5, train_rows: int = 30_000) -> DataFrame:
+def knn_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, key: str, k: int = 5, train_rows: int = 30_000, exact: bool = True) -> DataFrame:
     """(key, score): distance-weighted vote of the k nearest training rows; exact matches decide alone.
 
     The model is made of at most `train_rows` training rows, taken in the order of a hash of
@@ -106,7 +106,7 @@ def knn_scores(train: DataFrame, test: DataFrame, features: list[str], label: st
     """
     train = train.orderBy(hash_order(key), key).limit(train_rows)
     as_array = lambda d: d.na.fill(0.0, features).withColumn("_x", F.array(*[F.col(c).cast("double") for c in features]))
-    near = knn_join(as_array(test), as_array(train), "_x", k, key, key)
+    near = knn_join(as_array(test), as_array(train), "_x", k, key, key, exact=exact)
     votes = near.join(train.select(F.col(key).cast("long").alias("neighbor_id"), F.col(label).alias("_l")), "neighbor_id")
     same = F.col("distance") == 0
     weight = F.when(~same, 1.0 / F.when(same, F.lit(1.0)).otherwise(F.col("distance"))).otherwise(0.0)

@@ -6,15 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import total_of
 from riskweave.ml.models import fit_gbt, fit_logreg
-from riskweave.operators.evaluate import auc_of_pairs
-from riskweave.operators.ordered import ordered_pairs
 from riskweave.operators.prep import standardize
-from riskweave.session import materialize
+from riskweave.session import materialize, ship_package
 
 Fitter = Callable[[DataFrame], object]
 
@@ -84,22 +83,107 @@ def weight_candidates(ranges=WEIGHT_RANGES, last=LAST_WEIGHT) -> list[tuple[floa
     return [w for w in grid if last[0] <= w[3] <= last[1]]
 
 
-def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tuple] | None = None) -> DataFrame:
+#: Steps of the fused score that rows are counted in, and rows that one task orders exactly.
+SCORE_STEPS, ORDERED_ROWS = 1024, 1_000_000
+
+
+def _fused(rows: pa.RecordBatch, names: list[str], label: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """Component scores and labels of the rows that have all scores."""
+    parts = [rows.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in names]
+    known = ~np.isnan(np.sum(parts, axis=0)) if len(rows) else np.zeros(0, bool)
+    positive = np.array([v == 1 for v in rows.column(label).to_pylist()], dtype=bool)
+    return [x[known] for x in parts], positive[known]
+
+
+def _score(weights: tuple, parts: list[np.ndarray]) -> np.ndarray:
+    out = 0.0
+    for w, x in zip(weights, parts):
+        out = out + w * x
+    return out
+
+
+def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tuple] | None = None, steps: int = SCORE_STEPS, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
     """AUC of every weight vector: (weight_id, weights, auc_roc).
 
-    Rows with equal component scores are merged first, the candidates are a short
-    literal list expanded in place, and one ordering serves all AUCs.
+    A first pass counts the classes in equal steps of the fused score, for each weight
+    vector: a bounded number of counts, whatever the rows. They settle all pairs of rows in
+    different steps. Only rows of steps that hold both classes are ordered exactly: they
+    travel packed, as sorted scores with counts, one packet for each task, weight vector and
+    run of steps of at most `ordered_rows` rows (more only where one step holds them). Rows
+    with a null score are left out; one class alone gives a null AUC.
     """
-    candidates = candidates or weight_candidates()
-    distinct = df.groupBy(*names).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
-    )
-    grid = F.array(*[F.array(*[F.lit(w) for w in c]) for c in candidates])
-    spread = distinct.select(*names, "pos", "neg", F.posexplode(grid).alias("weight_id", "w"))
-    fused = total_of(*[F.col("w")[i] * F.col(n) for i, n in enumerate(names)])
-    scored = spread.select("weight_id", fused.alias("score"), "pos", "neg")
-    pairs = ordered_pairs(scored, ["weight_id"], "score", {"pos": F.sum("pos"), "neg": F.sum("neg")}, premerge=False)
-    return pairs.select("weight_id", auc_of_pairs().alias("auc_roc"), F.element_at(grid, F.col("weight_id") + 1).alias("weights"))
+    spark = df.sparkSession
+    candidates = [tuple(c) for c in candidates or weight_candidates()]
+    rows = df.select(*names, label)
+    span = rows.agg(*[f(F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double"))).alias(f"{k}{i}") for i, n in enumerate(names) for k, f in (("a", F.min), ("z", F.max))]).first()
+    ends = [[span[f"{k}{i}"] or 0.0 for i in range(len(names))] for k in "az"]
+    low = [sum(min(w * a, w * z) for w, a, z in zip(c, *ends)) for c in candidates]
+    high = [sum(max(w * a, w * z) for w, a, z in zip(c, *ends)) for c in candidates]
+
+    def step_of(i: int, score: np.ndarray) -> np.ndarray:
+        # Rising with the score, so rows of a lower step have lower scores.
+        return np.clip((score - low[i]) / max(high[i] - low[i], 1e-300) * steps, 0, steps - 1).astype(np.int64)
+
+    def count(batches):
+        held = np.zeros((len(candidates), 2 * steps), dtype=np.int64)
+        for batch in batches:
+            parts, positive = _fused(batch, names, label)
+            for i, c in enumerate(candidates):
+                held[i] += np.bincount(2 * step_of(i, _score(c, parts)) + positive, minlength=2 * steps)
+        seen = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(held.reshape(-1)[seen])], names=["key", "n"])
+
+    ship_package(spark)
+    table = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(candidates) * 2 * steps, dtype=np.int64)
+    counts[table.column("key").to_numpy()] = table.column("n").to_numpy()
+    neg, pos = np.moveaxis(counts.reshape(len(candidates), steps, 2), 2, 0)
+    # Twice the pairs in the right order, as whole numbers of any size.
+    doubled = [sum(int(p) * 2 * int(b) for p, b in zip(pos[i], np.cumsum(neg[i]) - neg[i]) if p) for i in range(len(candidates))]
+    both = (pos > 0) & (neg > 0)
+    run = np.cumsum(np.where(both, pos + neg, 0), axis=1) // ordered_rows
+
+    def pack(batches):
+        for batch in batches:
+            parts, positive = _fused(batch, names, label)
+            out = {k: [] for k in ("weight_id", "run", "score", "pos", "neg")}
+            for i, c in enumerate(candidates):
+                score = _score(c, parts)
+                step = step_of(i, score)
+                use = np.flatnonzero(both[i][step])
+                if not len(use):
+                    continue
+                value, place = np.unique(score[use], return_inverse=True)
+                sums = [np.bincount(place, weights=w, minlength=len(value)).astype(np.int64) for w in (positive[use], ~positive[use])]
+                runs = run[i][step_of(i, value)]
+                cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(value)]
+                for at, end in zip(cuts[:-1], cuts[1:]):
+                    for k, v in zip(out, (i, int(runs[at]), value[at:end].tobytes(), sums[0][at:end].tobytes(), sums[1][at:end].tobytes())):
+                        out[k].append(v)
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+
+    def order(packets: pa.Table) -> pa.Table:
+        i = packets.column("weight_id")[0].as_py()
+        get = lambda name, kind: np.concatenate([np.frombuffer(v.as_buffer(), dtype=kind) for v in packets.column(name)])
+        score, p, n = get("score", np.float64), get("pos", np.int64), get("neg", np.int64)
+        value, place = np.unique(score, return_inverse=True)
+        p, n = (np.bincount(place, weights=x, minlength=len(value)).astype(np.int64) for x in (p, n))
+        step = step_of(i, value)
+        first = np.flatnonzero(np.diff(step, prepend=-1))
+        before = np.cumsum(n) - n
+        before -= np.repeat(before[first], np.diff(first, append=len(step)))
+        return pa.table({"weight_id": pa.array([i], pa.int32()), "pairs": pa.array([str(int((p.astype(object) * (2 * before + n)).sum()))])})
+
+    packets = rows.mapInArrow(pack, "weight_id int, run long, score binary, pos binary, neg binary")
+    inside = packets.groupBy("weight_id", "run").applyInArrow(order, "weight_id int, pairs string")
+    for r in inside.groupBy("weight_id").agg(F.sum(F.col("pairs").cast("decimal(38,0)")).alias("pairs")).collect():
+        doubled[r.weight_id] += int(r.pairs)
+    out = []
+    for i, c in enumerate(candidates):
+        whole = int(pos[i].sum()) * int(neg[i].sum())
+        out.append((i, doubled[i] / 2 / whole if whole else None, [float(w) for w in c]))
+    return spark.createDataFrame(out, "weight_id int, auc_roc double, weights array<double>")
 
 
 def best_weights(grid: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -89,11 +89,32 @@ def union_master(frames: list[DataFrame], features: list[str]) -> DataFrame:
 
 
 def row_id(df: DataFrame, key: list[str | Column], out: str = "row_id") -> DataFrame:
-    """Stable 64-bit id from the natural key, the same on every run and partitioning.
+    """Stable 128-bit id (32 hex digits) from the natural key, the same on every run, plan and partitioning.
 
-    Two keys may share an id once a table holds billions of rows; use the key itself there.
+    Each value goes in with its length, and a null as such, so different keys give different
+    texts; two of 10^12 keys share an id with a probability of about 10^-15. Rows with equal
+    keys share theirs.
     """
-    return df.withColumn(out, F.xxhash64(*[col_of(k) for k in key]))
+    def part(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return df.withColumn(out, F.md5(F.concat_ws("|", *[part(col_of(k)) for k in key])))
+
+
+def number_repeats(df: DataFrame, key: str, out: str = "nth") -> DataFrame:
+    """Number the rows of each value of `key` from 0; which of them gets which number is left open.
+
+    Rows are counted by value and partition first, so one value may hold any share of the
+    table: a window sees the rows of one partition, or one count for each partition.
+    """
+    parted = materialize(df.withColumn("_part", F.spark_partition_id()), "repeats")
+    local = parted.withColumn("_at", F.row_number().over(Window.partitionBy(key, "_part").orderBy(key)) - 1)
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parted.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows")).select(
+        key, "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    )
+    return local.join(starts, [key, "_part"]).withColumn(out, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
 
 
 def drop_meta(df: DataFrame, names: list[str]) -> DataFrame:

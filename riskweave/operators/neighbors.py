@@ -4,7 +4,9 @@ Base rows are grouped around pivots (Lu et al., 2012) and, inside a pivot's cell
 into rings of bounded size by their distance to it. The distances kept per pivot give
 each query an upper bound on its k-th neighbour; by the triangle inequality most cells
 and rings cannot beat it and are skipped. Each remaining block pair returns k rows per
-query, never all pairs.
+query. In few dimensions, or where rows form clusters, that skips most of the base; in many
+dimensions without clusters hardly any cell can be ruled out, and an exact search has to
+compare nearly all pairs. `exact=False` bounds the work there.
 """
 
 from __future__ import annotations
@@ -106,11 +108,17 @@ def knn_join(
     exclude_self: bool = False,
     pivots: int | None = None,
     block_rows: int = 2_000,
+    exact: bool = True,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) of the k nearest base rows of every query row.
 
-    Ids are longs; ties in distance go to the smaller id.
+    Ids are longs; ties in distance go to the smaller id. With `exact=False` a query meets a
+    bounded number of rows (`approx.approx_knn_join`) and may miss a neighbour.
     """
+    if not exact:
+        from riskweave.operators.approx import approx_knn_join
+
+        return approx_knn_join(query, base, vec, k, query_id, base_id, exclude_self)
     need = k + (1 if exclude_self else 0)
     b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))

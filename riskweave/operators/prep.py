@@ -47,10 +47,11 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
     return df.withColumn(out, F.when(F.col(label) == 1, weight(pos)).otherwise(weight(n - pos)))
 
 
-def smote(df: DataFrame, label: str, cols: list[str], key: str, ratio: float = 0.1, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, cols: list[str], key: str, ratio: float = 0.1, k: int = 5, seed: int = 42, exact: bool = True) -> DataFrame:
     """Add synthetic positives until positives = ratio * negatives.
 
-    Each synthetic row lies between a positive and one of its k nearest positives.
+    Each synthetic row lies between a positive and one of its k nearest positives; with
+    `exact=False` one of those that the approximate join finds (none: the positive itself).
     (`key`, `_copy`) identifies a row; `_copy` is 0 for the given rows. Only `key`,
     `label` and `cols` are returned.
     """
@@ -69,7 +70,7 @@ def smote(df: DataFrame, label: str, cols: list[str], key: str, ratio: float = 0
     cut = hash_cuts(minority, [], ["_id"], seed, lambda n: F.array(F.lit(rest))).first()["cuts"][0]
     copies = F.lit(each) + F.when(hash_order("_id", seed=seed) <= cut, 1).otherwise(0)
     reach = min(k, pos - 1)
-    near = knn_join(minority, minority, "_x", reach, "_id", "_id", exclude_self=True).select(
+    near = knn_join(minority, minority, "_x", reach, "_id", "_id", exclude_self=True, exact=exact).select(
         F.col("query_id").alias("_id"), F.col("rank").alias("_rank"), F.col("neighbor_id").alias("_n")
     )
     planned = (
@@ -79,6 +80,12 @@ def smote(df: DataFrame, label: str, cols: list[str], key: str, ratio: float = 0
         .withColumn("_gap", hash_uniform("_id", "_copy", seed=seed + 1))
     )
     other = minority.select(F.col("_id").alias("_n"), F.col("_x").alias("_y"))
+    if not exact:
+        # Fewer than `reach` neighbours may have been found.
+        seen = near.groupBy("_id").agg(F.max("_rank").alias("_seen"))
+        planned = planned.join(seen, "_id", "left").withColumn("_rank", ((F.col("_rank") - 1) % F.coalesce("_seen", F.lit(1)) + 1).cast("int")).drop("_seen")
+        lone = planned.select("_id").distinct().join(near, "_id", "left_anti").select("_id", F.lit(1).alias("_rank"), F.col("_id").alias("_n"))
+        near = near.unionByName(lone)
     mixed = planned.join(near, ["_id", "_rank"]).join(other, "_n").withColumn(
         "_z", F.zip_with("_x", "_y", lambda x, y: x + (y - x) * F.col("_gap"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import rounded
@@ -213,21 +213,25 @@ def tree_attribution_top(t):
 
 @query("tree_attribution_rank")
 def tree_attribution_rank(t):
-    """Mean absolute attribution of each feature in the boosted model, over all test rows."""
-    model, test = fitted(t, "lgb")
+    """Mean absolute attribution of each feature in the whole randomised forest, over all test rows."""
+    train, test = split(t)
+    model = extra.fit_extra_trees(train, V_NAMES, "label")
     return explain.attribution_rank(explain.tree_attribution(test, model, ["vec_id", "label"]))
 
 
-@query("tree_local_attribution")
+@query("tree_local_attribution", f"""{SHAP}, every AS (SELECT vec_id, 'V' || (j + 1) AS feature, coalesce(phi, 0) AS phi FROM x LEFT JOIN phi USING (vec_id, j)
+  JOIN (SELECT vec_id, label FROM {SPLIT}) USING (vec_id) WHERE label = 1)
+SELECT vec_id, feature, {rnd('phi', 9)} AS phi, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY {rnd('abs(phi)', 9)} DESC, feature) AS r FROM every) WHERE r <= 10""")
 def tree_local_attribution(t):
-    """The ten largest attributions of every flagged test row in the boosted model."""
-    model, test = fitted(t, "lgb")
-    long = explain.tree_attribution(test.where(F.col("label") == 1), model, ["vec_id", "label"])
-    return explain.local_attribution(long, "vec_id", 10)
+    """The ten largest attributions of every flagged test row in the first randomised tree."""
+    long = first_tree_attributions(t).where(F.col("label") == 1).withColumn("phi", rounded("phi", 9))
+    return explain.local_attribution(long, "vec_id", 10).select("vec_id", "feature", "phi", "rank")
 
 
-@query("tree_dependence_points")
+@query("tree_dependence_points", f"""{SHAP}, top AS (SELECT j FROM phi GROUP BY j ORDER BY sum(abs(phi)) DESC LIMIT 1)
+SELECT vec_id, label, 'V' || (j + 1) AS feature, {rnd('value')} AS value, {rnd('coalesce(phi, 0)', 9)} AS phi
+FROM x SEMI JOIN top USING (j) LEFT JOIN phi USING (vec_id, j) JOIN (SELECT vec_id, label FROM {SPLIT}) USING (vec_id)""")
 def tree_dependence_points(t):
-    """Value and attribution of every test row for the feature that matters most in the boosted model."""
-    model, test = fitted(t, "lgb")
-    return explain.dependence_points(explain.tree_attribution(test, model, ["vec_id", "label"]), ["vec_id", "label"])
+    """Value and attribution of every test row for the feature that matters most in the first randomised tree."""
+    out = explain.dependence_points(first_tree_attributions(t), ["vec_id", "label"])
+    return out.withColumns({"value": rounded("value"), "phi": rounded("phi", 9)})

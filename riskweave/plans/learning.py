@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import rounded
 from riskweave.ml import explain, extra, models, stacking
 from riskweave.ml.isolation import IsolationForest
-from riskweave.operators import aggregates, evaluate, joins, neighbors, prep, sampling
+from riskweave.operators import aggregates, approx, evaluate, joins, neighbors, prep, sampling
 from riskweave.plans.registry import query
 from riskweave.plans.views import V_NAMES, VECTORS, rnd, vectors
 
@@ -88,6 +88,15 @@ def h(*parts: str) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT)"
 
 
+@query("knn_approx_recall", "SELECT count(*) AS queries, 5 * count(*) AS neighbors, true AS enough FROM embeddings")
+def knn_approx_recall(t):
+    """The five approximate neighbours of every vector against the exact ones: at least nine in ten are found."""
+    args = t.embeddings, t.embeddings, "embedding", 5, "vec_id", "vec_id"
+    found = neighbors.knn_join(*args, exclude_self=True, exact=False)
+    seen = approx.recall(found, neighbors.knn_join(*args, exclude_self=True))
+    return seen.select("queries", "neighbors", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query("smote", f"""
 WITH m AS MATERIALIZED (SELECT vec_id, {VEC28} AS x, row_number() OVER (ORDER BY md5(concat_ws('|', vec_id, '42'))) AS r FROM {VECTORS} WHERE label = 1),
 c AS (SELECT count(*) AS pos, CAST(floor((SELECT count(*) FROM {VECTORS} WHERE label = 0) * 0.5) AS BIGINT) - count(*) AS new FROM m),

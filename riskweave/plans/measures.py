@@ -164,6 +164,14 @@ def weight_grid(t):
     return grid.select("weight_id", *[F.round(F.col("weights")[i], 2).alias(f"w{i + 1}") for i in range(4)], rounded("auc_roc").alias("auc_roc"))
 
 
+@query("best_weights", f"""WITH {WEIGHTED}
+SELECT id AS weight_id, round(w1, 2) AS w1, round(w2, 2) AS w2, round(w3, 2) AS w3, round(w4, 2) AS w4, {rnd('auc')} AS auc_roc FROM a JOIN g USING (id) ORDER BY auc DESC, id LIMIT 1""")
+def best_weights(t):
+    """The first of the weight vectors with the highest AUC."""
+    best = stacking.best_weights(stacking.weight_grid(order_scores(t), SCORE_NAMES, "label"))
+    return best.select("weight_id", *[F.round(F.col("weights")[i], 2).alias(f"w{i + 1}") for i in range(4)], rounded("auc_roc").alias("auc_roc"))
+
+
 SIDES = f"""(SELECT *, CASE WHEN row_number() OVER (ORDER BY ts, event_id) <= floor(0.7 * (SELECT count(*) FROM events)) THEN 'ref' ELSE 'cur' END AS side
   FROM (SELECT *, ln(1 + amount) AS amount_log, (time_s % 86400) / 3600.0::DOUBLE AS hour, CAST(user_id AS DOUBLE) AS user_no FROM {CARDS}))"""
 DRIFT_COLS = ["amount", "amount_log", "hour", "user_no"]

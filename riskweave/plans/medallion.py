@@ -154,10 +154,12 @@ def gold_transactions(transactions: DataFrame, identity: DataFrame, **options) -
 def build_master(gold: list[DataFrame]) -> DataFrame:
     """Union of the gold tables on the shared features, stamped and numbered.
 
-    The number is unique and costs no shuffle; it is fixed once the table is written.
+    The id is a hash of the row's own columns and of its place among rows equal in all of
+    them, so it does not depend on the plan that computes it.
     """
     master = clean.union_master(gold, MASTER_FEATURES)
-    return master.withColumns({"_gold_processed_at": F.current_timestamp(), "row_id": F.monotonically_increasing_id()})
+    placed = clean.number_repeats(clean.row_id(master, master.columns, "_same"), "_same", "_nth")
+    return clean.row_id(placed, ["_same", "_nth"]).drop("_same", "_nth").withColumn("_gold_processed_at", F.current_timestamp())
 
 
 def build_layers(spark: SparkSession, sources: dict[str, str], schemas: dict | None = None) -> DataFrame:

@@ -271,12 +271,29 @@ def unify_schema(t):
     return clean.align(master_parts(t)[1], MASTER).withColumn("amount_log", rounded("amount_log"))
 
 
+ID_COLS = [*LINE_COLS, "l_extendedprice", "l_quantity", "l_shipdate"]
+
+
 @query("row_id", f"SELECT count(*) AS rows, count(DISTINCT ({LINE}, l_extendedprice, l_quantity, l_shipdate)) AS ids FROM lineitem")
 def row_id(t):
-    out = clean.row_id(t.lineitem, [*LINE_COLS, "l_extendedprice", "l_quantity", "l_shipdate"])
+    out = clean.row_id(t.lineitem, ID_COLS)
     return out.agg(F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"))
 
 
+@query("row_id_values", """SELECT o_orderkey, md5(concat_ws('|', coalesce(length(a) || ':' || a, '-'), coalesce(length(b) || ':' || b, '-'), coalesce(length(c) || ':' || c, '-'))) AS row_id
+FROM (SELECT o_orderkey, o_orderkey::VARCHAR AS a, nullif(o_orderpriority, '4-NOT SPECIFIED') AS b, o_orderstatus AS c FROM orders)""")
+def row_id_values(t):
+    """The id of every order, from a key with nulls."""
+    keyed = t.orders.withColumn("b", F.expr("nullif(o_orderpriority, '4-NOT SPECIFIED')"))
+    return clean.row_id(keyed, ["o_orderkey", "b", "o_orderstatus"]).select("o_orderkey", "row_id")
+
+
+@query("number_repeats", "SELECT o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS nth FROM orders")
+def number_repeats(t):
+    """Numbers of the orders within their priority, five values for all rows."""
+    return clean.number_repeats(t.orders.select("o_orderpriority"), "o_orderpriority")
+
+
 @query("winsorize", f"""
 SELECT o_orderkey, {rnd('greatest(0, least(o_totalprice, cap))')} AS clipped FROM orders, (SELECT quantile_cont(o_totalprice, 0.99) AS cap FROM orders)""")
 def winsorize(t):
