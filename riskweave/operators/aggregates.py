@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import direction, hour_label, safe_ratio
 from riskweave.operators.ordered import exact_quantiles
-from riskweave.session import materialize
+from riskweave.session import materialize, ship_package
 
 
 def class_distribution(df: DataFrame, c: str) -> DataFrame:
@@ -74,11 +74,38 @@ def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFr
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair from one pass, each over the rows where both are present."""
-    pairs = list(combinations(range(len(cols)), 2))
-    wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"_{i}_{j}") for i, j in pairs])
-    entries = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"_{i}_{j}").alias("corr")) for i, j in pairs]
-    return wide.select(F.inline(F.array(*entries)))
+    """Pearson correlation of every pair (a, b, corr), each over the rows where both are present.
+
+    A task multiplies the matrix of its rows with itself, once for the values and once for
+    what is present, and passes on a few sums for each pair. Values are taken relative to
+    the columns' means, so sums of large numbers lose nothing. A constant column gives null.
+    """
+    number = lambda c: F.col(c).cast("double")
+    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    wide = df.select(*[(number(c) - F.lit(float(means[c] or 0.0))).alias(f"c{i}") for i, c in enumerate(cols)])
+    first, second = np.triu_indices(len(cols), 1)
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+
+    def run(batches):
+        sums = np.zeros((len(names), len(first)))
+        for rows in batches:
+            x = np.column_stack([rows.column(i).to_numpy(zero_copy_only=False) for i in range(len(cols))])
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(np.float64)
+            one, two = x.T @ m, (x * x).T @ m
+            for k, full in enumerate((m.T @ m, one, one.T, two, two.T, x.T @ x)):
+                sums[k] += full[first, second]
+        yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second), *[pa.array(s) for s in sums]], names=["i", "j", *names])
+
+    ship_package(df.sparkSession)
+    parts = wide.mapInArrow(run, "i long, j long, " + ", ".join(f"{c} double" for c in names))
+    n, x, y, xx, yy, xy = (F.col(c) for c in names)
+    spread = lambda a, aa: F.when(aa * n - a * a > 1e-12 * aa * n, aa * n - a * a)
+    name = F.array(*[F.lit(c) for c in cols])
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names]).select(
+        F.get(name, F.col("i").cast("int")).alias("a"), F.get(name, F.col("j").cast("int")).alias("b"),
+        ((xy * n - x * y) / F.sqrt(spread(x, xx) * spread(y, yy))).alias("corr"),
+    )
 
 
 def corr_with_label(df: DataFrame, cols: list[str], label: str, k: int = 10) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
 from riskweave.operators.joins import join_features, mark_join
-from riskweave.session import drop_stage, materialize, write_measured, write_stage
+from riskweave.session import drop_stage, materialize, ship_package, write_measured, write_stage
 
 HUB_EDGES = 1_000_000
 
@@ -147,13 +151,69 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     )
 
 
-def clustering_coef(edges: DataFrame) -> DataFrame:
-    """Local clustering coefficient on undirected distinct edges without loops.
+#: Edges of one triple of colours, where degrees are even.
+TRIPLE_EDGES = 500_000
+
+
+def _corners(packet: pa.Table) -> pa.Table:
+    """Triangles of one triple of colours, by corner: id, n."""
+    both = pa.chunked_array([*packet.column("a").chunks, *packet.column("b").chunks]).combine_chunks().dictionary_encode()
+    ends, ids, m = both.indices.to_numpy(), both.dictionary, len(packet)
+    colour = np.zeros(len(ids), dtype=np.int64)
+    colour[ends[:m]], colour[ends[m:]] = packet.column("ca").to_numpy(), packet.column("cb").to_numpy()
+    # Edges point from fewer to more neighbours (here), so no list of targets is long.
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[np.lexsort((np.arange(len(ids)), np.bincount(ends, minlength=len(ids))))] = np.arange(len(ids))
+    ends = rank[ends]
+    u, v = np.minimum(ends[:m], ends[m:]), np.maximum(ends[:m], ends[m:])
+    known = np.sort(u * len(ids) + v)
+    u, v = known // len(ids), known % len(ids)
+    last = np.searchsorted(u, u, side="right")
+    later = last - np.arange(m) - 1
+    of = np.empty(len(ids), dtype=np.int64)
+    of[rank] = colour
+    want = np.sort([int(packet.column(c)[0].as_py()) for c in ("c0", "c1", "c2")])
+    n, steps = np.zeros(len(ids), dtype=np.int64), np.concatenate([[0], np.cumsum(later)])
+    at = 0
+    while at < m:
+        to = int(max(at + 1, np.searchsorted(steps, steps[at] + 2_000_000, side="right") - 1))
+        first = np.repeat(np.arange(at, to), later[at:to])
+        second = first + 1 + np.arange(len(first)) - np.repeat(steps[at:to] - steps[at], later[at:to])
+        x, y = v[first], v[second]
+        place = np.searchsorted(known, x * len(ids) + y)
+        closed = known[np.minimum(place, m - 1)] == x * len(ids) + y
+        corners = np.stack([u[first][closed], x[closed], y[closed]])
+        # A triangle of fewer colours lies in several triples and counts in its own one.
+        corners = corners[:, (np.sort(of[corners], axis=0) == want[:, None]).all(axis=0)]
+        n += np.bincount(corners.reshape(-1), minlength=len(ids))
+        at = to
+    n = n[rank]
+    seen = np.flatnonzero(n)
+    return pa.table({"id": ids.take(pa.array(seen)), "n": pa.array(n[seen])})
+
+
+def triangle_counts(pairs: DataFrame, per_task: int = TRIPLE_EDGES) -> DataFrame:
+    """id, triangles of every vertex of some triangle; `pairs` (a, b) holds each undirected edge once.
 
-    Each edge points from the vertex of lower degree to the higher one, which bounds
-    every neighbour list by sqrt(2 * edges), hubs included. Triangles are found by
-    intersecting the two lists of an edge, so only real triangles are emitted.
+    Vertices get one of c colours by a hash, and an edge goes to the c triples of colours
+    that hold both of its ends (Suri and Vassilvitskii, 2011). c grows with the root of the
+    edges, so a triple keeps its size, and the edges of a hub are dealt among all triples with
+    its colour. No list of a vertex's neighbours travels.
     """
+    edges = pairs.count()
+    c = max(4, math.ceil(math.sqrt(6 * edges / per_task)))
+    colour = lambda end: F.pmod(F.xxhash64(end, F.lit(17)), F.lit(c)).cast("int")
+    third = pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(c - 1))).alias("cc"))
+    triple = F.array_sort(F.array("ca", "cb", "cc"))
+    dealt = third.select("a", "b", "ca", "cb", *[triple[i].alias(f"c{i}") for i in range(3)])
+    kind = pairs.schema["a"].dataType.simpleString()
+    ship_package(pairs.sparkSession)
+    found = dealt.groupBy("c0", "c1", "c2").applyInArrow(_corners, f"id {kind}, n long")
+    return found.groupBy("id").agg(F.sum("n").alias("triangles"))
+
+
+def clustering_coef(edges: DataFrame, per_task: int = TRIPLE_EDGES) -> DataFrame:
+    """Local clustering coefficient on undirected distinct edges without loops."""
     pairs = materialize(
         edges.where(F.col("src") != F.col("dst"))
         .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct(),
@@ -162,31 +222,10 @@ def clustering_coef(edges: DataFrame) -> DataFrame:
     degree = materialize(
         pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree")), "degree"
     )
-    da = degree.select(F.col("id").alias("a"), F.col("degree").alias("da"))
-    db = degree.select(F.col("id").alias("b"), F.col("degree").alias("db"))
-    a_first = F.struct("da", "a") < F.struct("db", "b")
-    directed = materialize(
-        pairs.join(da, "a").join(db, "b").select(
-            F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-            F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
-        ),
-        "directed",
-    )
-    lists = directed.groupBy("u").agg(F.collect_list("v").alias("outs"))
-    common = (
-        directed.join(lists, "u")
-        .join(lists.select(F.col("u").alias("v"), F.col("outs").alias("outs_v")), "v")
-        .select("u", "v", F.array_intersect("outs", "outs_v").alias("ws"))
-        .where(F.size("ws") > 0)
-    )
-    # Each triangle is found once, at its edge (u, v), and credited to all three corners.
-    credits = common.select(
-        F.explode(F.concat(
-            F.array(F.struct(F.col("u").alias("id"), F.size("ws").alias("n")), F.struct(F.col("v").alias("id"), F.size("ws").alias("n"))),
-            F.transform("ws", lambda w: F.struct(w.alias("id"), F.lit(1).alias("n"))),
-        )).alias("c")
-    ).select("c.*")
-    triangles = credits.groupBy("id").agg(F.sum("n").alias("triangles"))
+    # A vertex with one neighbour is in no triangle: the spokes of a star need not travel.
+    ends = degree.where(F.col("degree") == 1).select("id")
+    inner = pairs.join(ends.withColumnRenamed("id", "a"), "a", "left_anti").join(ends.withColumnRenamed("id", "b"), "b", "left_anti")
+    triangles = triangle_counts(materialize(inner.select("a", "b"), "inner"), per_task)
     possible = F.col("degree") * (F.col("degree") - 1)
     scored = degree.join(triangles, "id", "left").select(
         "id", F.coalesce(F.try_divide(2.0 * F.coalesce("triangles", F.lit(0)), possible), F.lit(0.0)).alias("clustering_coef")

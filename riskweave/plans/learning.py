@@ -6,11 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import rounded
-from riskweave.ml import explain, extra, models, stacking
+from riskweave.ml import explain, extra, models, perceptron, stacking
 from riskweave.ml.isolation import IsolationForest
 from riskweave.operators import aggregates, approx, evaluate, joins, neighbors, prep, sampling
 from riskweave.plans.registry import query
 from riskweave.plans.views import V_NAMES, VECTORS, rnd, vectors
+from riskweave.session import materialize
 
 SPLIT = f"""(SELECT *, CAST(r <= round(0.2 * n) AS INT) AS is_test FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', vec_id, '42'))) AS r, count(*) OVER (PARTITION BY label) AS n FROM {VECTORS}))"""
@@ -28,8 +29,9 @@ def scaled(t):
 
 
 def held_out(test, model):
-    """Metrics of a fitted model on the held-out part."""
-    return evaluate.metric_suite(model.transform(test), "label", "score", ())
+    """Metrics of a fitted model on the held-out part; the scores are written once for all of them."""
+    scores = materialize(model.transform(test).select("label", "score"), "scores")
+    return evaluate.metric_suite(scores, "label", "score", ())
 
 
 @query("assemble_features", f"""
@@ -172,7 +174,7 @@ def ml_gbt_early_stop(t):
 @query("ml_mlp")
 def ml_mlp(t):
     train, test = scaled(t)
-    return held_out(test, models.fit_mlp(train, V_NAMES, "label", hidden=(256, 128, 64), max_iter=100))
+    return held_out(test, perceptron.fit_perceptron(train, V_NAMES, "label", "vec_id"))
 
 
 @query("ml_isolation_forest")

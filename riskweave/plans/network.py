@@ -45,12 +45,12 @@ def ring_edges(t):
     return graph.edge_table(ring_transfers(t), "src", "dst", ["l_orderkey", "l_linenumber", "amount"], ["is_fraud"], "amount")
 
 
-def components_sql(rounds: int) -> str:
+def components_sql(rounds: int, source: str = RING) -> str:
     """Unrolled rounds in which each vertex takes the smallest name next to it."""
     steps = ", ".join(
         f"c{i} AS MATERIALIZED (SELECT s.a AS id, min(c{i - 1}.component) AS component FROM s JOIN c{i - 1} ON c{i - 1}.id = s.b GROUP BY s.a)" for i in range(1, rounds + 1)
     )
-    return f"""WITH e AS MATERIALIZED (SELECT DISTINCT src AS a, dst AS b FROM {RING}),
+    return f"""WITH e AS MATERIALIZED (SELECT DISTINCT src AS a, dst AS b FROM {source}),
   s AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e),
   c0 AS (SELECT DISTINCT a AS id, a AS component FROM s), {steps}, comps AS (SELECT id, component FROM c{rounds})"""
 
@@ -157,6 +157,33 @@ def high_rate_components(t):
     return sampling.having(stats, F.col("fraud_rate") > 0.5).select("component", "size", rounded("fraud_rate").alias("fraud_rate"))
 
 
+NETWORK = components_sql(12, TRANSFERS)
+NETWORK_EDGES = f"""(SELECT src, dst, arg_max(is_fraud, (o_orderdate, l_orderkey, l_linenumber, l_suppkey, amount)) AS is_fraud, sum(amount) AS total_amount
+  FROM {TRANSFERS} GROUP BY src, dst)"""
+
+
+def network_edges(t):
+    order = ["o_orderdate", "l_orderkey", "l_linenumber", "l_suppkey", "amount"]
+    return graph.edge_table(transfers(t), "src", "dst", order, ["is_fraud"], "amount")
+
+
+@query("network_components", NETWORK + " SELECT id, component FROM comps")
+def network_components(t):
+    """Components of the whole network of transfers, one of which holds nearly all accounts."""
+    return graph.connected_components(network_edges(t))
+
+
+@query("network_component_stats", NETWORK + f""", sizes AS (SELECT component, count(*) AS size FROM comps GROUP BY component),
+  sums AS (SELECT component, count(*) AS total_edges, count(*) FILTER (is_fraud = 1) AS fraud_edges, sum(total_amount) AS total_amount,
+    coalesce(sum(total_amount) FILTER (is_fraud = 1), 0) AS fraud_amount FROM {NETWORK_EDGES} JOIN comps ON id = src GROUP BY component)
+SELECT component, size, total_edges, fraud_edges, {rnd('total_amount', 3)} AS total_amount, {rnd('fraud_amount', 3)} AS fraud_amount,
+  {rnd('fraud_edges / total_edges')} AS fraud_rate FROM sizes JOIN sums USING (component) ORDER BY size DESC, component LIMIT 200""")
+def network_component_stats(t):
+    edges = network_edges(t)
+    out = graph.component_stats(edges, graph.connected_components(edges), "total_amount", "is_fraud")
+    return out.withColumns({"total_amount": rounded("total_amount", 3), "fraud_amount": rounded("fraud_amount", 3), "fraud_rate": rounded("fraud_rate")})
+
+
 TRIANGLES = f"""WITH p AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM {TRANSFERS} WHERE src <> dst),
   deg AS (SELECT id, count(*) AS d FROM (SELECT a AS id FROM p UNION ALL SELECT b FROM p) GROUP BY id),
   tri AS MATERIALIZED (SELECT x.a AS i, x.b AS j, y.b AS k FROM p x JOIN p y ON x.b = y.a JOIN p z ON z.a = x.a AND z.b = y.b),

@@ -83,6 +83,47 @@ def test_clustering(random_graph):
         assert got[v] == pytest.approx(want), v
 
 
+def test_triangles_with_a_hub_and_small_triples(spark):
+    """A hub next to all vertices, long ids, and triples of a few edges: every triangle counts once."""
+    rng = random.Random(8)
+    pairs = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(300)} | {(i, 60) for i in range(60)} | {(60, 100 + i) for i in range(200)}
+    table = spark.createDataFrame(sorted(pairs), "a long, b long").repartition(4)
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b), near.setdefault(b, set()).add(a)
+    want = {v: sum(len(near[v] & near[w]) for w in ws) // 2 for v, ws in near.items()}
+    for per_task in (20, 500_000):
+        got = {r.id: r.triangles for r in graph.triangle_counts(table, per_task).collect()}
+        assert got == {v: n for v, n in want.items() if n}
+    assert graph.triangle_counts(table.limit(0)).count() == 0
+
+
+def union_find(pairs):
+    root = {v: v for p in pairs for v in p}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {v: find(v) for v in root}
+
+
+def test_components_by_union_find(spark):
+    """Two long chains in any order, one giant component, small ones, a star and a loop."""
+    rng = random.Random(6)
+    names = [f"c{i:03d}" for i in rng.sample(range(400), 400)]
+    pairs = list(zip(names[:200], names[1:200])) + list(zip(names[201:], names[200:]))
+    pairs += [(f"g{rng.randrange(150):03d}", f"g{rng.randrange(150):03d}") for _ in range(600)]
+    pairs += [(f"s{i}a", f"s{i}b") for i in range(20)] + [("star", f"t{i}") for i in range(50)] + [("loop", "loop")]
+    rng.shuffle(pairs)
+    got = {r["id"]: r["component"] for r in graph.connected_components(frame(spark, pairs).repartition(5)).collect()}
+    assert got == union_find(pairs) and len(set(got.values())) == 2 + len({v for k, v in got.items() if k[0] == "g"}) + 22
+
+
 def test_edge_table_keeps_last_write(spark):
     df = spark.createDataFrame([("a", "b", 1, 10.0, 0), ("a", "b", 2, 5.0, 1), ("b", "a", 1, 1.0, 0)], "s string, d string, t int, amount double, f int")
     got = {(r["src"], r["dst"]): (r["f"], r["transactions"], r["total_amount"]) for r in graph.edge_table(df, "s", "d", ["t"], ["f"], "amount").collect()}
