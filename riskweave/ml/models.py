@@ -51,10 +51,10 @@ def _fit(estimator, train: DataFrame, features: list[str], label: str, weight: b
     return RiskModel(estimator.fit(vectors), features)
 
 
-def fit_logreg(train: DataFrame, features: list[str], label: str, C: float = 0.01, balanced: bool = True, max_iter: int = 1000) -> RiskModel:
+def fit_logreg(train: DataFrame, features: list[str], label: str, C: float = 0.01, balanced: bool = True, max_iter: int = 1000, tol: float = 1e-6) -> RiskModel:
     """L2 logistic regression; `C` is the inverse penalty on the summed loss, features are scaled beforehand."""
     reg = 1.0 / (C * max(train.count(), 1))
-    return _fit(LogisticRegression(regParam=reg, elasticNetParam=0.0, maxIter=max_iter, standardization=False), train, features, label, balanced)
+    return _fit(LogisticRegression(regParam=reg, elasticNetParam=0.0, maxIter=max_iter, standardization=False, tol=tol), train, features, label, balanced)
 
 
 @dataclass

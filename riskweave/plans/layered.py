@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import epoch_seconds, flag, rounded
 from riskweave.plans import medallion
 from riskweave.plans.registry import query
-from riskweave.plans.views import rnd
+from riskweave.plans.views import VECTORS, rnd, vectors
 from riskweave.plans.windows import over
 
 
@@ -34,6 +34,20 @@ def gold_cards(t):
                       "amount_spike", "hour_of_day", "is_night", "tx_velocity_10", "high_amount_flag", "_is_fraud")
 
 
+V28 = [f"V{i}" for i in range(1, 29)]
+DATED = "(SELECT vec_id, label, " + ", ".join(V28) + f" FROM {VECTORS})"
+
+
+@query("gold_cards_anonymous", f"""SELECT vec_id, {rnd('V1 * V2')} AS v1_v2_interaction, {rnd('V3 * V4')} AS v3_v4_interaction, {rnd('V14 * V17')} AS v14_v17_interaction,
+  {rnd(' + '.join(V28[:5]))} AS v_sum_top5, {rnd(' + '.join(f'abs({v})' for v in V28))} AS v_abs_sum, label = 1 AS _is_fraud FROM {DATED}""")
+def gold_cards_anonymous(t):
+    """The features of card payments that are built from the anonymous columns."""
+    raw = vectors(t).select("vec_id", F.col("vec_id").cast("double").alias("Time"), F.abs(F.col("V1") * 100).alias("Amount"), *V28, F.col("label").alias("Class"))
+    out = medallion.gold_cards(medallion.to_silver(raw, medallion.RULES["creditcard"]), tie="vec_id")
+    names = ["v1_v2_interaction", "v3_v4_interaction", "v14_v17_interaction", "v_sum_top5", "v_abs_sum"]
+    return out.select("vec_id", *[rounded(c).alias(c) for c in names], "_is_fraud")
+
+
 # Order priorities stand for payment types and mail domains.
 _KIND = {"1-URGENT": "TRANSFER", "2-HIGH": "CASH_OUT", "3-MEDIUM": "PAYMENT", "4-NOT SPECIFIED": "CASH_IN", "5-LOW": "DEBIT"}
 _MAIL = {"1-URGENT": "gmail.com", "2-HIGH": "yahoo.com", "3-MEDIUM": "hotmail.com", "5-LOW": "post.example"}

@@ -264,13 +264,36 @@ def drift_summary(t):
     return out.withColumns({"ref_rate_pct": rounded("ref_rate_pct"), "prod_rate_pct": rounded("prod_rate_pct")})
 
 
-@query("pca_variance")
+def _leading(matrix: str, tag: str, squarings: int = 16) -> str:
+    """Parts of a query that square a matrix until only its first eigenvector is left: v{tag} (j, v), l{tag} (the eigenvalue)."""
+    parts = [f"{tag}0 AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM {matrix} WHERE i = j) AS x FROM {matrix})"]
+    for k in range(squarings):
+        parts += [
+            f"q{tag}{k} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {tag}{k} a JOIN {tag}{k} b ON a.j = b.i GROUP BY a.i, b.j)",
+            f"{tag}{k + 1} AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM q{tag}{k} WHERE i = j) AS x FROM q{tag}{k})",
+        ]
+    last = f"{tag}{squarings}"
+    parts += [
+        f"v{tag} AS MATERIALIZED (SELECT j, x / sqrt(sum(x * x) OVER ()) AS v FROM {last} WHERE i = (SELECT i FROM {last} WHERE i = j ORDER BY x DESC LIMIT 1))",
+        f"l{tag} AS MATERIALIZED (SELECT sum(a.v * m.x * b.v) AS l FROM {matrix} m JOIN v{tag} a ON a.j = m.i JOIN v{tag} b ON b.j = m.j)",
+    ]
+    return ", ".join(parts)
+
+
+PCA = f"""WITH u AS (SELECT vec_id, label, name AS j, (value - avg(value) OVER w) / stddev_samp(value) OVER w AS z
+    FROM (UNPIVOT (SELECT * FROM {VECTORS}) ON {', '.join(V_NAMES)} INTO NAME name VALUE value) WINDOW w AS (PARTITION BY name)),
+  m AS MATERIALIZED (SELECT a.j AS i, b.j AS j, sum(a.z * b.z) / ((SELECT count(*) FROM {VECTORS}) - 1) AS x FROM u a JOIN u b USING (vec_id) GROUP BY a.j, b.j),
+  {_leading('m', 'a')}, n AS MATERIALIZED (SELECT i, m.j, x - l * p.v * q.v AS x FROM m JOIN va p ON p.j = m.i JOIN va q ON q.j = m.j, la), {_leading('n', 'b')},
+  xy AS (SELECT vec_id, any_value(label) AS label, sum(z * va.v) AS a, sum(z * vb.v) AS b FROM u JOIN va USING (j) JOIN vb USING (j) GROUP BY vec_id)"""
+
+
+@query("pca_variance", f"""{PCA} SELECT label, count(*) AS rows, {rnd('stddev_samp(a)', 4)} AS spread_1, {rnd('stddev_samp(b)', 4)} AS spread_2,
+  {rnd(f'any_value(la.l) / {len(V_NAMES)}')} AS share_1, {rnd(f'any_value(lb.l) / {len(V_NAMES)}')} AS share_2 FROM xy, la, lb GROUP BY label""")
 def pca_variance(t):
     """Share of variance of the first two components, with the spread of each class along them."""
     model, projected = stats.pca_fit(vectors(t), V_NAMES, 2)
     shares = model.explainedVariance.toArray()
     xy = vector_to_array("pca")
     return projected.groupBy("label").agg(
-        F.count("*").alias("rows"), rounded(F.stddev(xy[0])).alias("spread_1"), rounded(F.stddev(xy[1])).alias("spread_2")
-    ).withColumns({"share_1": F.lit(float(shares[0])), "share_2": F.lit(float(shares[1]))})
-
+        F.count("*").alias("rows"), rounded(F.stddev(xy[0]), 4).alias("spread_1"), rounded(F.stddev(xy[1]), 4).alias("spread_2")
+    ).withColumns({"share_1": rounded(F.lit(float(shares[0]))), "share_2": rounded(F.lit(float(shares[1])))})

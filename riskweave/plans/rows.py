@@ -14,7 +14,7 @@ from riskweave.plans.views import (
 )
 from riskweave.session import stage_path
 from riskweave.sources import exports, layers
-from riskweave.sources.layers import read_csv
+from riskweave.sources.layers import from_rows, read_csv
 
 
 @query("csv_roundtrip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -63,6 +63,14 @@ def summary_json(t):
     })
 
 
+@query("typed_rows", """SELECT o_orderpriority, kind, count(*) AS orders FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 1), ('5-LOW', NULL)) r(o_orderpriority, kind)
+USING (o_orderpriority) GROUP BY ALL""")
+def typed_rows(t):
+    """Orders by a short typed list of priorities."""
+    kinds = from_rows(t.spark, [("1-URGENT", 1), ("2-HIGH", 1), ("5-LOW", None)], "o_orderpriority string not null, kind int")
+    return t.orders.join(kinds, "o_orderpriority").groupBy("o_orderpriority", "kind").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query("cast_columns", """
 SELECT o_orderkey, CAST(round(o_totalprice, 2) AS VARCHAR) IS NOT NULL AS has_text,
   TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) AS priority,

@@ -100,6 +100,21 @@ def velocity_card(t):
     return out.select("event_id", *exact, *[rounded(c).alias(c) for c in near])
 
 
+HOT = "(SELECT event_id, ts, value AS amount, CASE WHEN user_id % 10 = 0 THEN user_id ELSE -1 END AS account FROM events)"
+HOT5, HOT40 = over("account", "ts, event_id", 5), over("account", "ts, event_id", 40)
+
+
+@query("velocity_hot_key", f"""
+SELECT event_id, count(amount) {HOT5} AS tx_count_5, max(amount) {HOT40} AS amount_max_40, {rnd(f'sum(amount) {HOT40}', 2)} AS amount_sum_40, {rnd(f'stddev_samp(amount) {HOT5}', 4)} AS amount_std_5 FROM {HOT}""")
+def velocity_hot_key(t):
+    """Recent rows of each account where one account holds nine tenths of the table: it is cut into overlapping blocks."""
+    account = F.when(F.col("user_id") % 10 == 0, F.col("user_id")).otherwise(F.lit(-1))
+    events = t.events.select("event_id", "ts", F.col("value").alias("amount"), account.alias("account"))
+    frames = {"tx_count_5": ("count", "amount", 5), "amount_max_40": ("max", "amount", 40), "amount_sum_40": ("sum", "amount", 40), "amount_std_5": ("std", "amount", 5)}
+    out = rolling.velocity(events, ["account"], ["ts", "event_id"], frames, hot_rows=500, block_rows=200)
+    return out.select("event_id", "tx_count_5", "amount_max_40", rounded("amount_sum_40", 2).alias("amount_sum_40"), rounded("amount_std_5", 4).alias("amount_std_5"))
+
+
 @query("rate_moving_avg", f"""
 WITH r AS (SELECT o_orderdate, sum(label) * 100.0::DOUBLE / count(*) AS rate FROM {ACCOUNTS} GROUP BY o_orderdate)
 SELECT o_orderdate, {rnd('CASE WHEN count(*) OVER w = 10 THEN avg(rate) OVER w END')} AS moving_avg FROM r
