@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskweave.functions.hashing import hash_order
 from riskweave.ml.trees import Tree, TreeModel
@@ -40,7 +41,10 @@ SCALE = 1 << 20
 PRIME = 2147483647
 #: Rows that bin edges are taken from, in the order of a hash of their key.
 EDGE_ROWS = 200_000
+SUMS = StructType([StructField(c, LongType()) for c in ("key", "g", "h", "n")])
 BLOCK_ROWS = "bins binary, row binary, y binary, margin binary"
+#: Rows that are worth a task of their own.
+TASK_ROWS = 20_000
 #: Scores are rounded to this many steps for the validation AUC.
 AUC_STEPS = 1 << 16
 
@@ -138,8 +142,11 @@ class Block:
         return np.rint(w * (p - self.y % 2) * SCALE), np.rint(w * p * (1 - p) * SCALE)
 
 
-def _write_blocks(train: DataFrame, validation: DataFrame | None, features: list[str], label: str, key: str, edges: list[np.ndarray], base: float) -> tuple[DataFrame, str]:
-    """Blocks of rows: bins (a byte each), the row's number, label (2 more for validation rows), margin."""
+def _write_blocks(train: DataFrame, validation: DataFrame | None, features: list[str], label: str, key: str, edges: list[np.ndarray], base: float, rows: int) -> tuple[DataFrame, str]:
+    """Blocks of rows: bins (a byte each), the row's number, label (2 more for validation rows), margin.
+
+    A file holds at least some `TASK_ROWS` rows, so a pass is not made of needlessly small tasks.
+    """
     number = (F.conv(F.substring(hash_order(key, seed=7), 1, 8), 16, 10).cast("long") % (PRIME - 1)) + 1
     columns = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(features)]
     pick = lambda d, more: d.select(*columns, number.alias("row"), (F.col(label).cast("int") + more).alias("y"))
@@ -157,7 +164,7 @@ def _write_blocks(train: DataFrame, validation: DataFrame | None, features: list
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in held.values()], names=list(held))
 
     ship_package(train.sparkSession)
-    return write_stage(both.mapInArrow(run, BLOCK_ROWS), "blocks")
+    return write_stage(both.coalesce(-(-rows // TASK_ROWS)).mapInArrow(run, BLOCK_ROWS), "blocks")
 
 
 class Grower:
@@ -166,6 +173,8 @@ class Grower:
     def __init__(self, blocks: DataFrame, path: str, growth: Growth, edges: list[np.ndarray], weight: float):
         self.spark, self.growth, self.edges, self.weight = blocks.sparkSession, growth, edges, weight
         self.width, self.bins = len(edges), max((len(e) for e in edges), default=0) + 1
+        # Made once: a pass is short, and so should be what it takes to state it.
+        self.add_up = [F.sum(c).alias(c) for c in "ghn"]
         self._open(blocks, path)
 
     def _open(self, blocks: DataFrame, path: str) -> None:
@@ -197,8 +206,8 @@ class Grower:
             g, h, n = np.concatenate(parts, axis=1).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.concatenate(keys), g, h, n)], names=["key", "g", "h", "n"])
 
-        rows = self.blocks.mapInArrow(run, "key long, g long, h long, n long")
-        return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()
+        rows = self.blocks.mapInArrow(run, SUMS)
+        return rows.groupBy("key").agg(*self.add_up).toArrow()
 
     def histograms(self, tree: Tree, nodes: list[int], number: int, judge: bool) -> tuple[dict[int, np.ndarray], np.ndarray | None]:
         """Sums (g, h, n) by feature and bin of the rows in `nodes`; with `judge` also the validation rows by score step and label."""
@@ -385,7 +394,7 @@ def fit_boosted(train: DataFrame, validation: DataFrame | None, features: list[s
     if not pos or not neg:
         return TreeModel([], 0.0 if not counts.n else (1.0 if pos else -1.0) * 36.0, features)
     edges = bin_edges(train, features, key, growth.bins)
-    blocks, path = _write_blocks(train, validation, features, label, key, edges, 0.0)
+    blocks, path = _write_blocks(train, validation, features, label, key, edges, 0.0, counts.n)
     grower = Grower(blocks, path, growth, edges, neg / pos)
     judge = validation is not None and growth.patience is not None
     trees, best, best_at = [], -1.0, 0
