@@ -15,7 +15,6 @@ import math
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
