@@ -78,6 +78,35 @@ def test_colliding_fingerprints_are_told_apart(spark):
     assert got == {0: (0, 2, True), 2: (0, 2, False), 1: (1, 1, True), 3: (3, 1, True), 4: (4, 2, True), 5: (4, 2, False)}
 
 
+def test_dropped_rows_of_colliding_fingerprints(spark):
+    # Rows of two names that collide in a weak field, in texts of several chunks, repeated and with a null id.
+    rows = [(5, "abcdef"), (4, "badcfe"), (3, "abcdef"), (None, "badcfe"), (4, "badcfe"), (9, "abcdfe"), (8, "xy"), (None, "ef abcd"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h0", F.lit("clash"))
+    kept = exact.drop_exact_duplicates(docs, fields=((2, 1),), size=4)
+    assert kept.columns == docs.columns
+    got = sorted((r.text, r.doc_id) for r in kept.collect())
+    assert got == [("", 7), ("abcdef", 3), ("abcdfe", 9), ("badcfe", 4), ("ef abcd", None), ("xy", 8)]
+    flags = exact.exact_duplicates(docs, fields=((2, 1),), size=4).collect()
+    assert len(flags) == 9 and sum(r.kept for r in flags) == 6
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in flags} >= {(5, 3, 2), (3, 3, 2), (4, 4, 3), (None, 4, 3), (9, 9, 1)}
+
+
+def test_sieve_lets_no_copy_fall_through(spark):
+    looks = spark.range(5000).select(F.xxhash64("id").alias("look"))
+    passes = exact.sieve(looks)
+    others = spark.range(5000, 55000).select(F.xxhash64("id").alias("look"))
+    assert looks.where(passes(F.col("look"))).count() == 5000
+    assert others.where(passes(F.col("look"))).count() < 50
+    assert looks.where(exact.sieve(looks.limit(0))(F.col("look"))).count() == 0
+
+
+def test_whole_fingerprint_equals_chunk_sums(spark):
+    texts = ["", "a", "é" * 40, "x" * 257]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, norm string")
+    for r in exact.with_fingerprint(docs, size=16).collect():
+        assert (r.bytes, r.h0, r.h1, r.h2, r.h3) == (len(r.norm.encode()), *exact.fold_hash(r.norm.encode()))
+
+
 def test_dropped_rows_keep_one_of_each(spark):
     rows = [(1, "a b c"), (1, "a b c"), (2, "a  b c"), (None, "a b c"), (None, "z"), (7, "q"), (7, "r")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class", F.lit(0))
