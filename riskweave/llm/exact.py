@@ -17,11 +17,9 @@ have any name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,51 +115,38 @@ def fingerprints(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame
 def with_fingerprint(rows: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataFrame:
     """`rows` with bytes and h0... of their column `norm`; no row moves, the chunk hashes are combined in place."""
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in _names(fields)))
-    def whole(data: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(", ".join(f"{n} long" for n in _names(fields)))
+    def whole(data: pa.Array) -> pa.Array:
         powers = _powers(fields, size)
         out = []
         for value in data:
-            held = (0,) * len(fields)
+            value, held = memoryview(value.as_buffer()), (0,) * len(fields)
             for start in range(0, len(value), size):
                 part = value[start : start + size]
                 held = combine(held, _hash_chunk(part, fields, powers, size), len(part), fields)
             out.append(held)
-        return pd.DataFrame(out, columns=_names(fields), dtype="int64")
+        sums = [pa.array([h[i] for h in out], pa.int64()) for i in range(len(fields))]
+        return pa.StructArray.from_arrays(sums, names=_names(fields))
 
     ship_package(rows.sparkSession)
     hashed = rows.withColumns({"bytes": F.octet_length("norm").cast("long"), "_h": whole(F.col("norm").cast("binary"))})
     return hashed.withColumns({n: F.col(f"_h.{n}") for n in _names(fields)}).drop("_h")
 
 
-def sieve(looks: DataFrame) -> Callable[[Column], Column]:
-    """A filter on codes that lets every `look` of the table through, and few others.
+def sieve(looks: DataFrame) -> DataFrame:
+    """Words (word, bits) of a filter in which each `look` of the table has set a bit: at most `SIEVE_WORDS` rows."""
+    at = looks.select(F.col("look").bitwiseAND(F.lit(64 * SIEVE_WORDS - 1)).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
+    return materialize(words, "exact-sieve")
 
-    Each code sets two bits of `SIEVE_WORDS` words. The words are put together by Spark; at
-    most that many reach the driver, which sends them to the executors.
-    """
-    bits = SIEVE_WORDS.bit_length() + 5
-    spots = [F.shiftrightunsigned("look", n * bits).bitwiseAND(F.lit((1 << bits) - 1)) for n in range(2)]
-    words = (
-        looks.select(F.explode(F.array(*spots)).alias("at"))
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
-        .toArrow()
-    )
-    filled = np.zeros(SIEVE_WORDS, dtype=np.uint64)
-    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    sent = looks.sparkSession.sparkContext.broadcast(filled)
-
-    @F.pandas_udf("boolean")
-    def passes(look: pd.Series) -> pd.Series:
-        code = look.to_numpy().astype(np.int64).view(np.uint64)
-        hit = np.ones(len(code), dtype=bool)
-        for n in range(2):
-            at = (code >> np.uint64(n * bits)) & np.uint64((1 << bits) - 1)
-            hit &= (sent.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return pd.Series(hit)
-
-    return passes
+
+def sifted(rows: DataFrame, words: DataFrame, look: Column) -> DataFrame:
+    """`rows` with `maybe`: true for every code of the sieve, and for few others."""
+    coded = rows.withColumn("_look", look)
+    coded = coded.withColumn("word", F.shiftright(F.col("_look").bitwiseAND(F.lit(64 * SIEVE_WORDS - 1)), 6))
+    bit = F.expr("shiftleft(1L, cast(_look & 63 as int))")
+    found = coded.join(F.broadcast(words), "word", "left")
+    return found.withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_look", "word", "bits")
 
 
 def _first_of(uid: Column) -> Column:
@@ -169,7 +154,7 @@ def _first_of(uid: Column) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), uid.alias("uid"))
 
 
-def classes(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> tuple[DataFrame, DataFrame, Callable[[Column], Column]]:
+def classes(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Codes of the rows of `docs` (doc_id, text), the classes of two or more equal fingerprints, and the sieve of their texts.
 
     The classes have bytes, h0..., `first` (doc_id and uid of the row that stays), `n` rows,
@@ -221,8 +206,8 @@ def exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataF
     """
     keys = _keys(fields)
     docs = docs.select("doc_id", "text")
-    coded, copies, passes = classes(docs, fields, size)
-    suspects = _suspects(docs.select("doc_id", normalised(F.col("text")).alias("norm")), passes, fields, size)
+    coded, copies, words = classes(docs, fields, size)
+    suspects = _suspects(sifted(docs.select("doc_id", normalised(F.col("text")).alias("norm")), words, F.xxhash64("norm")), fields, size)
     split = differing(suspects, fields, size)
 
     def told(rows: DataFrame) -> DataFrame:
@@ -240,9 +225,9 @@ def exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataF
     return told(coded.join(split, keys, "left_anti").join(copies, keys, "left")).unionByName(told(apart.join(groups, [*keys, "variant"])))
 
 
-def _suspects(rows: DataFrame, passes: Callable[[Column], Column], fields, size: int) -> DataFrame:
-    """Rows (with `norm`) whose text may have a copy, with bytes and h0..."""
-    return with_fingerprint(rows.where(passes(F.xxhash64("norm"))), fields, size)
+def _suspects(rows: DataFrame, fields, size: int) -> DataFrame:
+    """The sifted rows (with `norm`) whose text may have a copy, with bytes and h0..."""
+    return with_fingerprint(rows.where("maybe").drop("maybe"), fields, size)
 
 
 def _rows_of(rows: DataFrame, split: DataFrame, keys: list[str]) -> DataFrame:
@@ -257,13 +242,13 @@ def drop_exact_duplicates(docs: DataFrame, fields=FIELDS, size: int = CHUNK) ->
     Of rows with the same doc_id and equal texts any one may stay.
     """
     keys = _keys(fields)
-    _, copies, passes = classes(docs.select("doc_id", "text"), fields, size)
-    held = with_row(docs, doc_id=F.col("doc_id"), norm=normalised(F.col("text")))
-    suspects = _suspects(held, passes, fields, size)
+    _, copies, words = classes(docs.select("doc_id", "text"), fields, size)
+    held = sifted(with_row(docs, doc_id=F.col("doc_id"), norm=normalised(F.col("text"))), words, F.xxhash64("norm"))
+    suspects = _suspects(held, fields, size)
     split = differing(suspects.drop("row"), fields, size)
     found = suspects.drop("norm").join(copies.select(*keys, F.col("first.id").alias("first"), "kept_rows").hint("shuffle_merge"), keys, "left")
     stay = found.where(F.col("kept_rows").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
-    kept = held.where(~passes(F.xxhash64("norm"))).select("row")
+    kept = held.where(~F.col("maybe")).select("row")
     if not split.isEmpty():
         stay = stay.join(split, keys, "left_anti")
         apart = told_apart(_rows_of(suspects, split, keys), fields, size)

@@ -93,11 +93,11 @@ def test_dropped_rows_of_colliding_fingerprints(spark):
 
 def test_sieve_lets_no_copy_fall_through(spark):
     looks = spark.range(5000).select(F.xxhash64("id").alias("look"))
-    passes = exact.sieve(looks)
+    words = exact.sieve(looks)
     others = spark.range(5000, 55000).select(F.xxhash64("id").alias("look"))
-    assert looks.where(passes(F.col("look"))).count() == 5000
-    assert others.where(passes(F.col("look"))).count() < 50
-    assert looks.where(exact.sieve(looks.limit(0))(F.col("look"))).count() == 0
+    assert exact.sifted(looks, words, F.col("look")).where("maybe").count() == 5000
+    assert exact.sifted(others, words, F.col("look")).where("maybe").count() < 50
+    assert exact.sifted(looks, exact.sieve(looks.limit(0)), F.col("look")).where("not maybe").count() == 5000
 
 
 def test_whole_fingerprint_equals_chunk_sums(spark):
