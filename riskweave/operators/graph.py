@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
 from riskweave.operators.joins import join_features, mark_join
+from riskweave.operators.ordered import with_global_index
 from riskweave.session import drop_stage, materialize, ship_package, write_measured, write_stage
 
 HUB_EDGES = 1_000_000
@@ -152,44 +153,96 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
 
 #: Edges of one triple of colours, where degrees are even.
-TRIPLE_EDGES = 500_000
-
-
-def _corners(packet: pa.Table) -> pa.Table:
-    """Triangles of one triple of colours, by corner: id, n."""
-    both = pa.chunked_array([*packet.column("a").chunks, *packet.column("b").chunks]).combine_chunks().dictionary_encode()
-    ends, ids, m = both.indices.to_numpy(), both.dictionary, len(packet)
-    colour = np.zeros(len(ids), dtype=np.int64)
-    colour[ends[:m]], colour[ends[m:]] = packet.column("ca").to_numpy(), packet.column("cb").to_numpy()
-    # Edges point from fewer to more neighbours (here), so no list of targets is long.
-    rank = np.empty(len(ids), dtype=np.int64)
-    rank[np.lexsort((np.arange(len(ids)), np.bincount(ends, minlength=len(ids))))] = np.arange(len(ids))
-    ends = rank[ends]
-    u, v = np.minimum(ends[:m], ends[m:]), np.maximum(ends[:m], ends[m:])
-    known = np.sort(u * len(ids) + v)
-    u, v = known // len(ids), known % len(ids)
-    last = np.searchsorted(u, u, side="right")
-    later = last - np.arange(m) - 1
-    of = np.empty(len(ids), dtype=np.int64)
-    of[rank] = colour
-    want = np.sort([int(packet.column(c)[0].as_py()) for c in ("c0", "c1", "c2")])
-    n, steps = np.zeros(len(ids), dtype=np.int64), np.concatenate([[0], np.cumsum(later)])
-    at = 0
-    while at < m:
-        to = int(max(at + 1, np.searchsorted(steps, steps[at] + 2_000_000, side="right") - 1))
-        first = np.repeat(np.arange(at, to), later[at:to])
-        second = first + 1 + np.arange(len(first)) - np.repeat(steps[at:to] - steps[at], later[at:to])
-        x, y = v[first], v[second]
-        place = np.searchsorted(known, x * len(ids) + y)
-        closed = known[np.minimum(place, m - 1)] == x * len(ids) + y
-        corners = np.stack([u[first][closed], x[closed], y[closed]])
-        # A triangle of fewer colours lies in several triples and counts in its own one.
-        corners = corners[:, (np.sort(of[corners], axis=0) == want[:, None]).all(axis=0)]
-        n += np.bincount(corners.reshape(-1), minlength=len(ids))
-        at = to
-    n = n[rank]
-    seen = np.flatnonzero(n)
-    return pa.table({"id": ids.take(pa.array(seen)), "n": pa.array(n[seen])})
+TRIPLE_EDGES = 4_000_000
+#: Edges that a task deals to their triples at a time.
+DEALT_EDGES = 1_000_000
+
+
+def _packed(u: np.ndarray, v: np.ndarray) -> bytes:
+    """Edges in order as the four bytes of the steps of u and of v, byte by byte: the high ones are nearly all equal."""
+    both = np.stack([np.diff(u, prepend=0), v]).astype("<u4")
+    return both.view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1).tobytes()
+
+
+def _unpacked(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(2, 4, -1)
+    step, v = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0].astype(np.int64)
+    return np.cumsum(step), v
+
+
+def _colour(at: np.ndarray, c: int) -> np.ndarray:
+    """One of c colours by a hash of a vertex number."""
+    mixed = (at.astype(np.uint64) + np.uint64(17)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(c)).astype(np.int64)
+
+
+def _dealt(c: int):
+    """Edges (u, v) to the c triples of colours that hold both ends: triple, packed edges."""
+
+    def deal(u: np.ndarray, v: np.ndarray):
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        cu, cv = _colour(u, c), _colour(v, c)
+        low, high, third = np.minimum(cu, cv)[:, None], np.maximum(cu, cv)[:, None], np.arange(c)
+        first, last = np.minimum(low, third), np.maximum(high, third)
+        triple = ((first * c + (low + high + third - first - last)) * c + last).reshape(-1)
+        by = np.argsort(triple, kind="stable")
+        triple, edge = triple[by], by // c
+        starts = np.flatnonzero(np.diff(triple, prepend=-1))
+        packets = [_packed(u[e], v[e]) for e in np.split(edge, starts[1:])] if len(starts) else []
+        return pa.RecordBatch.from_arrays([pa.array(triple[starts], pa.int64()), pa.array(packets, pa.binary())], names=["triple", "edges"])
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append((batch.column("u").to_numpy(), batch.column("v").to_numpy()))
+            rows += len(batch)
+            if rows >= DEALT_EDGES:
+                yield deal(*map(np.concatenate, zip(*held)))
+                held, rows = [], 0
+        if rows:
+            yield deal(*map(np.concatenate, zip(*held)))
+
+    return run
+
+
+def _corners(c: int):
+    """Triangles of one triple of colours, by corner: at, n."""
+
+    def corners(packets: pa.Table) -> pa.Table:
+        triple = packets.column("triple")[0].as_py()
+        want = np.array([triple // c // c, triple // c % c, triple % c])
+        u, v = map(np.concatenate, zip(*[_unpacked(p.as_buffer()) for p in packets.column("edges")]))
+        ids, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+        m, size = len(u), len(ids)
+        # Edges point from fewer to more neighbours (here), so no list of targets is long.
+        rank = np.empty(size, dtype=np.int64)
+        rank[np.lexsort((np.arange(size), np.bincount(ends, minlength=size)))] = np.arange(size)
+        ends = rank[ends]
+        known = np.sort(np.minimum(ends[:m], ends[m:]) * size + np.maximum(ends[:m], ends[m:]))
+        u, v = known // size, known % size
+        later = np.searchsorted(u, u, side="right") - np.arange(m) - 1
+        of = np.empty(size, dtype=np.int64)
+        of[rank] = _colour(ids, c)
+        n, steps = np.zeros(size, dtype=np.int64), np.concatenate([[0], np.cumsum(later)])
+        at = 0
+        while at < m:
+            to = int(max(at + 1, np.searchsorted(steps, steps[at] + 2_000_000, side="right") - 1))
+            first = np.repeat(np.arange(at, to), later[at:to])
+            second = first + 1 + np.arange(len(first)) - np.repeat(steps[at:to] - steps[at], later[at:to])
+            x, y = v[first], v[second]
+            # A triangle of fewer colours lies in several triples and counts in its own one.
+            own = (np.sort(np.stack([of[u[first]], of[x], of[y]]), axis=0) == want[:, None]).all(axis=0)
+            first, x, y = first[own], x[own], y[own]
+            wedge = x * size + y
+            closed = known[np.minimum(np.searchsorted(known, wedge), m - 1)] == wedge
+            n += np.bincount(np.concatenate([u[first][closed], x[closed], y[closed]]), minlength=size)
+            at = to
+        n = n[rank]
+        seen = np.flatnonzero(n)
+        return pa.table({"at": ids[seen], "n": n[seen]})
+
+    return corners
 
 
 def triangle_counts(pairs: DataFrame, per_task: int = TRIPLE_EDGES) -> DataFrame:
@@ -198,39 +251,43 @@ def triangle_counts(pairs: DataFrame, per_task: int = TRIPLE_EDGES) -> DataFrame
     Vertices get one of c colours by a hash, and an edge goes to the c triples of colours
     that hold both of its ends (Suri and Vassilvitskii, 2011). c grows with the root of the
     edges, so a triple keeps its size, and the edges of a hub are dealt among all triples with
-    its colour. No list of a vertex's neighbours travels.
+    its colour. No list of a vertex's neighbours travels. Vertices are numbered first, so an
+    edge is two whole numbers and travels packed with others of its triple, in about four bytes.
     """
-    edges = pairs.count()
-    c = max(4, math.ceil(math.sqrt(6 * edges / per_task)))
-    colour = lambda end: F.pmod(F.xxhash64(end, F.lit(17)), F.lit(c)).cast("int")
-    third = pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(c - 1))).alias("cc"))
-    triple = F.array_sort(F.array("ca", "cb", "cc"))
-    dealt = third.select("a", "b", "ca", "cb", *[triple[i].alias(f"c{i}") for i in range(3)])
-    kind = pairs.schema["a"].dataType.simpleString()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    nodes = materialize(with_global_index(ends, ["id"], "at"), "numbers")
+    if nodes.count() >= 1 << 32:
+        raise ValueError("vertices are numbered by four bytes")
+    number = lambda d, end, out: d.join(nodes.select(F.col("id").alias(end), F.col("at").alias(out)), end).drop(end)
+    links, path = write_stage(number(number(pairs.select("a", "b"), "a", "u"), "b", "v"), "links")
+    c = max(4, math.ceil(math.sqrt(6 * links.count() / per_task)))
     ship_package(pairs.sparkSession)
-    found = dealt.groupBy("c0", "c1", "c2").applyInArrow(_corners, f"id {kind}, n long")
-    return found.groupBy("id").agg(F.sum("n").alias("triangles"))
+    dealt = links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).mapInArrow(_dealt(c), "triple long, edges binary")
+    found = dealt.groupBy("triple").applyInArrow(_corners(c), "at long, n long")
+    sums = materialize(found.groupBy("at").agg(F.sum("n").alias("triangles")), "triangles")
+    drop_stage(pairs.sparkSession, path)
+    return nodes.join(sums, "at").select("id", "triangles")
 
 
 def clustering_coef(edges: DataFrame, per_task: int = TRIPLE_EDGES) -> DataFrame:
     """Local clustering coefficient on undirected distinct edges without loops."""
+    ordered = F.col("src") <= F.col("dst")
+    # Loops and open ends stay here: their accounts are vertices too, with no neighbour.
     pairs = materialize(
-        edges.where(F.col("src") != F.col("dst"))
-        .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct(),
+        edges.select(F.when(ordered, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(ordered, F.col("dst")).otherwise(F.col("src")).alias("b")).distinct(),
         "pairs",
     )
-    degree = materialize(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree")), "degree"
-    )
+    apart = F.coalesce((F.col("a") != F.col("b")).cast("long"), F.lit(0))
+    degree = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id"), apart.alias("n")).groupBy("id").agg(F.sum("n").alias("degree")), "degree")
     # A vertex with one neighbour is in no triangle: the spokes of a star need not travel.
     ends = degree.where(F.col("degree") == 1).select("id")
-    inner = pairs.join(ends.withColumnRenamed("id", "a"), "a", "left_anti").join(ends.withColumnRenamed("id", "b"), "b", "left_anti")
+    inner = pairs.where(F.col("a") != F.col("b"))
+    inner = inner.join(ends.withColumnRenamed("id", "a"), "a", "left_anti").join(ends.withColumnRenamed("id", "b"), "b", "left_anti")
     triangles = triangle_counts(materialize(inner.select("a", "b"), "inner"), per_task)
     possible = F.col("degree") * (F.col("degree") - 1)
-    scored = degree.join(triangles, "id", "left").select(
+    return degree.join(triangles, "id", "left").select(
         "id", F.coalesce(F.try_divide(2.0 * F.coalesce("triangles", F.lit(0)), possible), F.lit(0.0)).alias("clustering_coef")
     )
-    return vertices(edges).join(scored, "id", "left").select("id", F.coalesce("clustering_coef", F.lit(0.0)).alias("clustering_coef"))
 
 
 def attach_component(edges: DataFrame, comps: DataFrame) -> DataFrame:

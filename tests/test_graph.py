@@ -135,3 +135,19 @@ def test_subgraph_size(random_graph):
     comps = graph.connected_components(edges)
     part = graph.subgraph(edges, comps, "hub", n=10)
     assert 0 < len({v for r in part.collect() for v in r}) <= 10
+
+
+def test_edges_travel_packed():
+    """Every edge comes to each triple of its colours once, as two whole numbers of four bytes."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng, c = np.random.default_rng(3), 5
+    edges = np.unique(rng.integers(0, 3000, (20_000, 2)), axis=0)
+    edges = edges[edges[:, 0] < edges[:, 1]]
+    batch = pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
+    packets = pa.Table.from_batches(graph._dealt(c)([batch]))
+    assert sum(len(p.as_buffer()) for p in packets.column("edges")) == 8 * c * len(edges)
+    got = np.concatenate([np.column_stack(graph._unpacked(p.as_buffer())) for p in packets.column("edges")])
+    found, times = np.unique(got, axis=0, return_counts=True)
+    assert (found == edges).all() and (times == c).all()
