@@ -204,3 +204,14 @@ def test_attributions_add_up_to_the_margin(spark):
     assert np.abs(np.stack(got["phi"]).sum(axis=1) + model.expected() - got["margin"]).max() < 1e-9
     assert np.allclose(scores(model.trees, df.toPandas()[NAMES].to_numpy()).mean(), got["margin"].mean())
     assert TreeModel([], 0.5, NAMES).attributions(df).select("phi").first()[0] == [0.0] * 4
+
+
+def test_attributions_of_a_short_table_are_dealt(spark):
+    """Leaves make the work, so one task would hold up all cores."""
+    tree = Tree()
+    tree.add(0.0, 4.0)
+    tree.split(0, 0, -1, 0.5, tree.add(1.0, 1.0), tree.add(-1.0, 3.0))
+    rows = spark.createDataFrame([(float(i % 2),) for i in range(40)], "a double").coalesce(1)
+    out = TreeModel([tree], 0.0, ["a"]).attributions(rows)
+    assert out.rdd.getNumPartitions() > 1
+    assert sorted({(r.a, round(r.phi[0], 9)) for r in out.collect()}) == [(0.0, 1.5), (1.0, -0.5)]
