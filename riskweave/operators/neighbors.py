@@ -74,17 +74,34 @@ def _route(pivots: np.ndarray, cells: list[tuple[int, float, float]], near: np.n
 
 
 def _top_k(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int, exclude_self: bool) -> pd.DataFrame:
-    """The k nearest of `ids` (ascending) for each query; equal distances keep id order."""
-    d = _distances(q, b)
-    if exclude_self:
-        d[q_ids[:, None] == ids[None, :]] = np.inf
-    keep = min(k, len(ids))
-    order = np.argsort(d, axis=1, kind="stable")[:, :keep]
-    out = pd.DataFrame({
-        "query_id": np.repeat(q_ids, keep), "neighbor_id": ids[order].ravel(),
-        "distance": np.take_along_axis(d, order, axis=1).ravel(), "rank": np.tile(np.arange(1, keep + 1, dtype=np.int32), len(q_ids)),
-    })
-    return out[np.isfinite(out["distance"])]
+    """The k nearest of `ids` (ascending) for each query; equal distances keep id order.
+
+    A matrix product bounds each squared distance from below and above; plain differences are
+    taken for the rows alone whose lower bound does not exceed the k-th upper one.
+    """
+    keep, error = min(k, len(ids)), (4 * q.shape[1] + 16) * np.finfo(np.float64).eps
+    own, square = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", b, b)
+    step, found = max(1, 4_000_000 // max(1, len(b))), []
+    for i in range(0, len(q), step):
+        norms = own[i : i + step, None] + square
+        twice = 2.0 * (q[i : i + step] @ b.T)
+        low, high = (1 - error) * norms - twice, (1 + error) * norms - twice
+        out = ~np.isfinite(high)
+        if exclude_self:
+            out |= q_ids[i : i + step, None] == ids
+        high[out] = np.inf
+        at, near = np.nonzero((low <= np.partition(high, keep - 1, axis=1)[:, keep - 1 :keep]) & ~out)
+        d, cut = np.empty(len(at)), max(1, 4_000_000 // max(1, b.shape[1]))
+        for j in range(0, len(at), cut):
+            gap = q[i + at[j : j + cut]] - b[near[j : j + cut]]
+            d[j : j + cut] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        order = np.lexsort((near, d, at))
+        at, near, d = at[order], near[order], d[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at) + 1
+        first = (rank <= keep) & np.isfinite(d)
+        found.append((q_ids[i + at[first]], ids[near[first]], d[first], rank[first].astype(np.int32)))
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [[]] * 4
+    return pd.DataFrame(dict(zip(("query_id", "neighbor_id", "distance", "rank"), columns)))
 
 
 def _block_top_k(k: int, exclude_self: bool):

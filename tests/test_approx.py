@@ -57,3 +57,19 @@ def test_weight_search(spark, steps, ordered_rows):
         assert got[i] == pytest.approx(np.mean([(p > n) + (p == n) / 2 for p in pos for n in neg]), abs=1e-12)
     assert all(r.auc_roc is None for r in stacking.weight_grid(df.where("y = 1"), ["s", "t"], "y", candidates).collect())
     assert stacking.weight_grid(df.limit(0), ["s", "t"], "y", candidates).where(F.col("auc_roc").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e7])
+def test_nearest_rows_by_matrix_product(monkeypatch, shift):
+    """The k nearest rows are exact though not all differences are taken: copies, ties, far origins, nulls as nan."""
+    rng = np.random.default_rng(6)
+    b = np.concatenate([rng.normal(size=(300, 8)), np.full((20, 8), 0.5), rng.integers(0, 2, (200, 8))]) + shift
+    b[7, 3], ids = np.nan, np.arange(520) * 3
+    d = neighbors._distances(b, b)
+    d[np.arange(520), np.arange(520)] = np.inf
+    monkeypatch.setattr(neighbors, "_distances", None)
+    got = neighbors._top_k(ids, b, ids, b, 6, True)
+    order = np.argsort(d, axis=1, kind="stable")[:, :6]
+    want = [(ids[i], ids[j], r + 1) for i in range(520) for r, j in enumerate(order[i]) if np.isfinite(d[i, j])]
+    assert list(got[["query_id", "neighbor_id", "rank"]].itertuples(index=False, name=None)) == want
+    assert got["distance"].to_numpy() == pytest.approx([d[i // 3, j // 3] for i, j, _ in want])
