@@ -4,7 +4,9 @@ Each table cuts space by a few random directions at the median, so a row's bucke
 bits of the sides it lies on. A query looks into its own bucket and those across the cuts
 that it is closest to. Buckets beyond the bound are cut further by directions kept for
 that, and what is still too full (rows that are all alike) is dealt by a hash, of which a
-query meets one part. So a query is compared with at most tables x probes x `bucket_rows`
+query meets one part. How many buckets a query looks into is fitted: a few queries, chosen
+by a hash, meet every row, and the fewest probes count that find `aim` of their true
+neighbours (all probes, where none does). So a query is compared with at most tables x probes x `bucket_rows`
 rows (about; a dealt part may be a little larger), however the rows are spread.
 Every row of the base is in every table; distances of the candidates are exact.
 """
@@ -19,13 +21,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
-from riskweave.operators.neighbors import _block_top_k, _matrix
+from riskweave.operators.neighbors import _block_top_k, _matrix, _top_k
 from riskweave.session import materialize
 
 #: Base rows whose medians place the cuts, in the order of a hash of their id.
 SAMPLE = 20_000
 #: Further directions for buckets that are too full.
 FINER = 8
+#: Queries that meet every row of the base, to see how many probes it takes.
+TRIAL = 200
+#: Numbers of probes to choose from; there are 42 sets of up to three of the six closest cuts.
+PROBES = (4, 8, 16, 32, 42)
 
 
 def _flips(most: int = 6) -> list[tuple[int, ...]]:
@@ -51,33 +57,69 @@ def _place(cuts, bits: int):
     return place
 
 
-def _probe(cuts, bits: int, probes: int):
+def _looked(d: np.ndarray, code: np.ndarray, bits: int, probes: int) -> list[np.ndarray]:
+    """Buckets that queries look into, the likeliest first, from their distances to the cuts and their own buckets."""
     flips = _flips(min(6, bits))
+    near = np.argsort(np.abs(d[:, :bits]), axis=1, kind="stable")[:, :6]
+    gap = np.take_along_axis(d[:, :bits], near, axis=1) ** 2
+    cost = np.column_stack([gap[:, list(s)].sum(axis=1) if s else np.zeros(len(d)) for s in flips])
+    flip = np.column_stack([(1 << near[:, list(s)]).sum(axis=1) if s else np.zeros(len(d), np.int64) for s in flips])
+    chosen = np.argsort(cost, axis=1, kind="stable")[:, :probes]
+    return [code ^ flip[np.arange(len(d)), chosen[:, c]] for c in range(chosen.shape[1])]
+
 
+def _probe(cuts, bits: int, probes: int):
     def probe(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
             for t, (d, code, fine) in enumerate(_sides(_matrix(pdf["vec"]), cuts, bits)):
-                near = np.argsort(np.abs(d[:, :bits]), axis=1, kind="stable")[:, :6]
-                gap = np.take_along_axis(d[:, :bits], near, axis=1) ** 2
-                cost = np.column_stack([gap[:, list(s)].sum(axis=1) if s else np.zeros(len(d)) for s in flips])
-                flip = np.column_stack([(1 << near[:, list(s)]).sum(axis=1) if s else np.zeros(len(d), np.int64) for s in flips])
-                chosen = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-                for c in range(chosen.shape[1]):
-                    yield pdf.assign(tab=np.int32(t), code=code ^ flip[np.arange(len(d)), chosen[:, c]], fine=fine)
+                for bucket in _looked(d, code, bits, probes):
+                    yield pdf.assign(tab=np.int32(t), code=bucket, fine=fine)
 
     return probe
 
 
+def _probes_for(q: DataFrame, placed: DataFrame, cuts, bits: int, k: int, exclude_self: bool, bucket_rows: int, aim: float, seed: int) -> int:
+    """The fewest probes whose buckets hold `aim` of the true neighbours of the trial queries."""
+    trial = q.orderBy(hash_order("query_id", seed=seed), "query_id").limit(TRIAL).toPandas()
+    if not len(trial):
+        return PROBES[0]
+    asked, ids = _matrix(trial["vec"]), trial["query_id"].to_numpy()
+
+    def nearest(batches):
+        for pdf in batches:
+            if len(pdf):
+                pdf = pdf.sort_values("id", ignore_index=True)
+                best = _top_k(ids, asked, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k, exclude_self)
+                yield best.drop(columns="rank").merge(pdf.rename(columns={"id": "neighbor_id"}), on="neighbor_id")
+
+    once = placed.where(F.col("tab") == 0).select("id", "vec")
+    best = once.mapInPandas(nearest, "query_id long, neighbor_id long, distance double, vec array<double>")
+    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "vec").toPandas()
+    if not len(best):
+        return PROBES[0]
+    # A full bucket is cut further, and a query meets its own part of it.
+    full = {(r.tab, r.code): r.rows for r in placed.groupBy("tab", "code").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > bucket_rows).collect()}
+    at = trial.reset_index().set_index("query_id")["index"].loc[best["query_id"]].to_numpy()
+    first = np.full(len(best), PROBES[-1] + 1)
+    for t, ((d, own, fine), (_, code, part)) in enumerate(zip(_sides(asked, cuts, bits), _sides(_matrix(best["vec"]), cuts, bits))):
+        more = np.array([min(FINER, math.ceil(math.log2(full[t, c] / bucket_rows))) if (t, c) in full else 0 for c in code], dtype=np.int64)
+        same = fine[at] >> (FINER - more) == part >> (FINER - more)
+        for place, bucket in enumerate(_looked(d, own, bits, PROBES[-1])):
+            first = np.where(same & (bucket[at] == code), np.minimum(first, place), first)
+    return next((p for p in PROBES if (first < p).mean() >= aim), PROBES[-1])
+
+
 def approx_knn_join(
     query: DataFrame, base: DataFrame, vec: str, k: int, query_id: str, base_id: str, exclude_self: bool = False,
-    tables: int = 8, probes: int = 4, bucket_rows: int = 256, seed: int = 42,
+    tables: int = 8, probes: int | None = None, bucket_rows: int = 256, seed: int = 42, aim: float = 0.95,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) of the k nearest base rows that each query row meets.
 
     Ids are longs and name the base rows uniquely; ties in distance go to the smaller id. An
-    empty base gives no rows.
+    empty base gives no rows. Without `probes` their number is fitted to `aim`.
     """
     b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
@@ -93,6 +135,7 @@ def approx_knn_join(
 
     keys = ["tab", "code"]
     placed = materialize(b.mapInPandas(_place(cuts, bits), "id long, vec array<double>, tab int, code long, fine long"), "tables")
+    probes = probes or _probes_for(q, placed, cuts, bits, k, exclude_self, bucket_rows, aim, seed)
     asked = q.mapInPandas(_probe(cuts, bits, probes), "query_id long, vec array<double>, tab int, code long, fine long")
     # Buckets beyond the bound: at most tables x rows / bucket_rows of them, joined as Spark sees fit.
     full = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > bucket_rows)

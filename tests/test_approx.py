@@ -59,6 +59,14 @@ def test_weight_search(spark, steps, ordered_rows):
     assert stacking.weight_grid(df.limit(0), ["s", "t"], "y", candidates).where(F.col("auc_roc").isNotNull()).count() == 0
 
 
+def test_probes_are_fitted_to_the_recall(spark):
+    """Vectors without clusters need more probes than clustered ones."""
+    df = table(spark, np.random.default_rng(5).normal(size=(1200, 20)))
+    found = approx.approx_knn_join(df, df, "vec", 4, "id", "id", exclude_self=True, bucket_rows=40)
+    seen = approx.recall(found, neighbors.knn_join(df, df, "vec", 4, "id", "id", exclude_self=True)).first()
+    assert seen.queries == 1200 and seen.recall >= 0.9
+
+
 @pytest.mark.parametrize("shift", [0.0, 1e7])
 def test_nearest_rows_by_matrix_product(monkeypatch, shift):
     """The k nearest rows are exact though not all differences are taken: copies, ties, far origins, nulls as nan."""
