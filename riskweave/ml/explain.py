@@ -59,11 +59,39 @@ def pick_cases(df: DataFrame, label: str, order: list[str], n_pos: int = 3, n_ne
     return cases.withColumn("case_no", F.row_number().over(Window.partitionBy(label).orderBy(*order)))
 
 
+def _walk(beta: list[float], intercept: float):
+    """What each feature of a case adds to a logistic score when the features of a background row
+    are replaced one by one, in the order of their hashes (equal ones together)."""
+    weights = np.array(beta)
+
+    @F.pandas_udf("array<double>")
+    def walk(x: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        case, other, drawn = (np.stack(c.to_numpy()) for c in (x, w, h))
+        order = np.argsort(drawn, axis=1, kind="stable")
+        steps = np.take_along_axis((case - other) * weights, order, axis=1)
+        after = (other @ weights + intercept)[:, None] + np.cumsum(steps, axis=1)
+        before = np.column_stack([other @ weights + intercept, after[:, :-1]])
+        drawn = np.take_along_axis(drawn, order, axis=1)
+        for i, j in np.argwhere(drawn[:, 1:] == drawn[:, :-1]):
+            before[i, j + 1] = before[i, j]
+        for i, j in np.argwhere(drawn[:, 1:] == drawn[:, :-1])[::-1]:
+            after[i, j] = after[i, j + 1]
+        out = np.empty(after.shape)
+        np.put_along_axis(out, order, 1.0 / (1.0 + np.exp(-after)) - 1.0 / (1.0 + np.exp(-before)), axis=1)
+        return pd.Series(list(out))
+
+    return walk
+
+
 def shapley_sampled(cases: DataFrame, model, cols: list[str], key: str, background: DataFrame, n: int = 50, seed: int = 42) -> DataFrame:
     """Sampled Shapley values (Strumbelj and Kononenko, 2014) of any model with `transform`.
 
     Every case meets `n` background rows, each with its own random feature order. For each
     feature the model scores the row once with and once without it; nothing is collected.
+    A model that is the logistic curve of a weighted sum (`linear`) is walked along each
+    order: a feature moves the sum by its own term, so no row is put together or scored anew.
     """
     as_array = lambda d: F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
     # At most n rows, so numbering them in one task and broadcasting them is bounded.
@@ -71,8 +99,15 @@ def shapley_sampled(cases: DataFrame, model, cols: list[str], key: str, backgrou
     drawn = drawn.withColumn("_s", F.row_number().over(Window.orderBy("_bk"))).drop("_bk")
     met = cases.select(F.col(key), as_array(cases).alias("_x")).withColumn("_s", F.explode(F.sequence(F.lit(1), F.lit(n))))
     met = met.join(F.broadcast(drawn), "_s")
+    line = model.linear() if hasattr(model, "linear") else None
     slots = F.sequence(F.lit(0), F.lit(len(cols) - 1))
     met = met.withColumn("_h", F.transform(slots, lambda i: F.xxhash64(F.lit(seed), F.col(key), F.col("_s"), i)))
+    names = F.array(*[F.lit(c) for c in cols])
+    if line:
+        walked = met.select(key, _walk(*line)("_x", "_w", "_h").alias("_d"), F.lit(1).alias("_n"))
+        sums = walked.groupBy(key).agg(*[F.sum(F.get("_d", F.lit(i))).alias(f"_d{i}") for i in range(len(cols))], F.sum("_n").alias("_n"))
+        pairs = F.arrays_zip(names.alias("feature"), F.array(*[F.col(f"_d{i}") / F.col("_n") for i in range(len(cols))]).alias("phi"))
+        return sums.select(key, F.explode(pairs).alias("_e")).select(key, "_e.feature", "_e.phi")
     each = met.select("*", F.posexplode("_h").alias("_j", "_hj"))
     mix = lambda inside: F.transform(slots, lambda i: F.when(inside(F.get("_h", i)), F.get("_x", i)).otherwise(F.get("_w", i)))
     pairs = each.select(
@@ -83,7 +118,6 @@ def shapley_sampled(cases: DataFrame, model, cols: list[str], key: str, backgrou
         )).alias("p"),
     )
     rows = pairs.select(F.col(key), "_j", "p.sign", *[F.get("p.z", F.lit(i)).alias(c) for i, c in enumerate(cols)])
-    names = F.array(*[F.lit(c) for c in cols])
     return (
         model.transform(rows, "_score").groupBy(key, "_j")
         .agg((F.sum(F.col("sign") * F.col("_score")) * 2 / F.count(F.lit(1))).alias("phi"))

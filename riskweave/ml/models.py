@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
+    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, MultilayerPerceptronClassifier,
     NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -37,6 +37,12 @@ class RiskModel:
         scored = self.model.transform(assemble(df, self.features, _VEC))
         return scored.withColumn(out, vector_to_array("probability")[1]).drop(_VEC, *_OUTPUTS)
 
+    def linear(self) -> tuple[list[float], float] | None:
+        """Weights and intercept where the score is the logistic curve of a weighted sum of the features, else None."""
+        if isinstance(self.model, LogisticRegressionModel) and self.model.numClasses == 2:
+            return [float(c) for c in self.model.coefficients.toArray()], float(self.model.intercept)
+        return None
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(path)
 

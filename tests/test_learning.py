@@ -201,3 +201,17 @@ def test_registered_learners_keep_the_reference_parameters(spark, monkeypatch, n
     with pytest.raises(Called) as seen:
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen.value.args == ({},)
+
+
+def test_shapley_of_a_logistic_model_is_walked_as_it_is_scored(points):
+    """The walk along each order gives what scoring every row with and without a feature gives."""
+    _, df = points
+    model = models.fit_logreg(df, COLS, "y", C=1.0)
+    plain = type("Plain", (), {"transform": lambda self, d, out="score": model.transform(d, out)})()
+    cases, background = df.where("id < 5"), df.where("id >= 5")
+    values = lambda m: {(r.id, r.feature): r.phi for r in explain.shapley_sampled(cases, m, COLS, "id", background, n=10).collect()}
+    got, want = values(model), values(plain)
+    assert len(got) == 15 and got == pytest.approx(want, abs=1e-12)
+    assert model.linear() and models.RiskModel(None, COLS).linear() is None
+    rows = explain.shapley_sampled(cases, model, COLS, "id", background, n=10)
+    assert "posexplode" not in rows._jdf.queryExecution().toString()
