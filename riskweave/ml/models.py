@@ -185,35 +185,48 @@ class AdaBoost:
 def fit_adaboost(train: DataFrame, features: list[str], label: str, rounds: int = 200, rate: float = 0.1, depth: int = 2, seed: int = 42, write_every: int = 10) -> AdaBoost:
     """SAMME for two classes: each round reweights the rows the last tree got wrong.
 
-    Weights are written every `write_every` rounds so the plan stays short.
+    A round reads the rows several times, so their weights are kept until the next ones are
+    there; they are written every `write_every` rounds so the plan stays short, and a lost
+    part is made again from the written table.
     """
     spark = train.sparkSession
-    data = assemble(train, features, _VEC).select(_VEC, F.col(label).cast("double").alias("_label"), F.lit(1.0).alias("_w"))
+    # The classes are stated, so no fit has to look for them.
+    classes = {"ml_attr": {"type": "nominal", "name": "_label", "vals": ["0", "1"]}}
+    data = assemble(train, features, _VEC).select(_VEC, F.col(label).cast("double").alias("_label", metadata=classes), F.lit(1.0).alias("_w"))
     data, path = write_stage(data, "boost")
     total = data.agg(F.sum("_w")).first()[0] or 0.0
-    trees, weights = [], []
-    for i in range(rounds):
-        tree = DecisionTreeClassifier(featuresCol=_VEC, labelCol="_label", weightCol="_w", maxDepth=depth, seed=seed + i).fit(data)
-        judged = tree.transform(data).withColumn("_wrong", F.col("prediction") != F.col("_label"))
-        wrong = judged.agg(F.sum(F.when(F.col("_wrong"), F.col("_w")).otherwise(0.0))).first()[0] or 0.0
-        error = wrong / total if total else 0.0
-        if error >= 0.5 and not trees:
-            raise ValueError("the first tree is no better than chance")
-        if error >= 0.5:
-            break
-        alpha = rate * (math.log((1 - error) / max(error, 1e-12)))
-        trees.append(tree)
-        weights.append(alpha)
-        if error <= 1e-12:
-            break
-        # Rescaling keeps the weights summing to 1 without another pass.
-        rescaled = (total - wrong) + wrong * math.exp(alpha)
-        data = judged.select(_VEC, "_label", (F.col("_w") * F.when(F.col("_wrong"), math.exp(alpha)).otherwise(1.0) / F.lit(rescaled)).alias("_w"))
-        total = 1.0
-        if (i + 1) % write_every == 0:
-            data, new_path = write_stage(data, "boost")
-            drop_stage(spark, path)
-            path = new_path
+    trees, weights, kept = [], [], [data.persist()]
+    try:
+        for i in range(rounds):
+            tree = DecisionTreeClassifier(
+                featuresCol=_VEC, labelCol="_label", weightCol="_w", maxDepth=depth, seed=seed + i, rawPredictionCol="", probabilityCol="",
+            ).fit(data)
+            judged = tree.transform(data).withColumn("_wrong", F.col("prediction") != F.col("_label"))
+            wrong = judged.agg(F.sum(F.when(F.col("_wrong"), F.col("_w")).otherwise(0.0))).first()[0] or 0.0
+            while len(kept) > 1:
+                kept.pop(0).unpersist()
+            error = wrong / total if total else 0.0
+            if error >= 0.5 and not trees:
+                raise ValueError("the first tree is no better than chance")
+            if error >= 0.5:
+                break
+            alpha = rate * (math.log((1 - error) / max(error, 1e-12)))
+            trees.append(tree)
+            weights.append(alpha)
+            if error <= 1e-12 or i + 1 == rounds:
+                break
+            # Rescaling keeps the weights summing to 1 without another pass.
+            rescaled = (total - wrong) + wrong * math.exp(alpha)
+            data = judged.select(_VEC, "_label", (F.col("_w") * F.when(F.col("_wrong"), math.exp(alpha)).otherwise(1.0) / F.lit(rescaled)).alias("_w"))
+            total = 1.0
+            if (i + 1) % write_every == 0:
+                data, new_path = write_stage(data, "boost")
+                drop_stage(spark, path)
+                path = new_path
+            kept.append(data.persist())
+    finally:
+        for rows in kept:
+            rows.unpersist()
     return AdaBoost(trees, weights, features)
 
 

@@ -215,3 +215,11 @@ def test_shapley_of_a_logistic_model_is_walked_as_it_is_scored(points):
     assert model.linear() and models.RiskModel(None, COLS).linear() is None
     rows = explain.shapley_sampled(cases, model, COLS, "id", background, n=10)
     assert "posexplode" not in rows._jdf.queryExecution().toString()
+
+
+def test_adaboost_rounds_read_kept_rows(points):
+    """A round asks for the prediction alone, and what the rounds have kept is given back."""
+    train, kept = points[1], len(points[1].sparkSession.sparkContext._jsc.getPersistentRDDs())
+    boosted = models.fit_adaboost(train, COLS, "y", rounds=3, rate=0.5, write_every=2)
+    assert [(t.getRawPredictionCol(), t.getProbabilityCol()) for t in boosted.trees] == [("", "")] * 3
+    assert len(train.sparkSession.sparkContext._jsc.getPersistentRDDs()) == kept
