@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -95,6 +96,29 @@ def bin_edges(df: DataFrame, features: list[str], key: str, bins: int, rows: int
     return out
 
 
+def _packed(batches):
+    """Sums (key, g, h, n) of a task in one row: steps of the keys and the sums byte by byte, compressed."""
+    held = [np.stack([b.column(c).to_numpy() for c in SUMS.names]) for b in batches]
+    sums = np.concatenate(held, axis=1) if held else np.zeros((4, 0), np.int64)
+    sums = sums[:, np.argsort(sums[0], kind="stable")]
+    sums[0] = np.diff(sums[0], prepend=0)
+    # A small negative number has a low bit for its sign, so its high bytes are zeros as well.
+    sums = (sums << 1) ^ (sums >> 63)
+    planes = np.ascontiguousarray(sums, dtype="<i8").view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1)
+    yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(planes.tobytes(), 1)], pa.binary())], names=["sums"])
+
+
+def _unpacked(parts) -> pa.Table:
+    """The sums of all tasks as a table again."""
+    tables = []
+    for part in parts:
+        planes = np.frombuffer(zlib.decompress(part), dtype=np.uint8).reshape(4, 8, -1)
+        sums = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+        sums = (sums >> 1) ^ -(sums & 1)
+        tables.append(pa.table([np.cumsum(sums[0]), *sums[1:]], names=SUMS.names))
+    return pa.concat_tables(tables) if tables else pa.table([pa.array([], pa.int64())] * 4, names=SUMS.names)
+
+
 def _draw(*parts) -> int:
     return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16)
 
@@ -207,7 +231,8 @@ class Grower:
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.concatenate(keys), g, h, n)], names=["key", "g", "h", "n"])
 
         rows = self.blocks.mapInArrow(run, SUMS)
-        return rows.groupBy("key").agg(*self.add_up).toArrow()
+        packed = rows.groupBy("key").agg(*self.add_up).mapInArrow(_packed, "sums binary").toArrow()
+        return _unpacked(packed.column("sums").to_pylist())
 
     def histograms(self, tree: Tree, nodes: list[int], number: int, judge: bool) -> tuple[dict[int, np.ndarray], np.ndarray | None]:
         """Sums (g, h, n) by feature and bin of the rows in `nodes`; with `judge` also the validation rows by score step and label."""

@@ -215,3 +215,17 @@ def test_attributions_of_a_short_table_are_dealt(spark):
     out = TreeModel([tree], 0.0, ["a"]).attributions(rows)
     assert out.rdd.getNumPartitions() > 1
     assert sorted({(r.a, round(r.phi[0], 9)) for r in out.collect()}) == [(0.0, 1.5), (1.0, -0.5)]
+
+
+def test_sums_reach_the_driver_packed():
+    """Sums of any sign and size come back as they were, in a fraction of their bytes."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    keys = rng.permutation(60_000)[:40_000]
+    sums = pa.table([keys, rng.integers(-(1 << 22), 1 << 22, 40_000), rng.integers(0, 1 << 20, 40_000), rng.integers(1, 9, 40_000)], names=["key", "g", "h", "n"])
+    sums = pa.concat_tables([sums, pa.table([[70_000, 70_001], [-(1 << 60), 1 << 60], [0, 1 << 60], [1, 1]], names=["key", "g", "h", "n"])])
+    row = pa.Table.from_batches(boosting._packed(iter(sums.to_batches(7_000)))).column("sums").to_pylist()
+    assert len(row) == 1 and len(row[0]) < sums.nbytes / 3
+    assert boosting._unpacked(row).equals(sums.sort_by("key"))
+    assert len(boosting._unpacked(list(pa.Table.from_batches(boosting._packed(iter([]))).column("sums").to_pylist()))) == 0
