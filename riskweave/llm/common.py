@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -58,10 +60,35 @@ def _strings(texts: pa.Array) -> list[str]:
     return [t or "" for t in texts.to_pylist()]
 
 
-def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch]], schema) -> DataFrame:
-    """Apply a function of (rows, texts) to slices of `df`; `make` runs once in each task."""
+_states: dict[str, dict] = {}
+
+
+def worker_state(owner: str) -> dict:
+    """What the operator `owner` keeps in a Python worker from task to task."""
+    return _states.setdefault(owner, {})
+
+
+def release_states(owner: str | None = None) -> None:
+    """Give back what other operators than `owner` have kept: a worker outlives the stage it kept that for."""
+    others = [held for name, held in _states.items() if name != owner and held]
+    for held in others:
+        held.clear()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch]], schema, owner: str | None = None) -> DataFrame:
+    """Apply a function of (rows, texts) to slices of `df`; `make` runs once in each task.
+
+    `owner` names the worker state that `make` uses; any other is released.
+    """
 
     def run(batches):
+        release_states(owner)
         step = make()
         for rows, texts in grouped_texts(batches):
             yield step(rows, texts)

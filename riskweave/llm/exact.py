@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import WHITE, row_columns, with_row
+from riskweave.llm.common import WHITE, release_states, row_columns, with_row
 from riskweave.session import materialize, ship_package
 
 #: Primes below 2^31 with a base each; four give 124 bits.
@@ -86,6 +86,7 @@ def chunk_hashes(parts: DataFrame, *keep: str, fields=FIELDS, size: int = CHUNK)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema if f.name in keep)
 
     def run(batches):
+        release_states()
         powers = _powers(fields, size)
         for rows in batches:
             sums = [[] for _ in fields]
@@ -117,6 +118,7 @@ def with_fingerprint(rows: DataFrame, fields=FIELDS, size: int = CHUNK) -> DataF
 
     @F.arrow_udf(", ".join(f"{n} long" for n in _names(fields)))
     def whole(data: pa.Array) -> pa.Array:
+        release_states()
         powers = _powers(fields, size)
         out = []
         for value in data:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from riskweave.llm.common import fold, map_texts
+from riskweave.llm.common import fold, map_texts, worker_state
 
 WORDS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -227,16 +227,13 @@ class Scorer:
         return sums, some
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def scorer_of(shared) -> Scorer:
     """The scorer of a broadcast model, kept over the tasks of a Python worker."""
-    key = id(shared.value)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(shared.value)
-    return _scorers[key]
+    key, scorers = id(shared.value), worker_state("langid")
+    if key not in scorers:
+        scorers.clear()
+        scorers[key] = Scorer(shared.value)
+    return scorers[key]
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
@@ -267,7 +264,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 
         return step
 
-    return map_texts(kept, make, schema)
+    return map_texts(kept, make, schema, "langid")
 
 
 def identify(docs: DataFrame, parts: int = 5, vocabulary: str | None = None) -> DataFrame:

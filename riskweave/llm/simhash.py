@@ -113,9 +113,9 @@ def drop_near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) ->
 
     Of rows with the same doc_id in a component one stays. Columns are those of `docs`.
     """
-    held = with_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), uid=F.monotonically_increasing_id())
-    held = materialize(held, "simhash-rows")
-    coded = materialize(fingerprints(held, F.col("text"), "uid", "doc_id", width=width), "simhash")
+    held = materialize(with_row(docs, uid=F.monotonically_increasing_id()), "simhash-rows")
+    told = held.select("uid", F.col("row").getField("doc_id").alias("doc_id"), F.col("row").getField("text").alias("text"))
+    coded = materialize(fingerprints(told, F.col("text"), "uid", "doc_id", width=width), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
     found = _classes(coded, order, distance)
     dropped = coded.join(found, "fp").where(F.col("uid") != F.col("first.uid")).select("uid")

@@ -1,9 +1,11 @@
 """Every registered corpus query on tables of awkward rows, and on empty tables."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from riskweave.llm import common, langid
 from riskweave.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +89,22 @@ def test_results_named_in_docstrings(spark, awkward):
     assert {r.item_id for r in ranked} == {1, None} and all(r.score > 0 for r in ranked)
     words = {r.word: r.n for r in QUERIES["op13_spelling_variants"](spark, path).collect()}
     assert words["three"] > 29_000 and "x" * 50_000 not in words
+
+
+def test_workers_give_back_what_another_operator_kept(spark):
+    """A Python worker lives on: the scorer of the language stage must not lie in it beside later stages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(16)
+    langid.identify(docs).count()
+
+    def make():
+        from riskweave.llm.common import worker_state
+
+        held = len(worker_state("langid"))
+        return lambda rows, texts: pa.RecordBatch.from_arrays([pa.array([held], pa.int64())], names=["held"])
+
+    assert common.map_texts(docs.select("text"), make, "held long").agg({"held": "max"}).first()[0] == 0
+    common.worker_state("a")["x"] = 1
+    common.release_states("a")
+    assert common.worker_state("a") == {"x": 1}
+    common.release_states("b")
+    assert common.worker_state("a") == {}
