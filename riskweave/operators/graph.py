@@ -107,27 +107,34 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
     return rank.select("id", F.col("rank").alias("pagerank"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Component of each vertex, named by its smallest id, on undirected edges.
+#: With more links than this for each vertex, components are found on the smallest neighbours first.
+DENSE = 3
+
+
+def _stars(links: DataFrame, max_rounds: int) -> tuple[DataFrame, str | None]:
+    """Links (u, v) of each vertex but the smallest of its component to that smallest one; and their path, if written.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014): every round
-    only links vertices to smaller neighbours, so long chains shrink fast and no task
-    collects a component. The edge set is written after each round.
+    `links` holds each pair once, u > v. Alternating large-star and small-star rounds
+    (Kiveris et al., 2014): every round only links vertices to smaller neighbours, so long
+    chains shrink fast and no task collects a component. The links are written after each
+    round. They are stars as soon as a vertex with a smaller neighbour has no other, which the
+    table of smallest neighbours tells before a round is begun.
     """
-    spark = edges.sparkSession
-    nodes = materialize(vertices(edges), "vertices")
-    current, path = write_stage(
-        edges.where(F.col("src") != F.col("dst"))
-        .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(),
-        "cc",
-    )
-    seen = None
-    for _ in range(max_rounds):
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    spark = links.sparkSession
+    current, path = links, None
+    for _ in range(max_rounds + 1):
+        side = lambda u, v, less: current.select(F.col(u).alias("u"), F.col(v).alias("v"), F.lit(less).alias("less"), F.lit(1 - less).alias("more"))
+        near = side("u", "v", 1).unionByName(side("v", "u", 0)).groupBy("u").agg(
+            F.least(F.min("v"), F.first("u")).alias("m"), F.sum("less").alias("less"), F.sum("more").alias("more")
+        )
+        left = F.count_if((F.col("less") > 1) | (F.col("less") > 0) & (F.col("more") > 0)).alias("left")
+        near, near_path, seen = write_measured(near, "cc-near", left)
+        if not seen["left"]:
+            drop_stage(spark, near_path)
+            return current, path
         # Large star: neighbours larger than u move to u's smallest neighbour.
         large = (
-            current.select(F.col("v").alias("u"), F.col("u").alias("w")).join(lowest, "u")
+            current.select(F.col("v").alias("u"), F.col("u").alias("w")).join(near.select("u", "m"), "u")
             .select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
         )
         # Small star: u and its smaller neighbours move to the smallest of them.
@@ -138,18 +145,41 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*").where(F.col("u") != F.col("v")).distinct()
         )
-        edges_left = F.count(F.lit(1)).alias("edges"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")
-        current, new_path, mark = write_measured(small, "cc", *edges_left)
-        drop_stage(spark, path)
+        current, new_path = write_stage(small, "cc")
+        drop_stage(spark, near_path)
+        if path:
+            drop_stage(spark, path)
         path = new_path
-        if mark == seen:
-            break
-        seen = mark
-    else:
-        raise RuntimeError("connected components did not settle; raise max_rounds")
-    return nodes.join(current.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select(
-        "id", F.coalesce("root", "id").alias("component")
+    raise RuntimeError("connected components did not settle; raise max_rounds")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 100, dense: float = DENSE) -> DataFrame:
+    """Component of each vertex, named by its smallest id, on undirected edges.
+
+    The distinct pairs are written once. Rounds of stars (see `_stars`) link each vertex to the
+    smallest one of its component. With more than `dense` pairs for each vertex they run on the
+    link of each vertex to its smallest neighbour alone, one row a vertex; the names found
+    are then put to both ends of all pairs, and only pairs whose names differ, few as a rule,
+    take part in further rounds.
+    """
+    ordered = F.col("src") <= F.col("dst")
+    pairs = materialize(
+        edges.select(F.when(ordered, F.col("dst")).otherwise(F.col("src")).alias("u"), F.when(ordered, F.col("src")).otherwise(F.col("dst")).alias("v")).distinct(),
+        "pairs",
     )
+    nodes = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "vertices")
+    links = pairs.where(F.col("u") != F.col("v"))
+    named = lambda rows, stars, at, name: rows.join(stars.select(F.col("u").alias(at), F.col("v").alias("_root")), at, "left").withColumn(name, F.coalesce("_root", at)).drop("_root")
+    if links.count() <= dense * nodes.count():
+        return named(nodes, _stars(links, max_rounds)[0], "id", "component")
+    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("v"))
+    thin = materialize(least.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-least")
+    first = _stars(thin, max_rounds)[0]
+    apart = named(named(links, first, "u", "a"), first, "v", "b").where(F.col("a") != F.col("b"))
+    rest = materialize(apart.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-rest")
+    found = named(nodes, first, "id", "near")
+    return named(found, _stars(rest, max_rounds)[0], "near", "component").select("id", "component")
 
 
 #: Edges of one triple of colours, where degrees are even.
@@ -299,9 +329,14 @@ def component_stats(edges: DataFrame, comps: DataFrame, amount: str, flag: str,
     """Size, edges, flagged edges, rate and amounts of the `k` largest components."""
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     flagged = F.col(flag) == 1
-    sums = attach_component(edges, comps).groupBy("component").agg(
+    # Summed by source first: the join meets a row for each account, not for each edge.
+    by_source = edges.groupBy("src").agg(
         F.count(F.lit(1)).alias("total_edges"), F.count_if(flagged).alias("fraud_edges"),
-        F.sum(amount).alias("total_amount"), F.coalesce(F.sum(F.when(flagged, F.col(amount))), F.lit(0.0)).alias("fraud_amount"),
+        F.sum(amount).alias("total_amount"), F.sum(F.when(flagged, F.col(amount))).alias("fraud_amount"),
+    )
+    sums = attach_component(by_source, comps).groupBy("component").agg(
+        F.sum("total_edges").alias("total_edges"), F.sum("fraud_edges").alias("fraud_edges"),
+        F.sum("total_amount").alias("total_amount"), F.coalesce(F.sum("fraud_amount"), F.lit(0.0)).alias("fraud_amount"),
     )
     return (
         sizes.join(sums, "component")

@@ -8,6 +8,7 @@ from riskweave.functions.columns import rounded
 from riskweave.operators import aggregates, graph, joins, sampling
 from riskweave.plans.registry import query
 from riskweave.plans.views import rnd
+from riskweave.session import materialize
 
 
 def transfers(t):
@@ -132,7 +133,7 @@ def pagerank(t):
 
 @query("connected_components", COMPONENTS + " SELECT id, component FROM comps")
 def connected_components(t):
-    return graph.connected_components(ring_edges(t))
+    return graph.connected_components(ring_transfers(t))
 
 
 @query("component_stats", COMPONENTS + f""", sizes AS (SELECT component, count(*) AS size FROM comps GROUP BY component),
@@ -141,7 +142,7 @@ def connected_components(t):
 SELECT component, size, total_edges, fraud_edges, {rnd('total_amount', 3)} AS total_amount, {rnd('fraud_amount', 3)} AS fraud_amount,
   {rnd('fraud_edges / total_edges')} AS fraud_rate FROM sizes JOIN sums USING (component) ORDER BY size DESC, component LIMIT 200""")
 def component_stats(t):
-    edges = ring_edges(t)
+    edges = materialize(ring_edges(t), "ring")
     out = graph.component_stats(edges, graph.connected_components(edges), "total_amount", "is_fraud")
     return out.withColumns({"total_amount": rounded("total_amount", 3), "fraud_amount": rounded("fraud_amount", 3), "fraud_rate": rounded("fraud_rate")})
 
@@ -152,7 +153,7 @@ def component_stats(t):
   ORDER BY size DESC, component LIMIT 200)
 SELECT component, size, {rnd('rate')} AS fraud_rate FROM big WHERE rate > 0.5""")
 def high_rate_components(t):
-    edges = ring_edges(t)
+    edges = materialize(ring_edges(t), "ring")
     stats = graph.component_stats(edges, graph.connected_components(edges), "total_amount", "is_fraud")
     return sampling.having(stats, F.col("fraud_rate") > 0.5).select("component", "size", rounded("fraud_rate").alias("fraud_rate"))
 
@@ -170,7 +171,7 @@ def network_edges(t):
 @query("network_components", NETWORK + " SELECT id, component FROM comps")
 def network_components(t):
     """Components of the whole network of transfers, one of which holds nearly all accounts."""
-    return graph.connected_components(network_edges(t))
+    return graph.connected_components(transfers(t))
 
 
 @query("network_component_stats", NETWORK + f""", sizes AS (SELECT component, count(*) AS size FROM comps GROUP BY component),
@@ -179,7 +180,7 @@ def network_components(t):
 SELECT component, size, total_edges, fraud_edges, {rnd('total_amount', 3)} AS total_amount, {rnd('fraud_amount', 3)} AS fraud_amount,
   {rnd('fraud_edges / total_edges')} AS fraud_rate FROM sizes JOIN sums USING (component) ORDER BY size DESC, component LIMIT 200""")
 def network_component_stats(t):
-    edges = network_edges(t)
+    edges = materialize(network_edges(t), "network")
     out = graph.component_stats(edges, graph.connected_components(edges), "total_amount", "is_fraud")
     return out.withColumns({"total_amount": rounded("total_amount", 3), "fraud_amount": rounded("fraud_amount", 3), "fraud_rate": rounded("fraud_rate")})
 
@@ -224,7 +225,7 @@ def graph_feature_means(t):
   picked AS (SELECT id FROM comps WHERE component = (SELECT component FROM top) ORDER BY md5(concat_ws('|', id, '42')), id LIMIT 80)
 SELECT DISTINCT src, dst FROM {RING} WHERE src IN (SELECT id FROM picked) AND dst IN (SELECT id FROM picked)""")
 def subgraph(t):
-    edges = ring_edges(t)
+    edges = materialize(ring_edges(t), "ring")
     comps = graph.connected_components(edges)
     largest = comps.groupBy("component").count().orderBy(F.col("count").desc(), "component").first()["component"]
     return graph.subgraph(edges, comps, largest).select("src", "dst")

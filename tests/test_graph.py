@@ -124,6 +124,24 @@ def test_components_by_union_find(spark):
     assert got == union_find(pairs) and len(set(got.values())) == 2 + len({v for k, v in got.items() if k[0] == "g"}) + 22
 
 
+def test_components_by_smallest_neighbours_first(spark, monkeypatch):
+    """The links of smallest neighbours leave parts that only the remaining pairs join; stars take no round."""
+    rng = random.Random(9)
+    pairs = [(f"g{rng.randrange(300):03d}", f"g{rng.randrange(300):03d}") for _ in range(900)]
+    for part in range(6):  # two tight groups joined by one pair of their largest members
+        a, b = ([f"{k}{part}{i}" for i in range(5)] for k in "pq")
+        pairs += [(x, y) for g in (a, b) for x in g for y in g if x < y] + [(a[-1], b[-1])]
+    edges = frame(spark, pairs + [("star", f"t{i}") for i in range(9)] + [("loop", "loop")]).repartition(5)
+    want = union_find(pairs + [("star", f"t{i}") for i in range(9)] + [("loop", "loop")])
+    for dense in (0, 1e9):
+        assert {r.id: r.component for r in graph.connected_components(edges, dense=dense).collect()} == want
+    stars = frame(spark, [(f"c{i % 7}", f"o{i:03d}") for i in range(100)])
+    rounds, write = [], graph.write_stage
+    monkeypatch.setattr(graph, "write_stage", lambda df, tag="stage": (rounds.append(tag), write(df, tag))[1])
+    got = {r.id: r.component for r in graph.connected_components(stars).collect()}
+    assert got == {f"o{i:03d}": f"c{i % 7}" for i in range(100)} | {f"c{i}": f"c{i}" for i in range(7)} and "cc" not in rounds
+
+
 def test_edge_table_keeps_last_write(spark):
     df = spark.createDataFrame([("a", "b", 1, 10.0, 0), ("a", "b", 2, 5.0, 1), ("b", "a", 1, 1.0, 0)], "s string, d string, t int, amount double, f int")
     got = {(r["src"], r["dst"]): (r["f"], r["transactions"], r["total_amount"]) for r in graph.edge_table(df, "s", "d", ["t"], ["f"], "amount").collect()}
