@@ -1,8 +1,8 @@
 """Multilayer perceptron with rectified units, trained by Adam on batches of rows.
 
 Rows lie in written blocks. For each step the tasks sum the gradients of their rows of the
-batch; the sums are added up in two levels, in a fixed order, so what reaches the driver is
-a few vectors as long as the parameters, whatever the number of tasks. The driver holds
+batch; the sums are added up in three levels, in a fixed order, so what reaches the driver is
+one vector as long as the parameters, whatever the number of tasks. The driver holds
 parameters and Adam's two moments, which do not grow with the rows. A lost task repeats its
 own sum and nothing else.
 """
@@ -135,6 +135,25 @@ def _blocks(df: DataFrame, features: list[str], label: str, key: str, validation
     return write_stage(numbered.mapInArrow(run, "x binary, row binary, y binary, held binary"), "rows")
 
 
+def _add(packets: pa.Table) -> pa.Table:
+    """One packet from several, their gradients added in the order of tasks."""
+    packets = packets.sort_by("task")
+    total = np.sum([np.frombuffer(g.as_buffer(), np.float64) for g in packets.column("gradient")], axis=0)
+    values = [packets.column("part")[0].as_py(), packets.column("task")[0].as_py(), total.tobytes(), *[sum(packets.column(c).to_pylist()) for c in NAMES[3:]]]
+    return pa.table({c: pa.array([v], t) for c, v, t in zip(NAMES, values, KINDS)})
+
+
+def _added(packets: DataFrame, groups: int) -> DataFrame:
+    """At most one packet: the sum of the parts, each the sum of its tasks.
+
+    A part's packet has its lowest task, which is its number, so parts are added in order too.
+    """
+    parts = packets.groupBy("part").applyInArrow(_add, SCHEMA)
+    if groups == 1:
+        return parts
+    return parts.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInArrow(_add, SCHEMA)
+
+
 def fit_perceptron(
     train: DataFrame, features: list[str], label: str, key: str, hidden: tuple = (256, 128, 64), alpha: float = 0.001, rate: float = 0.001,
     batch: int = 512, most_steps: int = 64, epochs: int = 100, patience: int = 10, tolerance: float = 1e-4, validation: float = 0.1, seed: int = 42,
@@ -181,14 +200,8 @@ def fit_perceptron(
             values = (task % groups, task, total.tobytes(), loss, rows, seen, right)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, KINDS)], names=NAMES)
 
-        def add(packets: pa.Table) -> pa.Table:
-            packets = packets.sort_by("task")
-            total = np.sum([np.frombuffer(g.as_buffer(), np.float64) for g in packets.column("gradient")], axis=0)
-            values = [packets.column("part")[0].as_py(), packets.column("task")[0].as_py(), total.tobytes(), *[sum(packets.column(c).to_pylist()) for c in NAMES[3:]]]
-            return pa.table({c: pa.array([v], t) for c, v, t in zip(NAMES, values, KINDS)})
-
-        got = blocks.mapInArrow(run, SCHEMA).groupBy("part").applyInArrow(add, SCHEMA).toArrow().sort_by("part")
-        gradient = np.sum([np.frombuffer(g.as_buffer(), np.float64) for g in got.column("gradient")], axis=0) if len(got) else np.zeros(len(parameters))
+        got = _added(blocks.mapInArrow(run, SCHEMA), groups).toArrow()
+        gradient = np.frombuffer(got.column("gradient")[0].as_buffer(), np.float64) if len(got) else np.zeros(len(parameters))
         return gradient, *[sum(got.column(c).to_pylist()) for c in NAMES[3:]]
 
     parameters = initial(sizes, seed)

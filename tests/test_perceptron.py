@@ -62,3 +62,13 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "id long, a double, b double, c double, y int")
     model = p.fit_perceptron(df, NAMES, "y", "id", hidden=(2,))
     assert model.history == [] and np.allclose(model.parameters, p.initial([3, 2, 1], 42))
+
+
+def test_one_gradient_reaches_the_driver(spark):
+    """Whatever the number of tasks, their sums come as one packet, added part by part."""
+    rng, groups = np.random.default_rng(2), 4
+    sums = [rng.normal(size=50) * 10.0 ** rng.integers(-8, 8) for _ in range(14)]
+    packets = spark.createDataFrame([(i % groups, i, bytearray(g.tobytes()), 1.0, 2, 3, 1) for i, g in enumerate(sums)], p.SCHEMA).repartition(5)
+    got = p._added(packets, groups).collect()
+    want = np.sum([np.sum(sums[k::groups], axis=0) for k in range(groups)], axis=0)
+    assert len(got) == 1 and got[0].gradient == want.tobytes() and (got[0].loss, got[0].rows, got[0].seen, got[0].told) == (14.0, 28, 42, 14)
