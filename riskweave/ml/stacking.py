@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import total_of
 from riskweave.ml.models import fit_gbt, fit_logreg
 from riskweave.operators.prep import standardize
-from riskweave.session import materialize, ship_package
+from riskweave.session import drop_stage, materialize, ship_package, write_stage
 
 Fitter = Callable[[DataFrame], object]
 
@@ -83,8 +85,10 @@ def weight_candidates(ranges=WEIGHT_RANGES, last=LAST_WEIGHT) -> list[tuple[floa
     return [w for w in grid if last[0] <= w[3] <= last[1]]
 
 
-#: Steps of the fused score that rows are counted in, and rows that one task orders exactly.
+#: Steps of the fused score that rows are counted in, and rows that one task orders.
 SCORE_STEPS, ORDERED_ROWS = 1024, 1_000_000
+#: Rows whose cells travel together, and cells of the fused score for each row of the table.
+BLOCK_ROWS, ROW_CELLS = 1 << 17, 256
 
 
 def _fused(rows: pa.RecordBatch, names: list[str], label: str) -> tuple[list[np.ndarray], np.ndarray]:
@@ -102,15 +106,37 @@ def _score(weights: tuple, parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tuple] | None = None, steps: int = SCORE_STEPS, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
+def _packed(cells: np.ndarray, positive: np.ndarray) -> bytes:
+    """Rising cells as the bytes of their differences, byte by byte, and a bit for each label."""
+    gaps = np.diff(cells, prepend=cells[:1]).astype("<i8")
+    width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+    planes = gaps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return np.array([cells[0], len(cells), width], dtype="<i8").tobytes() + planes + np.packbits(positive).tobytes()
+
+
+def _unpacked(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    first, n, width = np.frombuffer(data, "<i8", 3).tolist()
+    raw = np.frombuffer(data, np.uint8, offset=24)
+    gaps = np.zeros((n, 8), dtype=np.uint8)
+    gaps[:, :width] = raw[: n * width].reshape(width, n).T
+    return first + np.cumsum(gaps.view("<i8")[:, 0]), np.unpackbits(raw[n * width :], count=n) == 1
+
+
+def weight_grid(
+    df: DataFrame, names: list[str], label: str, candidates: list[tuple] | None = None, steps: int = SCORE_STEPS, ordered_rows: int = ORDERED_ROWS,
+    block_rows: int = BLOCK_ROWS, row_cells: int = ROW_CELLS,
+) -> DataFrame:
     """AUC of every weight vector: (weight_id, weights, auc_roc).
 
     A first pass counts the classes in equal steps of the fused score, for each weight
     vector: a bounded number of counts, whatever the rows. They settle all pairs of rows in
-    different steps. Only rows of steps that hold both classes are ordered exactly: they
-    travel packed, as sorted scores with counts, one packet for each task, weight vector and
-    run of steps of at most `ordered_rows` rows (more only where one step holds them). Rows
-    with a null score are left out; one class alone gives a null AUC.
+    different steps. Rows of steps that hold both classes are ordered in two more passes. First
+    their cells travel, about `row_cells` equal parts of the score for each row of the table: sorted,
+    as packed differences, some two bytes a row, one packet for each block of rows, weight
+    vector and run of steps of at most `ordered_rows` rows (more only where one step holds them).
+    They settle pairs in different cells. The few cells with both classes go back to the blocks
+    that have them, whose rows there travel as exact scores with counts. Rows with a null score
+    are left out; one class alone gives a null AUC.
     """
     spark = df.sparkSession
     candidates = [tuple(c) for c in candidates or weight_candidates()]
@@ -143,25 +169,93 @@ def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tu
     both = (pos > 0) & (neg > 0)
     run = np.cumsum(np.where(both, pos + neg, 0), axis=1) // ordered_rows
 
+    # Cells cut steps by a power of two, so a row's cell lies in its step.
+    finer = min(40, max(0, math.ceil(math.log2(max(1, row_cells * int((neg[0] + pos[0]).sum()) / steps)))))
+
+    def cell_of(i: int, score: np.ndarray) -> np.ndarray:
+        return np.clip((score - low[i]) / max(high[i] - low[i], 1e-300) * steps * (1 << finer), 0, (steps << finer) - 1).astype(np.int64)
+
+    def cut(batches):
+        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block():
+            parts, positive = [np.concatenate(x) for x in zip(*[p for p, _ in held])], np.concatenate([y for _, y in held])
+            values = ((task << 32) + number, np.stack(parts).tobytes(), positive.tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int64(), pa.binary(), pa.binary()))], names=["block", "x", "y"])
+
+        for batch in batches:
+            for at in range(0, len(batch), block_rows):
+                held.append(_fused(batch.slice(at, block_rows), names, label))
+                size += len(held[-1][1])
+                if size >= block_rows:
+                    yield block()
+                    number, held, size = number + 1, [], 0
+        if size:
+            yield block()
+
+    def parts_of(x: pa.Scalar, y: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(x.as_buffer(), np.float64).reshape(len(names), -1), np.frombuffer(y.as_buffer(), bool)
+
+    def runs_of(i: int, cells: np.ndarray) -> list[tuple[int, int, int]]:
+        """Run, start and end of each part of rising cells that lies in one run of steps."""
+        runs = run[i][cells >> finer]
+        cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(cells)]
+        return [(int(runs[at]), at, end) for at, end in zip(cuts[:-1], cuts[1:])]
+
     def pack(batches):
         for batch in batches:
-            parts, positive = _fused(batch, names, label)
-            out = {k: [] for k in ("weight_id", "run", "score", "pos", "neg")}
-            for i, c in enumerate(candidates):
-                score = _score(c, parts)
-                step = step_of(i, score)
-                use = np.flatnonzero(both[i][step])
-                if not len(use):
-                    continue
-                value, place = np.unique(score[use], return_inverse=True)
-                sums = [np.bincount(place, weights=w, minlength=len(value)).astype(np.int64) for w in (positive[use], ~positive[use])]
-                runs = run[i][step_of(i, value)]
-                cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(value)]
-                for at, end in zip(cuts[:-1], cuts[1:]):
-                    for k, v in zip(out, (i, int(runs[at]), value[at:end].tobytes(), sums[0][at:end].tobytes(), sums[1][at:end].tobytes())):
-                        out[k].append(v)
-            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+            for number, x, y in zip(*(batch.column(c) for c in ("block", "x", "y"))):
+                parts, positive = parts_of(x, y)
+                for i, c in enumerate(candidates):
+                    cells = cell_of(i, _score(c, parts))
+                    use = np.flatnonzero(both[i][cells >> finer])
+                    if len(use):
+                        use = use[np.argsort(cells[use])]
+                        cells, told = cells[use], positive[use]
+                        values = [(i, k, number.as_py(), _packed(cells[at:end], told[at:end])) for k, at, end in runs_of(i, cells)]
+                        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*values), kinds)], names=["weight_id", "run", "block", "cells"])
+
+    def before(group: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Sum of the n in front of each place in its group of neighbouring places."""
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        sums = np.cumsum(n) - n
+        return sums - np.repeat(sums[first], np.diff(first, append=len(group)))
+
+    def settle(packets: pa.Table) -> pa.Table:
+        """Pairs of rows in different cells, and the cells that each block must tell more about."""
+        i, k = (packets.column(c)[0].as_py() for c in ("weight_id", "run"))
+        own = [_unpacked(v.as_buffer()) for v in packets.column("cells")]
+        value, place = np.unique(np.concatenate([c for c, _ in own]), return_inverse=True)
+        told = np.concatenate([y for _, y in own])
+        p, n = (np.bincount(place[y], minlength=len(value)).astype(np.int64) for y in (told, ~told))
+        pairs = int((p.astype(object) * 2 * before(value >> finer, n)).sum())
+        mixed, ends = (p > 0) & (n > 0), np.cumsum([0, *[len(c) for c, _ in own]])
+        rows = [(i, k, None, str(pairs), None)]
+        for number, (cells, _), at, end in zip(packets.column("block").to_pylist(), own, ends[:-1], ends[1:]):
+            asked = np.unique(cells[mixed[place[at:end]]])
+            if len(asked):
+                rows.append((i, k, number, None, asked.tobytes()))
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        return pa.table([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=["weight_id", "run", "block", "pairs", "cells"])
+
+    def tell(block: pa.Table, asked: pa.Table) -> pa.Table:
+        """Exact scores of a block's rows in the cells asked for."""
+        out = {c: [] for c in ("weight_id", "run", "score", "pos", "neg")}
+        parts, positive = parts_of(block.column("x")[0], block.column("y")[0]) if len(block) else (None, None)
+        asked = asked.sort_by("weight_id")
+        scored = None
+        for i, k, cells in zip(asked.column("weight_id").to_pylist(), asked.column("run").to_pylist(), asked.column("cells")):
+            if scored is None or scored[0] != i:
+                score = _score(candidates[i], parts)
+                scored = i, score, cell_of(i, score)
+            use = np.flatnonzero(np.isin(scored[2], np.frombuffer(cells.as_buffer(), np.int64)))
+            value, place = np.unique(scored[1][use], return_inverse=True)
+            sums = [np.bincount(place, weights=w, minlength=len(value)).astype(np.int64) for w in (positive[use], ~positive[use])]
+            for c, v in zip(out, (i, k, value.tobytes(), sums[0].tobytes(), sums[1].tobytes())):
+                out[c].append(v)
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
     def order(packets: pa.Table) -> pa.Table:
         i = packets.column("weight_id")[0].as_py()
@@ -169,16 +263,20 @@ def weight_grid(df: DataFrame, names: list[str], label: str, candidates: list[tu
         score, p, n = get("score", np.float64), get("pos", np.int64), get("neg", np.int64)
         value, place = np.unique(score, return_inverse=True)
         p, n = (np.bincount(place, weights=x, minlength=len(value)).astype(np.int64) for x in (p, n))
-        step = step_of(i, value)
-        first = np.flatnonzero(np.diff(step, prepend=-1))
-        before = np.cumsum(n) - n
-        before -= np.repeat(before[first], np.diff(first, append=len(step)))
-        return pa.table({"weight_id": pa.array([i], pa.int32()), "pairs": pa.array([str(int((p.astype(object) * (2 * before + n)).sum()))])})
-
-    packets = rows.mapInArrow(pack, "weight_id int, run long, score binary, pos binary, neg binary")
-    inside = packets.groupBy("weight_id", "run").applyInArrow(order, "weight_id int, pairs string")
-    for r in inside.groupBy("weight_id").agg(F.sum(F.col("pairs").cast("decimal(38,0)")).alias("pairs")).collect():
+        pairs = (p.astype(object) * (2 * before(cell_of(i, value), n) + n)).sum()
+        return pa.table({"weight_id": pa.array([i], pa.int32()), "pairs": pa.array([str(int(pairs))])})
+
+    blocks, blocks_path = write_stage(rows.mapInArrow(cut, "block long, x binary, y binary"), "blocks")
+    packets = blocks.mapInArrow(pack, "weight_id int, run long, block long, cells binary")
+    settled, settled_path = write_stage(packets.groupBy("weight_id", "run").applyInArrow(settle, "weight_id int, run long, block long, pairs string, cells binary"), "cells")
+    asked = settled.where(F.col("block").isNotNull()).select("weight_id", "run", "block", "cells")
+    exact = asked.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(lambda a, b: tell(b, a), "weight_id int, run long, score binary, pos binary, neg binary")
+    inside = exact.groupBy("weight_id", "run").applyInArrow(order, "weight_id int, pairs string")
+    found = settled.where(F.col("block").isNull()).select("weight_id", "pairs").unionByName(inside)
+    for r in found.groupBy("weight_id").agg(F.sum(F.col("pairs").cast("decimal(38,0)")).alias("pairs")).collect():
         doubled[r.weight_id] += int(r.pairs)
+    drop_stage(spark, blocks_path)
+    drop_stage(spark, settled_path)
     out = []
     for i, c in enumerate(candidates):
         whole = int(pos[i].sum()) * int(neg[i].sum())

@@ -1,6 +1,7 @@
 """Approximate neighbours against the exact join, and the weight search against plain counting."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,20 @@ def test_weight_search(spark, steps, ordered_rows):
     assert stacking.weight_grid(df.limit(0), ["s", "t"], "y", candidates).where(F.col("auc_roc").isNotNull()).count() == 0
 
 
+def test_cells_of_the_weight_search_travel_packed(spark):
+    """About two bytes a row and weight vector, and equal AUCs where cells are coarse and blocks small."""
+    rng = np.random.default_rng(7)
+    cells, told = np.sort(rng.integers(1 << 43, 1 << 44, 50_000)), rng.random(50_000) < 0.3
+    got = stacking._unpacked(pa.py_buffer(stacking._packed(cells, told)))
+    assert (got[0] == cells).all() and (got[1] == told).all()
+    rows = [(float(a), float(b), int(y)) for a, b, y in zip(np.round(rng.normal(size=500), 2), rng.random(500), rng.integers(0, 2, 500))]
+    df, weights = spark.createDataFrame(rows, "s double, t double, y int").repartition(3), [(0.5, 0.5), (1.0, 0.0)]
+    grids = [stacking.weight_grid(df, ["s", "t"], "y", weights, steps, 60, block, cells).orderBy("weight_id").collect() for steps, block, cells in ((1024, 1 << 17, 256), (4, 30, 1), (7, 1, 2))]
+    assert grids[0] == grids[1] == grids[2]
+    cells = np.sort(rng.integers(0, 256 * 50_000, 50_000))
+    assert len(stacking._packed(cells, told)) < 3 * len(cells)
+
+
 def test_probes_are_fitted_to_the_recall(spark):
     """Vectors without clusters need more probes than clustered ones."""
     df = table(spark, np.random.default_rng(5).normal(size=(1200, 20)))
