@@ -8,12 +8,12 @@ import math
 import sys
 import time
 
-import duckdb
-
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def duck(sf_dir: str):
+    import duckdb  # only here: tests are collected where it is not installed, too
+
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
