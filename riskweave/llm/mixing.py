@@ -217,7 +217,12 @@ def mix(docs: DataFrame, labels: DataFrame, *keep: str, targets: dict[str, float
     members = materialize(memberships(docs, classifier, *keep), "mixing-members")
     if total is None and not classifier.taught[0]:
         return members.withColumn("rate", F.lit(1.0))
-    return fit_rates(members, [targets[d] for d in DOMAINS], total, cap=cap)[0]
+    # A rate follows from the posterior alone, and a posterior from the numbers of marks: the
+    # rates are fitted on one row for each, at most BINS to the number of marked domains.
+    alike = materialize(members.groupBy("p").agg(F.sum("tokens").alias("tokens")), "mixing-posteriors")
+    fitted = fit_rates(alike, [targets[d] for d in DOMAINS], total, cap=cap)[0]
+    rates = materialize(fitted.select("p", "rate"), "mixing-fitted")
+    return members.join(F.broadcast(rates), "p").select(*members.columns, "rate")
 
 
 def often(snap: float, repeat: bool) -> Column:
@@ -230,11 +235,11 @@ def draw(docs: DataFrame, labels: DataFrame, snap: float = 0.1, repeat: bool = F
     """Rows of `docs`, each as often as its rate says: the whole part, and once more with the
     probability of the rest, drawn from a hash of id and row. A likely clean row whose rate is
     less than `snap` under 1 is drawn once. Without `repeat`, as fits a corpus freed from
-    duplicates, rates are fitted between 0 and 1. Columns are those of `docs`."""
-    held = materialize(with_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), uid=F.monotonically_increasing_id()), "mixing-rows")
-    rated = mix(held, labels, "uid", "doc_id", cap=None if repeat else 1.0, **how)
+    duplicates, rates are fitted between 0 and 1. Columns are those of `docs`. Texts are written
+    once, beside their posterior, and not moved."""
+    held = with_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), uid=F.monotonically_increasing_id())
+    rated = mix(held, labels, "row", "doc_id", "uid", cap=None if repeat else 1.0, **how)
     chance = F.pmod(F.xxhash64("doc_id", "uid", F.lit(seed)), F.lit(1 << 24)) / float(1 << 24)
-    times = rated.select("uid", F.floor(often(snap, repeat) + chance).cast("int").alias("times")).where("times != 1")
-    drawn = held.join(times, "uid", "left").select("row", F.coalesce("times", F.lit(1)).alias("times"))
+    drawn = rated.select("row", F.floor(often(snap, repeat) + chance).cast("int").alias("times"))
     drawn = drawn.where("times > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("i"))
     return row_columns(drawn, docs.columns)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import map_texts, row_columns, with_row
+from riskweave.llm.exact import sieve, sifted
 from riskweave.operators.graph import connected_components
 from riskweave.session import materialize
 
@@ -111,12 +112,15 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
 def drop_near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the smallest doc_id stays.
 
-    Of rows with the same doc_id in a component one stays. Columns are those of `docs`.
+    Of rows with the same doc_id in a component one stays. Columns are those of `docs`. Texts
+    are not moved: a sieve of the uids that go tells nearly all other rows where they lie.
     """
     held = materialize(with_row(docs, uid=F.monotonically_increasing_id()), "simhash-rows")
     told = held.select("uid", F.col("row").getField("doc_id").alias("doc_id"), F.col("row").getField("text").alias("text"))
     coded = materialize(fingerprints(told, F.col("text"), "uid", "doc_id", width=width), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
     found = _classes(coded, order, distance)
-    dropped = coded.join(found, "fp").where(F.col("uid") != F.col("first.uid")).select("uid")
-    return row_columns(held.join(dropped, "uid", "left_anti"), docs.columns)
+    dropped = materialize(coded.join(found, "fp").where(F.col("uid") != F.col("first.uid")).select("uid"), "simhash-dropped")
+    told = sifted(held, sieve(dropped.select(F.xxhash64("uid").alias("look"))), F.xxhash64("uid"))
+    kept = told.where(~F.col("maybe")).select("row")
+    return row_columns(kept.unionByName(told.where("maybe").join(dropped, "uid", "left_anti").select("row")), docs.columns)

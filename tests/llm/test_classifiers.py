@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import labelled, mixing, quality, toxicity
 from riskweave.llm.queries import QUERIES
-from riskweave.session import materialize
+from riskweave.session import materialize, open_stages
 
 SF = "/root/testdata/sf0.01"
 
@@ -186,3 +186,26 @@ def test_drawn_shares_of_a_junk_heavy_input(spark):
     drawn = mixing.draw(docs, labels).groupBy("domain").count().collect()
     count = {r.domain: r["count"] for r in drawn}
     assert count[0] == sum(r.domain == 0 for r in rated) and count[1] > 0 and count[2] > 0
+
+
+def test_rows_of_one_posterior_are_rated_by_their_sum(spark):
+    docs, labels = labelled_texts(spark, 250, 40, 30)
+    classifier = mixing.fit_classifier(docs, labels)
+    members = materialize(mixing.memberships(docs, classifier, "doc_id"))
+    each = mixing.fit_rates(members, [mixing.TARGETS[d] for d in mixing.DOMAINS])[0]
+    want = {r.doc_id: r.rate for r in each.collect()}
+    got = {r.doc_id: r.rate for r in mixing.mix(docs, labels).collect()}
+    assert len(got) == docs.count() and got == pytest.approx(want, abs=1e-9)
+
+
+def test_drawn_texts_are_written_once_and_not_moved(spark):
+    docs, labels = labelled_texts(spark, 250, 40, 30)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = set(open_stages())
+        drawn = mixing.draw(docs, labels)
+        assert drawn.count() > 0 and "Exchange hashpartitioning" not in drawn._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    written = [spark.read.parquet(p).schema.simpleString() for p in open_stages() if p not in before]
+    assert sum(s.count("text:string") for s in written) == 1

@@ -114,3 +114,17 @@ def test_dropped_rows_keep_one_of_each(spark):
     assert got == [(0, "z"), (1, "a b c"), (7, "q"), (7, "r")]
     near = sorted((r.doc_id or 0, r.text) for r in simhash.drop_near_duplicates(docs).collect())
     assert len(near) == 4 and (1, "a b c") in near
+
+
+def test_texts_that_stay_are_not_moved_by_near_dedup(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 10)
+    try:
+        docs = spark.read.parquet(f"{SF}/documents.parquet")
+        docs = docs.unionByName(docs.limit(9).withColumn("doc_id", F.col("doc_id") + 10**6))
+        kept = simhash.drop_near_duplicates(docs)
+        assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().toString()
+        rows = sorted(map(str, kept.collect()))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        assert rows == sorted(map(str, simhash.drop_near_duplicates(docs).collect())) and len(rows) <= docs.count() - 9
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
