@@ -55,21 +55,23 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
 
     Edges carry a salt that splits the out-edges of hubs into parts of about `hub_edges`;
     a hub's vertex row is repeated once per part, so no task sees all edges of one account.
-    Each round shuffles the vertices and pre-aggregated shares.
+    Vertices are numbered first and edges sorted once by sender, so each round shuffles numbers
+    alone, the vertices and pre-aggregated shares, and sorts no edge.
     """
     spark = edges.sparkSession
     links = edges.select("src", "dst").distinct()
     out = degrees(links).select("id", F.col("out_degree").cast("double").alias("out_degree"))
-    nodes = materialize(
-        out.withColumn("parts", F.greatest(F.ceil(F.col("out_degree") / hub_edges), F.lit(1)).cast("int")), "nodes"
-    )
+    named = materialize(with_global_index(out, ["id"], "at"), "numbers")
+    split = F.greatest(F.ceil(F.col("out_degree") / hub_edges), F.lit(1)).cast("int")
+    nodes = materialize(named.select("at", "out_degree", split.alias("parts")), "nodes")
     n = nodes.count()
     if n == 0:
-        return nodes.select("id", F.lit(0.0).alias("pagerank"))
-    hubs = nodes.where(F.col("parts") > 1).select(F.col("id").alias("src"), "parts")
+        return named.select("id", F.lit(0.0).alias("pagerank"))
+    number = lambda d, end, own: d.join(named.select(F.col("id").alias(end), F.col("at").alias(own)), end).drop(end)
+    hubs = nodes.where(F.col("parts") > 1).select(F.col("at").alias("u"), "parts")
     salted = materialize(
-        links.join(hubs, "src", "left").select(
-            "src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int").alias("salt")
+        number(number(links, "src", "u"), "dst", "v").join(hubs, "u", "left").select(
+            "u", "v", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).cast("int").alias("salt")
         ),
         "edges",
     )
@@ -77,19 +79,19 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
     # a lost part is read again from the written table.
     count = salted.count()
     parts = max(min(spark.sparkContext.defaultParallelism, -(-count // 50_000)), -(-count // hub_edges), 1)
-    salted = salted.repartition(parts, "src", "salt").persist()
+    salted = salted.repartition(parts, "u", "salt").sortWithinPartitions("u", "salt").persist()
     lost = F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling")
     rank, path, seen = write_measured(nodes.withColumn("rank", F.lit(1.0 / n)), "rank", lost)
     for _ in range(max_iter):
         senders = rank.where(F.col("out_degree") > 0).select(
-            F.col("id").alias("src"),
+            F.col("at").alias("u"),
             (F.col("rank") / F.col("out_degree")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
         )
-        received = salted.join(senders, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("got"))
+        received = salted.join(senders, ["u", "salt"]).groupBy(F.col("v").alias("at")).agg(F.sum("share").alias("got"))
         base = alpha * seen["dangling"] / n + (1.0 - alpha) / n
-        following = rank.join(received, "id", "left").select(
-            "id", "out_degree", "parts",
+        following = rank.join(received, "at", "left").select(
+            "at", "out_degree", "parts",
             (F.coalesce("got", F.lit(0.0)) * alpha + F.lit(base)).alias("rank"),
             F.col("rank").alias("previous"),
         )
@@ -104,7 +106,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6, max_iter:
             salted.unpersist()
             raise RuntimeError("PageRank did not converge; raise max_iter or tol")
     salted.unpersist()
-    return rank.select("id", F.col("rank").alias("pagerank"))
+    return named.join(rank, "at").select("id", F.col("rank").alias("pagerank"))
 
 
 #: With more links than this for each vertex, components are found on the smallest neighbours first.

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from riskweave.operators import graph
+from riskweave.session import open_stages
 
 
 def frame(spark, pairs):
@@ -43,6 +44,13 @@ def test_pagerank(random_graph, hub_edges):
     assert all(got[v] == pytest.approx(want[v]) for v in want)
 
 
+def test_pagerank_rounds_move_numbers_only(spark, random_graph):
+    before = set(open_stages())
+    assert graph.pagerank(random_graph[1], tol=0.0, max_iter=2).count() > 0
+    rounds = [p for p in open_stages() if p not in before and p.rsplit("/", 1)[1].startswith(("rank-", "edges-", "nodes-"))]
+    assert rounds and not any("string" in spark.read.parquet(p).schema.simpleString() for p in rounds)
+
+
 def test_pagerank_stops_at_tolerance(random_graph):
     pairs, edges = random_graph
     got = {r["id"]: r["pagerank"] for r in graph.pagerank(edges).collect()}
