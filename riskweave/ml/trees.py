@@ -17,7 +17,7 @@ from riskweave.session import ship_package
 class Tree:
     """Nodes by number, the root first. A row goes left where its feature is at most `cut`.
 
-    Leaves have feature -1. `bin` is the number of the cut among the feature's bin edges,
+    Leaves have feature -1; the lists may be arrays once a tree is grown. `bin` is the number of the cut among the feature's bin edges,
     `cover` the weight of the training rows that reached the node.
     """
 
@@ -39,8 +39,8 @@ class Tree:
 
     def find(self, data: np.ndarray, binned: bool = False) -> np.ndarray:
         """The leaf of every row of `data` (values, or numbers of bins)."""
-        feature, left, right = np.array(self.feature), np.array(self.left), np.array(self.right)
-        cut = np.array(self.bin if binned else self.cut)
+        feature, left, right = np.asarray(self.feature), np.asarray(self.left), np.asarray(self.right)
+        cut = np.asarray(self.bin if binned else self.cut)
         at, rows = np.zeros(len(data), dtype=np.int64), np.arange(len(data))
         while len(rows):
             rows = rows[feature[at[rows]] >= 0]
@@ -116,7 +116,7 @@ def shap(trees: list[Tree], data: np.ndarray) -> np.ndarray:
 def scores(trees: list[Tree], data: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data))
     for tree in trees:
-        out += np.array(tree.value)[tree.find(data)]
+        out += np.asarray(tree.value)[tree.find(data)]
     return out
 
 
@@ -171,8 +171,9 @@ class TreeModel:
     def nodes(self) -> list[tuple]:
         """(tree, node, feature, cut, left, right, value, cover) of all nodes."""
         return [
-            (t, i, self.features[f] if f >= 0 else None, tree.cut[i] if f >= 0 else None, tree.left[i] if f >= 0 else None, tree.right[i] if f >= 0 else None, tree.value[i], tree.cover[i])
-            for t, tree in enumerate(self.trees) for i, f in enumerate(tree.feature)
+            (t, i, self.features[f] if f >= 0 else None, *((float(cut), int(left), int(right)) if f >= 0 else (None, None, None)), float(value), float(cover))
+            for t, tree in enumerate(self.trees)
+            for i, (f, cut, left, right, value, cover) in enumerate(zip(tree.feature, tree.cut, tree.left, tree.right, tree.value, tree.cover))
         ]
 
     def importance(self) -> dict[str, int]:

@@ -56,7 +56,7 @@ def node_table(spark, model) -> DataFrame:
         while stack:
             v, path = stack.pop()
             leaf = tree.feature[v] < 0
-            out.append((number, path, None if leaf else model.features[tree.feature[v]], None if leaf else tree.cut[v], tree.value[v], tree.cover[v]))
+            out.append((number, path, None if leaf else model.features[tree.feature[v]], None if leaf else float(tree.cut[v]), float(tree.value[v]), float(tree.cover[v])))
             if not leaf:
                 stack += [(tree.left[v], path + "L"), (tree.right[v], path + "R")]
     nodes = spark.createDataFrame(out, "tree int, path string, feature string, cut double, value double, cover double")

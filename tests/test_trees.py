@@ -229,3 +229,24 @@ def test_sums_reach_the_driver_packed():
     assert len(row) == 1 and len(row[0]) < sums.nbytes / 3
     assert boosting._unpacked(row).equals(sums.sort_by("key"))
     assert len(boosting._unpacked(list(pa.Table.from_batches(boosting._packed(iter([]))).column("sums").to_pylist()))) == 0
+
+
+def test_extra_trees_do_not_depend_on_blocks_and_groups(spark):
+    """Rows and trees come in several pieces; null features count as 0 and rows without a label are left out."""
+    import hashlib
+
+    from riskweave.ml import extra
+
+    x, y = rows_of(400)
+    rows = [(*map(float, r), int(t)) for r, t in zip(x, y)] + [(None, 1.0, None, 2.0, 1), (9.0, 9.0, 9.0, 9.0, None)]
+    df = spark.createDataFrame(rows, f"{', '.join(f'{c} double' for c in NAMES)}, y int").repartition(3)
+    whole = extra.fit_extra_trees(df, NAMES, "y", trees=6, depth=6)
+    pieces = extra.fit_extra_trees(df, NAMES, "y", trees=6, depth=6, block_rows=17, group_nodes=5)
+    assert whole.nodes() == pieces.nodes() and len(whole.nodes()) > 60
+    assert all(tree.cover[0] == pytest.approx(401) for tree in whole.trees)
+    drawn, place = extra.candidates(np.array([3, 5]), np.array([1, 12]), 4, 2, 42)
+    for t, v, got, at in zip((3, 5), (1, 12), drawn, place):
+        order = sorted((hashlib.md5(f"{t}|{v}|{j}|42".encode()).hexdigest(), j) for j in range(4))[:2]
+        assert [(j, int(d[8:16], 16)) for d, j in order] == [(int(j), int(a)) for j, a in zip(got, at)]
+    assert all(isinstance(tree.cut, np.ndarray) and len(tree.cut) == len(tree.value) for tree in whole.trees)
+    assert extra.fit_extra_trees(df.limit(0), NAMES, "y", trees=2).trees == []
