@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DecimalType, FractionalType, NumericType, StringType
 
 from riskweave.functions.columns import col_of
 from riskweave.session import materialize
@@ -117,5 +117,24 @@ def number_repeats(df: DataFrame, key: str, out: str = "nth") -> DataFrame:
     return local.join(starts, [key, "_part"]).withColumn(out, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
 
 
+def number_equal_rows(df: DataFrame, out: str = "nth", block_rows: int = 1 << 16) -> DataFrame:
+    """Number the rows that are equal in all columns from 0.
+
+    Equal rows travel as one row with their count, and are made again behind the shuffle; more
+    than `block_rows` of them in blocks, by as many tasks as they need.
+    """
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, FractionalType) and not isinstance(f.dataType, DecimalType)]
+    # Grouping takes -0.0 for 0.0, so its sign is kept beside it.
+    minus = [F.coalesce((F.col(c) == 0) & F.col(c).cast("string").startswith("-"), F.lit(False)) for c in floats]
+    counted = df.withColumn("_minus", F.array(*minus)).groupBy(*df.columns, "_minus").agg(F.count(F.lit(1)).alias("_rows"))
+    counted = materialize(counted, "repeats").withColumns({c: F.when(F.col("_minus")[i], F.lit(-0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)) for i, c in enumerate(floats)})
+    few = counted.where(F.col("_rows") <= block_rows).withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, F.lit(block_rows).cast("long"))
+    many = counted.where(F.col("_rows") > block_rows).withColumn("_start", F.explode(starts)).repartition(*df.columns, "_start")
+    ends = F.least(F.col("_start") + block_rows, F.col("_rows")) - 1
+    many = many.withColumn(out, F.explode(F.sequence(F.col("_start"), ends)))
+    return few.select(*df.columns, out).unionByName(many.select(*df.columns, out))
+
+
 def drop_meta(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*names)

@@ -158,7 +158,7 @@ def build_master(gold: list[DataFrame]) -> DataFrame:
     them, so it does not depend on the plan that computes it.
     """
     master = clean.union_master(gold, MASTER_FEATURES)
-    placed = clean.number_repeats(clean.row_id(master, master.columns, "_same"), "_same", "_nth")
+    placed = clean.row_id(clean.number_equal_rows(master, "_nth"), master.columns, "_same")
     return clean.row_id(placed, ["_same", "_nth"]).drop("_same", "_nth").withColumn("_gold_processed_at", F.current_timestamp())
 
 

@@ -66,3 +66,21 @@ def test_correlations_of_present_pairs(spark):
         else:
             assert value == pytest.approx(data[i].corr(data[j]), abs=1e-9)
     assert len(got) == 6 and all(r["corr"] is None for r in aggregates.corr_matrix(df.limit(0), ["a", "b"]).collect())
+
+
+def test_equal_rows_are_numbered_by_their_counts(spark):
+    """Many equal rows are counted, not moved; zeros of both signs, nulls and NaN keep their rows and ids."""
+    nan = float("nan")
+    rows = [(0.0, "x", 1)] * 30 + [(-0.0, "x", 1)] * 3 + [(None, None, None)] * 2 + [(nan, "x", 1)] * 2 + [(1.5, "y", 2)]
+    df = spark.createDataFrame(rows, "a double, b string, c int")
+    want = sorted((str(r), n) for r in set(map(str, df.collect())) for n in range([str(q) for q in df.collect()].count(r)))
+    for parts, block in ((1, 100), (7, 4)):
+        got = clean.number_equal_rows(df.repartition(parts), "nth", block_rows=block)
+        assert sorted((str(r).replace(f", nth={r.nth}", ""), r.nth) for r in got.collect()) == want
+    # The ids are those of rows numbered by windows, and numbering is no part of a plan that asks for no id.
+    old = clean.row_id(clean.number_repeats(clean.row_id(df, df.columns, "same"), "same", "nth"), ["same", "nth"], "id")
+    new = clean.row_id(clean.row_id(clean.number_equal_rows(df, "nth"), df.columns, "same"), ["same", "nth"], "id")
+    assert sorted(r.id for r in old.collect()) == sorted(r.id for r in new.collect())
+    gold = df.withColumns({c: F.lit(1.0) for c in medallion.MASTER_FEATURES})
+    plan = medallion.build_master([gold]).groupBy("Class").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "md5" not in plan
