@@ -47,14 +47,21 @@ class RiskModel:
         self.model.write().overwrite().save(path)
 
 
-def _fit(estimator, train: DataFrame, features: list[str], label: str, weight: bool = False, keep: tuple = ()) -> RiskModel:
+def _fit(estimator, train: DataFrame, features: list[str], label: str, weight: bool = False, keep: tuple = (), held: bool = False) -> RiskModel:
+    """Fit on assembled vectors; `held` keeps them for a learner that goes over its input several times."""
     data = with_class_weight(train, label, "_weight") if weight else train
     extra = ["_weight"] if weight else []
     vectors = assemble(data, features, _VEC).select(_VEC, F.col(label).cast("double").alias("_label"), *extra, *keep)
     estimator = estimator.setFeaturesCol(_VEC).setLabelCol("_label")
     if weight:
         estimator = estimator.setWeightCol("_weight")
-    return RiskModel(estimator.fit(vectors), features)
+    if not held:
+        return RiskModel(estimator.fit(vectors), features)
+    vectors = vectors.persist()
+    try:
+        return RiskModel(estimator.fit(vectors), features)
+    finally:
+        vectors.unpersist()
 
 
 def fit_logreg(train: DataFrame, features: list[str], label: str, C: float = 0.01, balanced: bool = True, max_iter: int = 1000, tol: float = 1e-6) -> RiskModel:
@@ -133,7 +140,7 @@ def fit_random_forest(train: DataFrame, features: list[str], label: str, trees:
 
 def fit_gbt(train: DataFrame, features: list[str], label: str, rounds: int = 200, rate: float = 0.05, depth: int = 4, subsample: float = 0.8, balanced: bool = False, seed: int = 42) -> RiskModel:
     est = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=subsample, seed=seed)
-    return _fit(est, train, features, label, weight=balanced)
+    return _fit(est, train, features, label, weight=balanced, held=True)
 
 
 # Settings of the three boosted-tree flavours.
@@ -152,7 +159,7 @@ def fit_boosted(train: DataFrame, validation: DataFrame, features: list[str], la
         maxIter=p["rounds"], stepSize=p["rate"], maxDepth=p["depth"], subsamplingRate=p["subsample"], seed=seed,
         validationIndicatorCol="_valid", validationTol=tolerance,
     )
-    return _fit(est, both, features, label, weight=True, keep=("_valid",))
+    return _fit(est, both, features, label, weight=True, keep=("_valid",), held=True)
 
 
 def _tree_column(node) -> Column:

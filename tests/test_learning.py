@@ -223,3 +223,18 @@ def test_adaboost_rounds_read_kept_rows(points):
     boosted = models.fit_adaboost(train, COLS, "y", rounds=3, rate=0.5, write_every=2)
     assert [(t.getRawPredictionCol(), t.getProbabilityCol()) for t in boosted.trees] == [("", "")] * 3
     assert len(train.sparkSession.sparkContext._jsc.getPersistentRDDs()) == kept
+
+
+def test_boosting_computes_its_rows_once(spark):
+    """The learner goes over its input several times; what makes the rows runs once."""
+    made, before = spark.sparkContext.accumulator(0), spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    @F.udf("double")
+    def counted(v):
+        made.add(1)
+        return float(v)
+
+    rows = spark.range(60).select("id", counted.asNondeterministic()("id").alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 7 > 3).cast("int").alias("y"))
+    model = models.fit_gbt(rows, ["a", "b"], "y", rounds=3, depth=2)
+    assert made.value == 60 and len(model.model.trees) == 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
