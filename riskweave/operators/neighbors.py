@@ -6,7 +6,8 @@ each query an upper bound on its k-th neighbour; by the triangle inequality most
 and rings cannot beat it and are skipped. Each remaining block pair returns k rows per
 query. In few dimensions, or where rows form clusters, that skips most of the base; in many
 dimensions without clusters hardly any cell can be ruled out, and an exact search has to
-compare nearly all pairs. `exact=False` bounds the work there.
+compare nearly all pairs: then queries and base rows meet in a grid of large blocks, so a
+row is sent once for each block of the other side. `exact=False` bounds the work there.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from riskweave.operators.ordered import with_group_index
 from riskweave.session import materialize
 
 _SLACK = 1e-9
+#: Rows of a block where all pairs are compared, and queries that tell whether cells can be ruled out.
+GRID_ROWS, TRIAL_QUERIES = 8_192, 64
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -115,6 +118,23 @@ def _block_top_k(k: int, exclude_self: bool):
     return best
 
 
+def _grid(q: DataFrame, b: DataFrame, queries: int, n: int, k: int, exclude_self: bool, grid_rows: int) -> DataFrame:
+    """(query_id, neighbor_id, distance): the k nearest of each block of base rows, for all queries."""
+    blocks, parts = max(1, -(-n // grid_rows)), max(1, -(-queries // grid_rows))
+    dealt = lambda key, count: F.pmod(F.xxhash64(key), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    left = q.select("*", dealt("query_id", parts).alias("part"), every(blocks).alias("block"))
+    right = b.select("*", dealt("id", blocks).alias("block"), every(parts).alias("part"))
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(
+        _block_top_k(k, exclude_self), "query_id long, neighbor_id long, distance double"
+    )
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def knn_join(
     query: DataFrame,
     base: DataFrame,
@@ -126,10 +146,12 @@ def knn_join(
     pivots: int | None = None,
     block_rows: int = 2_000,
     exact: bool = True,
+    grid_rows: int = GRID_ROWS,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) of the k nearest base rows of every query row.
 
-    Ids are longs; ties in distance go to the smaller id. With `exact=False` a query meets a
+    Ids are longs; ties in distance go to the smaller id. Given `pivots`, cells are used also where
+    they rule nothing out; a trial chooses between them and the grid, never what is found. With `exact=False` a query meets a
     bounded number of rows (`approx.approx_knn_join`) and may miss a neighbour.
     """
     if not exact:
@@ -143,9 +165,12 @@ def knn_join(
     n = b.count()
     if not n:
         return q.select("query_id", F.lit(None).cast("long").alias("neighbor_id"), F.lit(0.0).alias("distance"), F.lit(0).alias("rank")).where("false")
+    queries = q.count()
+    if not pivots and n * queries <= grid_rows * grid_rows:
+        return _ranked(_grid(q, b, queries, n, k, exclude_self, grid_rows), k)
     # The pivots, a quarter of the root of the rows and chosen by hash, are all of the base that reaches the driver.
-    pivots = pivots or max(16, math.isqrt(n) // 4)
-    seeds = b.orderBy(hash_order("id"), "id").limit(pivots).select("vec").collect()
+    chosen = pivots or max(16, math.isqrt(n) // 4)
+    seeds = b.orderBy(hash_order("id"), "id").limit(chosen).select("vec").collect()
     centers = np.unique(np.array([r["vec"] for r in seeds], dtype=np.float64), axis=0)
 
     placed = materialize(b.mapInPandas(_nearest_cell(centers), "id long, vec array<double>, cell int, to_pivot double"), "cells")
@@ -158,6 +183,10 @@ def knn_join(
     for row in closest:
         near[row["cell"], row["r"] - 1] = row["to_pivot"]
     cells = [(r["cell"], r["a"], r["z"]) for r in stats]
+    trial = pd.DataFrame({"vec": [r["vec"] for r in q.select("vec").limit(0 if pivots else TRIAL_QUERIES).collect()]})
+    met = sum(map(len, _route(centers, cells, near, need)([trial])))
+    if 2 * met > len(trial) * len(cells):
+        return _ranked(_grid(q, b, queries, n, k, exclude_self, grid_rows), k)
 
     # Rings hold `block_rows` rows each, also where a cell is full of identical rows.
     ringed = with_group_index(placed, ["cell"], ["to_pivot", "id"], "_pos")
@@ -176,5 +205,4 @@ def knn_join(
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         _block_top_k(k, exclude_self), "query_id long, neighbor_id long, distance double"
     )
-    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return _ranked(found, k)

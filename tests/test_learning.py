@@ -238,3 +238,23 @@ def test_boosting_computes_its_rows_once(spark):
     model = models.fit_gbt(rows, ["a", "b"], "y", rounds=3, depth=2)
     assert made.value == 60 and len(model.model.trees) == 3
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_neighbours_where_cells_rule_nothing_out(spark, monkeypatch):
+    """In many dimensions rows meet in a grid of blocks; cells and grid find the same, ties by id included."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 40))
+    x[250:] = x[:50]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>").repartition(3)
+    routed = []
+    monkeypatch.setattr(neighbors, "materialize", lambda d, tag, write=neighbors.materialize: routed.append(tag) or write(d, tag))
+    find = lambda **options: sorted(map(tuple, neighbors.knn_join(df, df, "x", 4, "id", "id", exclude_self=True, **options).collect()))
+    grid = find(grid_rows=64)
+    assert "routed" not in routed
+    assert grid == find(pivots=5, block_rows=40) and "routed" in routed
+    assert grid == find() and len(grid) == 1200
+    # Far clusters on a line: most cells are ruled out, and the cells are used.
+    routed.clear()
+    line = df.select("id", F.array((F.col("id") * 1000).cast("double")).alias("x"))
+    near = neighbors.knn_join(line, line, "x", 1, "id", "id", exclude_self=True, grid_rows=64).collect()
+    assert "routed" in routed and all(abs(r.query_id - r.neighbor_id) == 1 for r in near) and len(near) == 300
