@@ -6,8 +6,8 @@ each query an upper bound on its k-th neighbour; by the triangle inequality most
 and rings cannot beat it and are skipped. Each remaining block pair returns k rows per
 query. In few dimensions, or where rows form clusters, that skips most of the base; in many
 dimensions without clusters hardly any cell can be ruled out, and an exact search has to
-compare nearly all pairs: then queries and base rows meet in a grid of large blocks, so a
-row is sent once for each block of the other side. `exact=False` bounds the work there.
+compare nearly all pairs: then blocks of packed vectors meet in a product of the two sides
+(`packed`), for which each row is shuffled once. `exact=False` bounds the work there.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import hash_order
+from riskweave.operators import packed
 from riskweave.operators.ordered import with_group_index
-from riskweave.session import materialize
+from riskweave.session import drop_stage, materialize, write_stage
 
 _SLACK = 1e-9
 #: Rows of a block where all pairs are compared, and queries that tell whether cells can be ruled out.
@@ -119,15 +120,28 @@ def _block_top_k(k: int, exclude_self: bool):
 
 
 def _grid(q: DataFrame, b: DataFrame, queries: int, n: int, k: int, exclude_self: bool, grid_rows: int) -> DataFrame:
-    """(query_id, neighbor_id, distance): the k nearest of each block of base rows, for all queries."""
-    blocks, parts = max(1, -(-n // grid_rows)), max(1, -(-queries // grid_rows))
-    dealt = lambda key, count: F.pmod(F.xxhash64(key), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = q.select("*", dealt("query_id", parts).alias("part"), every(blocks).alias("block"))
-    right = b.select("*", dealt("id", blocks).alias("block"), every(parts).alias("part"))
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(
-        _block_top_k(k, exclude_self), "query_id long, neighbor_id long, distance double"
-    )
+    """(query_id, neighbor_id, distance): the k nearest of each part of the base rows, for all queries."""
+    rows = 4 * grid_rows if n <= grid_rows else min(packed.block_rows(b), 4 * grid_rows)
+    # Few queries are cut finer, so that there is work for all tasks.
+    some = min(rows, max(packed.LEAST_ROWS, -(-queries // 16)))
+    left = packed.blocks(q.repartition(max(1, -(-queries // some)), "query_id"), ["query_id"], some, "q_")
+    right = packed.blocks(b.repartition(-(-n // (packed.PART_BLOCKS * rows)), "id"), ["id"], rows, "b_")
+    return packed.nearest(left, right, k, exclude_self, _all_rows)
+
+
+def _all_rows(queries, base):
+    """Every query meets all rows of the base."""
+    for i in range(0, len(queries), packed.TILE_QUERIES):
+        at = np.arange(i, min(i + packed.TILE_QUERIES, len(queries)))
+        for j in range(0, len(base), packed.TILE_ROWS):
+            yield at, j, min(j + packed.TILE_ROWS, len(base))
+
+
+def _vectors(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
+    """Ids as longs and vectors as they are: floats stay floats, anything else becomes doubles."""
+    out = df.select(F.col(key).cast("long").alias(name), F.col(vec).alias("vec"))
+    single = out.schema["vec"].dataType.simpleString() == "array<float>"
+    return out.withColumn("vec", F.col("vec").cast(f"array<{'float' if single else 'double'}>"))
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -159,21 +173,21 @@ def knn_join(
 
         return approx_knn_join(query, base, vec, k, query_id, base_id, exclude_self)
     need = k + (1 if exclude_self else 0)
-    b = base.select(F.col(base_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-    q = query.select(F.col(query_id).cast("long").alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
+    plain_b, plain_q = _vectors(base, base_id, vec, "id"), _vectors(query, query_id, vec, "query_id")
+    b, q = (d.withColumn("vec", F.col("vec").cast("array<double>")) for d in (plain_b, plain_q))
 
     n = b.count()
     if not n:
         return q.select("query_id", F.lit(None).cast("long").alias("neighbor_id"), F.lit(0.0).alias("distance"), F.lit(0).alias("rank")).where("false")
     queries = q.count()
     if not pivots and n * queries <= grid_rows * grid_rows:
-        return _ranked(_grid(q, b, queries, n, k, exclude_self, grid_rows), k)
+        return _ranked(_grid(plain_q, plain_b, queries, n, k, exclude_self, grid_rows), k)
     # The pivots, a quarter of the root of the rows and chosen by hash, are all of the base that reaches the driver.
     chosen = pivots or max(16, math.isqrt(n) // 4)
     seeds = b.orderBy(hash_order("id"), "id").limit(chosen).select("vec").collect()
     centers = np.unique(np.array([r["vec"] for r in seeds], dtype=np.float64), axis=0)
 
-    placed = materialize(b.mapInPandas(_nearest_cell(centers), "id long, vec array<double>, cell int, to_pivot double"), "cells")
+    placed, path = write_stage(b.mapInPandas(_nearest_cell(centers), "id long, vec array<double>, cell int, to_pivot double"), "cells")
     stats = placed.groupBy("cell").agg(F.min("to_pivot").alias("a"), F.max("to_pivot").alias("z")).collect()
     closest = (
         placed.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("to_pivot", "id")))
@@ -186,7 +200,8 @@ def knn_join(
     trial = pd.DataFrame({"vec": [r["vec"] for r in q.select("vec").limit(0 if pivots else TRIAL_QUERIES).collect()]})
     met = sum(map(len, _route(centers, cells, near, need)([trial])))
     if 2 * met > len(trial) * len(cells):
-        return _ranked(_grid(q, b, queries, n, k, exclude_self, grid_rows), k)
+        drop_stage(q.sparkSession, path)
+        return _ranked(_grid(plain_q, plain_b, queries, n, k, exclude_self, grid_rows), k)
 
     # Rings hold `block_rows` rows each, also where a cell is full of identical rows.
     ringed = with_group_index(placed, ["cell"], ["to_pivot", "id"], "_pos")

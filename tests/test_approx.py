@@ -96,3 +96,42 @@ def test_nearest_rows_by_matrix_product(monkeypatch, shift):
     want = [(ids[i], ids[j], r + 1) for i in range(520) for r, j in enumerate(order[i]) if np.isfinite(d[i, j])]
     assert list(got[["query_id", "neighbor_id", "rank"]].itertuples(index=False, name=None)) == want
     assert got["distance"].to_numpy() == pytest.approx([d[i // 3, j // 3] for i, j, _ in want])
+
+
+def test_vectors_are_not_written_with_probes(spark, monkeypatch):
+    """No written table holds vectors, and the plans send each row once, however many buckets or blocks it meets."""
+    df = table(spark, np.random.default_rng(8).normal(size=(900, 16)))
+    written = []
+    for place in (approx, neighbors):
+        monkeypatch.setattr(place, "materialize", lambda d, tag, write=place.materialize: written.append((tag, d.columns)) or write(d, tag))
+    near = approx.approx_knn_join(df, df, "vec", 3, "id", "id", exclude_self=True, bucket_rows=40)
+    exact = neighbors.knn_join(df, df, "vec", 3, "id", "id", exclude_self=True, grid_rows=64)
+    assert written and not any("vec" in columns for _, columns in written)
+    for found in (near, exact):
+        assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
+    assert approx.recall(near, exact).first().recall >= 0.9
+
+
+def test_more_probes_where_buckets_are_many(spark):
+    """All sets of the six closest cuts find too little here."""
+    df = table(spark, np.random.default_rng(9).normal(size=(1500, 24)))
+    found = approx.approx_knn_join(df, df, "vec", 4, "id", "id", exclude_self=True, tables=3, bucket_rows=8)
+    seen = approx.recall(found, neighbors.knn_join(df, df, "vec", 4, "id", "id", exclude_self=True)).first()
+    assert seen.queries == 1500 and seen.recall >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_packed_blocks_find_the_nearest(spark, kind):
+    """Blocks of a few rows against plain numpy: ties by id, repeated and null ids, far origins, nan."""
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(120, 6)), rng.integers(0, 2, (60, 6)), rng.normal(size=(20, 6)) + 1e6]).astype(np.float32).astype(float)
+    x[5, 2] = np.nan
+    ids = [None if i == 3 else i // 2 if i < 20 else i for i in range(200)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], f"id long, vec array<{kind}>").repartition(3)
+    got = neighbors.knn_join(df, df, "vec", 4, "id", "id", exclude_self=True, grid_rows=13, pivots=None).toPandas()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for q in range(20, 200):
+        best = sorted((d[q, j], ids[j] if ids[j] is not None else -1) for j in range(200) if j != q and np.isfinite(d[q, j]))[:4]
+        mine = got[got["query_id"] == q].sort_values("rank")
+        assert mine["distance"].to_numpy() == pytest.approx([b for b, _ in best])
+        assert mine["neighbor_id"].fillna(-1).to_numpy().tolist() == [i for _, i in best]
