@@ -39,6 +39,9 @@ PROBES = (4, 8, 16, 32, 42)
 #: Where these find too little: up to four of the ten closest cuts, 386 sets.
 MORE_PROBES = (64, 96, 128, 192, 256, 386)
 
+#: Buckets that a block of queries looks into in a table, all probes together.
+LOOKS = 1 << 23
+
 
 def _flips(most: int = 6, sets: int = 3) -> list[tuple[int, ...]]:
     """Sets of up to `sets` of the closest cuts, the empty one first."""
@@ -89,9 +92,8 @@ class _Lookups:
         """Buckets looked into, sorted, the queries that do, and the finer bits of the queries; one table is kept."""
         if t not in self.made:
             ((d, code, fine),) = _sides(self.queries.x.astype(np.float64), self.cuts[t : t + 1], self.bits)
-            looked = np.column_stack(_looked(d, code, self.bits, self.probes)).ravel()
-            if self.bits <= 16:
-                looked = looked.astype(np.uint16)
+            kind, slices = np.uint16 if self.bits <= 16 else np.int64, [slice(i, i + 4_096) for i in range(0, len(code), 4_096)]
+            looked = np.concatenate([np.column_stack(_looked(d[i], code[i], self.bits, self.probes)).astype(kind) for i in slices]).ravel()
             order = np.argsort(looked, kind="stable")
             self.made = {t: (looked[order], (order // (len(looked) // len(code))).astype(np.int32), fine)}
         return self.made[t]
@@ -195,7 +197,7 @@ def approx_knn_join(
     # Rows of a bucket lie together, and most tasks hold rows of one table. Blocks of queries share the rows that a task has packed.
     rows = block_rows(b)
     queries = q.count()
-    some = min(rows, max(LEAST_ROWS, -(-queries // 16)))
+    some = min(rows, max(LEAST_ROWS, LOOKS // probes), max(LEAST_ROWS, -(-queries // 16)))
     left = blocks(q.withColumn("deal", deal("query_id")).repartition(max(1, -(-queries // (4 * some))), "query_id"), ["query_id", "deal"], some, "q_")
     places = ["tab", "code", "sub", "part"]
     placed = placed.repartitionByRange(max(tables, -(-tables * n // (PART_BLOCKS * rows))), *places).sortWithinPartitions(*places)
